@@ -41,23 +41,39 @@ def position_of(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("double")
 
 
+def small_rows(df: DataFrame) -> int:
+    """Tables of at most this many rows are left in one slice (``lodestat.smallRows``)."""
+    return int(df.sparkSession.conf.get("lodestat.smallRows", "200000"))
+
+
 def slice_bounds(df: DataFrame, position: Column, parts: int) -> list[float]:
-    """Inner bounds of ``parts`` slices of about equal depth (at most parts - 1 numbers)."""
-    probabilities = [i / parts for i in range(1, parts)]
-    found = df.select(position.alias(_POSITION)).approxQuantile(_POSITION, probabilities, 1 / (2 * parts))
-    return sorted({float(b) for b in found})
+    """Inner bounds of ``parts`` slices of about equal depth; none for a table known to be small.
+
+    One aggregate gives both the row count and the bounds (at most parts - 1 numbers).
+    """
+    probabilities = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    row = df.select(position.alias(_POSITION)).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx(_POSITION, probabilities, 4 * parts).alias("bounds"),
+    ).first()
+    if row["n"] <= small_rows(df) or not row["bounds"]:
+        return []
+    return sorted({float(b) for b in row["bounds"]})
 
 
-def with_slices(df: DataFrame, order: str, parts: int | None = None) -> DataFrame:
-    """Add ``_slice``, a slice number that never falls along ``order`` (null order: null slice)."""
+def with_slices(df: DataFrame, order: str, parts: int | None = None) -> tuple[DataFrame, bool]:
+    """Add ``_slice``, a slice number that never falls along ``order`` (null order: null slice).
+
+    The second result says whether there is more than one slice.
+    """
     parts = parts or slice_count(df)
     position = position_of(df, order)
     bounds = slice_bounds(df, position, parts)
     if not bounds:
-        return df.withColumn(SLICE, F.lit(0.0))
+        return df.withColumn(SLICE, F.lit(0.0)), False
     splits = [float("-inf"), *bounds, float("inf")]
     cutter = Bucketizer(splits=splits, inputCol=_POSITION, outputCol=SLICE, handleInvalid="keep")
-    return cutter.transform(df.withColumn(_POSITION, position)).drop(_POSITION)
+    return cutter.transform(df.withColumn(_POSITION, position)).drop(_POSITION), True
 
 
 def _same(a: Column, b: Column) -> Column:
@@ -85,7 +101,6 @@ def running_totals(
     keys: Sequence[str] = (),
     parts: int | None = None,
     descending: bool = False,
-    keep_slice: bool = False,
 ) -> DataFrame:
     """Add ``cum_<measure>``: the sum of the measure over rows of the key up to and with this one.
 
@@ -93,13 +108,15 @@ def running_totals(
     values would be peers and share a total.
     """
     keys = list(keys)
-    sliced = df if SLICE in df.columns else with_slices(df, order, parts)
+    sliced, many = with_slices(df, order, parts)
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     inside = (
         Window.partitionBy(*keys, SLICE)
         .orderBy(direction(order))
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    if not many:
+        return sliced.select("*", *[F.sum(m).over(inside).alias(f"cum_{m}") for m in measures]).drop(SLICE)
     rows = sliced.select("*", *[F.sum(m).over(inside).alias(f"_in_{m}") for m in measures])
     totals = sliced.groupBy(*keys, SLICE).agg(*[F.sum(m).alias(f"_tot_{m}") for m in measures])
     earlier = (
@@ -107,11 +124,10 @@ def running_totals(
     ).orderBy(direction(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*keys, SLICE, *[F.sum(f"_tot_{m}").over(earlier).alias(f"_before_{m}") for m in measures])
     joined = _hand_over(rows, carried, keys)
-    out = joined.select(
-        *[c for c in sliced.columns],
+    return joined.select(
+        *df.columns,
         *[(F.col(f"_in_{m}") + F.coalesce(F.col(f"_before_{m}"), F.lit(0))).alias(f"cum_{m}") for m in measures],
     )
-    return out if keep_slice else out.drop(SLICE)
 
 
 def previous_row(
@@ -122,10 +138,12 @@ def previous_row(
     ``order`` must be unique inside the key.
     """
     keys = list(keys)
-    sliced = with_slices(df, order, parts)
+    sliced, many = with_slices(df, order, parts)
     state = F.struct(*[F.col(c).alias(new) for new, c in fields.items()])
     inside = Window.partitionBy(*keys, SLICE).orderBy(order)
     rows = sliced.withColumn("_lag", F.lag(state).over(inside))
+    if not many:
+        return rows.select(*df.columns, *[F.col("_lag")[new].alias(new) for new in fields])
     ends = sliced.groupBy(*keys, SLICE).agg(F.max_by(state, F.col(order)).alias("_end"))
     across = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(SLICE)
     carried = ends.select(*keys, SLICE, F.lag("_end").over(across).alias("_carry"))
@@ -138,9 +156,11 @@ def carry_forward(
 ) -> DataFrame:
     """Replace nulls by the last non-null value before them in the key's order."""
     keys = list(keys)
-    sliced = with_slices(df, order, parts)
+    sliced, many = with_slices(df, order, parts)
     inside = Window.partitionBy(*keys, SLICE).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     rows = sliced.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_in_{c}") for c in columns])
+    if not many:
+        return rows.select(*[F.col(f"_in_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
     ends = sliced.groupBy(*keys, SLICE).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_end_{c}") for c in columns]
     )

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("sources", "cleaning", "joins")
+MODULES = ("sources", "cleaning", "joins", "aggregates", "windows")
 
 
 def load() -> None:
