@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NODES, _WEIGHTS = np.polynomial.legendre.leggauss(96)
+_NODES, _WEIGHTS = np.polynomial.legendre.leggauss(64)
 
 
 def _integral(f, low, high):
@@ -146,7 +146,7 @@ def kappa_of_resultant(r: np.ndarray) -> np.ndarray:
         np.where(r < 0.85, -0.4 + 1.39 * r + 0.43 / (1 - r), 1 / np.maximum(r**3 - 4 * r**2 + 3 * r, 1e-12)),
     )
     zero, whole = np.zeros_like(r), np.full_like(r, math.pi)
-    for _ in range(8):
+    for _ in range(5):
         k = np.clip(kappa, 1e-9, 700.0)
         mass = lambda t: np.exp(k[:, None] * (np.cos(t) - 1))
         ratio = _integral(lambda t: np.cos(t) * mass(t), zero, whole) / _integral(mass, zero, whole)

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("sources", "cleaning", "joins", "aggregates", "windows")
+MODULES = ("sources", "cleaning", "joins", "aggregates", "windows", "scalars")
 
 
 def load() -> None:

@@ -81,11 +81,13 @@ def rolling_time_stats(t):
 @plan("rolling_time_ci")
 def rolling_time_ci(t):
     a = Wn.rolling_angles(t.events.select("event_id", "user_id", "ts"), "user_id", "ts", [7, 14, 30])
+    a = a.withColumns(
+        {f"mass_{d}d": central_mass(F.col(f"resultant_{d}d"), F.col("angle") - F.col(f"mean_{d}d")) for d in (7, 14, 30)}
+    )
     cells = []
     for d in (7, 14, 30):
-        mass = central_mass(F.col(f"resultant_{d}d"), F.col("angle") - F.col(f"mean_{d}d"))
         for level in (90, 95):
-            inside = (F.col(f"n_{d}d") > 1) & (mass <= level / 100)
+            inside = (F.col(f"n_{d}d") > 1) & (F.col(f"mass_{d}d") <= level / 100)
             cells.append(inside.cast("int").alias(f"within_{d}d_{level}"))
     return a.select("event_id", *cells)
 
