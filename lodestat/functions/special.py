@@ -169,3 +169,42 @@ def central_mass(resultant: pd.Series, distance: pd.Series) -> pd.Series:
     exact = _integral(mass, zero, d) / _integral(mass, zero, np.full_like(d, math.pi))
     normal = np.array([math.erf(x) for x in d * np.sqrt(np.minimum(kappa, 1e15) / 2)])
     return pd.Series(np.where(kappa < 700, exact, normal))
+
+
+# fixed values: coefficients of Wichura's algorithm AS 241 for the normal quantile, highest power first
+_CENTRE = (
+    (2509.0809287301226727, 33430.575583588128105, 67265.770927008700853, 45921.953931549871457,
+     13731.693765509461125, 1971.5909503065514427, 133.14166789178437745, 3.387132872796366608),
+    (5226.495278852854561, 28729.085735721942674, 39307.89580009271061, 21213.794301586595867,
+     5394.1960214247511077, 687.1870074920579083, 42.313330701600911252, 1.0),
+)
+_MIDDLE = (
+    (7.7454501427834140764e-4, 0.0227238449892691845833, 0.24178072517745061177, 1.27045825245236838258,
+     3.64784832476320460504, 5.7694972214606914055, 4.6303378461565452959, 1.42343711074968357734),
+    (1.05075007164441684324e-9, 5.475938084995344946e-4, 0.0151986665636164571966, 0.14810397642748007459,
+     0.68976733498510000455, 1.6763848301838038494, 2.05319162663775882187, 1.0),
+)
+_TAIL = (
+    (2.01033439929228813265e-7, 2.71155556874348757815e-5, 0.0012426609473880784386, 0.026532189526576123093,
+     0.29656057182850489123, 1.7848265399172913358, 5.4637849111641143699, 6.6579046435011037772),
+    (2.04426310338993978564e-15, 1.4215117583164458887e-7, 1.8463183175100546818e-5, 7.868691311456132591e-4,
+     0.0148753612908506148525, 0.13692988092273580531, 0.59983220655588793769, 1.0),
+)
+
+
+def with_normal_quantile(df, probability: str, out: str):
+    """Add the inverse normal distribution function of a column, in plain column expressions."""
+
+    def ratio(table, x):
+        above, below = (F.lit(c[0]) for c in table)
+        for a, b in zip(table[0][1:], table[1][1:]):
+            above, below = above * x + a, below * x + b
+        return above / below
+
+    q = F.col(probability) - 0.5
+    r = F.sqrt(-F.log(F.least(F.col(probability), 1 - F.col(probability))))
+    # the repeated terms are columns of their own, so that they are computed once
+    steps = df.withColumns({"_q": q, "_c": F.lit(0.180625) - q * q, "_m": r - 1.6, "_t": r - 5})
+    outer = F.when(F.col("_t") <= 0, ratio(_MIDDLE, F.col("_m"))).otherwise(ratio(_TAIL, F.col("_t")))
+    value = F.when(F.abs("_q") <= 0.425, F.col("_q") * ratio(_CENTRE, F.col("_c"))).otherwise(F.signum("_q") * outer)
+    return steps.withColumn(out, value).drop("_q", "_c", "_m", "_t")

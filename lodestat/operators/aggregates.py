@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestat.operators.cleaning import unpivot_row
 from lodestat.operators.ordered import ntile_from_rank, running_totals
-from lodestat.operators.quantiles import attach, exact_quantiles, melt, quantile_struct, value_ranks
+from lodestat.operators.quantiles import attach, exact_quantiles, melt, quantile_values, value_ranks
 
 SIMPLE = {
     "mean": F.avg,
@@ -235,12 +235,12 @@ def bootstrap_correlation(df: DataFrame, ids: str, x: str, y: str, replicates: i
 
 def histogram_rules(df: DataFrame, column: str) -> DataFrame:
     """Number of equal-width bins a numeric column gets under the usual rules, one row per rule."""
-    q = quantile_struct(df, [column], {"q1": 0.25, "q3": 0.75}).scalar()
+    q = quantile_values(df, [column], {"q1": 0.25, "q3": 0.75})
     c = F.col(column).cast("double")
     row = df.agg(
         F.count(c).cast("double").alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"),
         F.stddev_pop(c).alias("sd"), F.skewness(c).alias("g1"),
-    ).withColumn("iqr", q[f"{column}_q3"] - q[f"{column}_q1"])
+    ).withColumn("iqr", F.lit(q[f"{column}_q3"] - q[f"{column}_q1"]))
     span = F.col("hi") - F.col("lo")
     n = F.col("n")
     widths = {

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestat.operators.quantiles import quantile_struct
+from lodestat.operators.quantiles import quantile_values
 
 KINDS = {
     "numeric": (T.NumericType,),
@@ -86,14 +86,14 @@ def fill_by_kind(df: DataFrame, string: str = "Unknown", number: float = 0) -> D
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    medians = quantile_struct(df, columns, {"p50": 0.5}).scalar()
+    medians = quantile_values(df, columns, {"p50": 0.5})
     return df.select(
-        *[F.coalesce(F.col(c), medians[f"{c}_p50"]).alias(c) if c in columns else F.col(c) for c in df.columns]
+        *[F.coalesce(F.col(c), F.lit(medians[f"{c}_p50"])).alias(c) if c in columns else F.col(c) for c in df.columns]
     )
 
 
 def keep_between_quantiles(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
-    q = quantile_struct(df, [column], {"low": low, "high": high}).scalar()
+    q = quantile_values(df, [column], {"low": low, "high": high})
     return df.filter((F.col(column) >= q[f"{column}_low"]) & (F.col(column) <= q[f"{column}_high"]))
 
 

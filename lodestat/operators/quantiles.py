@@ -59,11 +59,6 @@ def exact_quantiles(
     return picked.select(*groups, F.col("_size").alias("size"), *out)
 
 
-def quantile_row(df: DataFrame, column: str, probabilities: Mapping[str, float]) -> DataFrame:
-    """A single row holding the struct ``q`` of the named quantiles of one column."""
-    return exact_quantiles(df, [column], probabilities).select(F.struct(*probabilities).alias("q"))
-
-
 def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Bind a table with one row per key back to the rows (null keys match).
 
@@ -86,3 +81,8 @@ def quantile_struct(df: DataFrame, columns: Sequence[str], probabilities: Mappin
         F.max(F.when(F.col("column") == c, F.col(name))).alias(f"{c}_{name}") for c in columns for name in probabilities
     ]
     return table.agg(*cells).select(F.struct("*").alias("q"))
+
+
+def quantile_values(df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float]) -> dict[str, float]:
+    """The quantiles as numbers on the driver: one row, as wide as the arguments."""
+    return quantile_struct(df, columns, probabilities).first()["q"].asDict()

@@ -35,7 +35,7 @@ def evenly_spaced(df: DataFrame, order: str, count: int | None = None, share: fl
     """
     ranked = running_totals(df.withColumn("_one", F.lit(1)), order, ["_one"])
     n = df.agg(F.count(F.lit(1))).scalar()
-    k = F.lit(count) if count is not None else F.greatest(F.lit(1), F.floor(n * F.lit(share)))
+    k = F.lit(count) if count is not None else F.ceil(n * F.lit(share))
     place = F.col("cum__one") - 1
     i = F.ceil(place * (k - 1) / (n - 1))
     hit = F.floor(i * (n - 1) / (k - 1)) == place

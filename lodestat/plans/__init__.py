@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("sources", "cleaning", "joins", "aggregates", "windows", "scalars")
+MODULES = ("sources", "cleaning", "joins", "aggregates", "windows", "scalars", "statistics")
 
 
 def load() -> None:

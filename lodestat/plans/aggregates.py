@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lodestat.operators import aggregates as A
 from lodestat.operators.cleaning import unpivot_row
-from lodestat.operators.quantiles import attach, exact_quantiles, quantile_struct
+from lodestat.operators.quantiles import attach, exact_quantiles, quantile_values
 from lodestat.plans.registry import plan, r6
 
 LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -134,7 +134,7 @@ def agg_min_max_span(t):
 )
 def agg_max_by_group_filter(t):
     top = t.orders.groupBy("o_custkey").agg(F.max("o_totalprice").alias("top"))
-    cut = quantile_struct(top, ["top"], {"cut": 0.1}).scalar()
+    cut = quantile_values(top, ["top"], {"cut": 0.1})
     return top.withColumn("size", F.when(F.col("top") > cut["top_cut"], "large").otherwise("small"))
 
 

@@ -6,7 +6,7 @@ from lodestat.functions import dates as D
 from lodestat.functions import scalars as X
 from lodestat.functions import text as T
 from lodestat.operators.cleaning import columns_of_kind
-from lodestat.operators.quantiles import quantile_struct
+from lodestat.operators.quantiles import quantile_values
 from lodestat.plans.registry import plan, r6
 
 
@@ -323,8 +323,8 @@ def math_boxcox(t):
 def math_cap_percentiles(t):
     mean = t.events.agg(F.avg("value")).scalar()
     r = t.events.select("event_id", "value", (F.col("value") - mean).alias("r"))
-    q = quantile_struct(r, ["r", "value"], {"lo": 0.005, "mid": 0.5, "hi": 0.995}).scalar()
-    capped = F.greatest(F.least(F.col("r"), q["r_hi"]), q["r_lo"]) + q["value_mid"]
+    q = quantile_values(r, ["r", "value"], {"lo": 0.005, "mid": 0.5, "hi": 0.995})
+    capped = F.greatest(F.least(F.col("r"), F.lit(q["r_hi"])), F.lit(q["r_lo"])) + q["value_mid"]
     return r.select("event_id", F.greatest(F.round(capped), F.lit(1.0)).alias("adjusted"))
 
 
