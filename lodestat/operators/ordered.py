@@ -80,6 +80,11 @@ def _same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def _of(keys: Sequence[str]) -> Window:
+    """Window over the keys; without keys only used for tables with one row per slice or known to be small."""
+    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+
+
 def _hand_over(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bind the per-(key, slice) hand-over values to the rows."""
     left, right = rows.alias("rows_"), carried.alias("carried_")
@@ -119,9 +124,7 @@ def running_totals(
         return sliced.select("*", *[F.sum(m).over(inside).alias(f"cum_{m}") for m in measures]).drop(SLICE)
     rows = sliced.select("*", *[F.sum(m).over(inside).alias(f"_in_{m}") for m in measures])
     totals = sliced.groupBy(*keys, SLICE).agg(*[F.sum(m).alias(f"_tot_{m}") for m in measures])
-    earlier = (
-        Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    ).orderBy(direction(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = _of(keys).orderBy(direction(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*keys, SLICE, *[F.sum(f"_tot_{m}").over(earlier).alias(f"_before_{m}") for m in measures])
     joined = _hand_over(rows, carried, keys)
     return joined.select(
@@ -145,7 +148,7 @@ def previous_row(
     if not many:
         return rows.select(*df.columns, *[F.col("_lag")[new].alias(new) for new in fields])
     ends = sliced.groupBy(*keys, SLICE).agg(F.max_by(state, F.col(order)).alias("_end"))
-    across = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(SLICE)
+    across = _of(keys).orderBy(SLICE)
     carried = ends.select(*keys, SLICE, F.lag("_end").over(across).alias("_carry"))
     joined = _hand_over(rows, carried, keys).withColumn("_prev", F.coalesce("_lag", "_carry"))
     return joined.select(*df.columns, *[F.col("_prev")[new].alias(new) for new in fields])
@@ -164,11 +167,7 @@ def carry_forward(
     ends = sliced.groupBy(*keys, SLICE).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_end_{c}") for c in columns]
     )
-    across = (
-        (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0)))
-        .orderBy(SLICE)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    across = _of(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(*keys, SLICE, *[F.last(f"_end_{c}", True).over(across).alias(f"_carry_{c}") for c in columns])
     joined = _hand_over(rows, carried, keys)
     return joined.select(
@@ -190,10 +189,13 @@ def row_numbers(
     slices of the tie column, so neither a hot key nor a hot value lands in one task.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    below = running_totals(counts, value, ["_n"], keys, descending=descending)
-    below = below.select(*keys, value, (F.col("cum__n") - F.col("_n")).alias("_below"))
-    inner = running_totals(df.withColumn("_one", F.lit(1)), tie, ["_one"], [*keys, value])
+    if df.limit(small_rows(df) + 1).count() <= small_rows(df):
+        order = F.col(value).desc() if descending else F.col(value).asc()
+        return df.withColumn(name, F.row_number().over(_of(keys).orderBy(order, tie)).cast("long"))
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_tally"))
+    below = running_totals(counts, value, ["_tally"], keys, descending=descending)
+    below = below.select(*keys, value, (F.col("cum__tally") - F.col("_tally")).alias("_below"))
+    inner = running_totals(df.withColumn("_each", F.lit(1)), tie, ["_each"], [*keys, value])
     left, right = inner.alias("rows_"), below.alias("below_")
     on = _same(F.col(f"rows_.{value}"), F.col(f"below_.{value}"))
     for k in keys:
@@ -201,7 +203,7 @@ def row_numbers(
     joined = left.join(right, on, "left")
     return joined.select(
         *[F.col(f"rows_.{c}") for c in df.columns],
-        (F.col("below_._below") + F.col("rows_.cum__one")).cast("long").alias(name),
+        (F.col("below_._below") + F.col("rows_.cum__each")).cast("long").alias(name),
     )
 
 
@@ -229,11 +231,7 @@ def hash_row_numbers(
     inside = Window.partitionBy(*keys, SLICE).orderBy("_hash")
     rows = hashed.withColumn("_in", F.row_number().over(inside))
     totals = hashed.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_tot"))
-    earlier = (
-        (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0)))
-        .orderBy(SLICE)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = _of(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*keys, SLICE, F.sum("_tot").over(earlier).alias("_before"))
     joined = _hand_over(rows, carried, keys)
     return joined.select(

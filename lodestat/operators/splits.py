@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.operators.ordered import hash_key, hash_row_numbers
+from lodestat.operators.ordered import hash_key, hash_row_numbers, row_numbers, running_totals
 from lodestat.operators.quantiles import attach
 
 
@@ -84,3 +84,67 @@ def fold_numbers(
     groups = hash_row_numbers(df.select(group).distinct(), [group], (), seed, "_i")
     groups = groups.select(group, ((F.col("_i") - 1) % folds).cast("int").alias(out))
     return attach(df, groups, [group])
+
+
+def split_groups(df: DataFrame, group: str, label, slots: Mapping[str, int], strata: int = 5, out: str = "split") -> DataFrame:
+    """Whole groups to splits, classes balanced: one row per group with its split.
+
+    Groups are cut in strata of like label share; inside a stratum they are dealt from the largest
+    to the smallest over the slots there and back, so sizes even out too.
+    """
+    g = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.count_if(label).alias("_pos"))
+    k = g.agg(F.count(F.lit(1))).scalar()
+    g = row_numbers(g.withColumn("_share", F.col("_pos") / F.col("_n")), "_share", group, name="_i")
+    g = g.withColumn("_stratum", F.floor((F.col("_i") - 1) * strata / k)).drop("_i")
+    g = row_numbers(g, "_n", group, ["_stratum"], "_i", descending=True)
+    width = sum(slots.values())
+    turn = (F.col("_i") - 1) % (2 * width)
+    place = F.when(turn < width, turn).otherwise(2 * width - 1 - turn)
+    names, edge, choice = list(slots), 0, None
+    for name in names[:-1]:
+        edge += slots[name]
+        choice = F.when(place < edge, name) if choice is None else choice.when(place < edge, name)
+    return g.select(group, choice.otherwise(names[-1]).alias(out))
+
+
+def split_last_periods(series: DataFrame, time: str, horizon: int, out: str = "split") -> DataFrame:
+    """The last ``horizon`` distinct periods are test. The cut is one value, found by a top-k."""
+    last = series.select(time).distinct().orderBy(F.desc(time)).limit(horizon)
+    cut = last.agg(F.min(time)).scalar()
+    return series.withColumn(out, F.when(F.col(time) >= cut, "test").otherwise("train"))
+
+
+def split_count(n: int, horizon: int, step: int, window: int) -> int:
+    """Number of splits the sliding scheme is planned with."""
+    if min(n, horizon, step, window) <= 0:
+        raise ValueError("all arguments must be positive")
+    count = (n - horizon - window) // step + 2
+    if count < 2:
+        raise ValueError("fewer than two splits; lower the window, the horizon or the step")
+    return count
+
+
+def window_for_splits(splits: int, n: int, horizon: int, step: int) -> int:
+    """Largest window that still allows the wanted number of splits."""
+    if splits < 2:
+        raise ValueError("at least two splits are needed")
+    window = n - horizon - step * (splits - 2)
+    if min(n, horizon, step) <= 0 or window <= 0:
+        raise ValueError("no positive window fits")
+    return window
+
+
+def sliding_windows(series: DataFrame, time: str, window: int, horizon: int, step: int) -> DataFrame:
+    """Every complete (train window, test horizon) split of a numbered series, in long form.
+
+    A row knows from its own number which splits hold it, so nothing is joined: the splits with
+    start in (i - window - horizon, i] that are multiples of the step.
+    """
+    numbered = running_totals(series.withColumn("_one", F.lit(1)), time, ["_one"]).withColumn("_i", F.col("cum__one") - 1)
+    n = series.agg(F.count(F.lit(1))).scalar()
+    last = F.floor((n - horizon - window) / step)
+    low = F.greatest(F.lit(0), F.ceil((F.col("_i") - window - horizon + 1) / step))
+    high = F.least(last, F.floor(F.col("_i") / step))
+    rows = numbered.filter(low <= high).withColumn("split", F.explode(F.sequence(low, high)))
+    part = F.when(F.col("_i") < F.col("split") * step + window, "train").otherwise("test")
+    return rows.withColumn("part", part).select(*series.columns, "split", "part")

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("sources", "cleaning", "joins", "aggregates", "windows", "scalars", "statistics")
+MODULES = ("sources", "cleaning", "joins", "aggregates", "windows", "scalars", "statistics", "evaluation", "series")
 
 
 def load() -> None:
