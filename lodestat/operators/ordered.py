@@ -189,7 +189,7 @@ def row_numbers(
     slices of the tie column, so neither a hot key nor a hot value lands in one task.
     """
     keys = list(keys)
-    if df.limit(small_rows(df) + 1).count() <= small_rows(df):
+    if df.count() <= small_rows(df):
         order = F.col(value).desc() if descending else F.col(value).asc()
         return df.withColumn(name, F.row_number().over(_of(keys).orderBy(order, tie)).cast("long"))
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_tally"))

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("sources", "cleaning", "joins", "aggregates", "windows", "scalars", "statistics", "evaluation", "series")
+MODULES = ("sources", "cleaning", "joins", "aggregates", "windows", "scalars", "statistics", "evaluation", "series", "graph", "streams")
 
 
 def load() -> None:
