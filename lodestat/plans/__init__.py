@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("sources", "cleaning", "joins", "aggregates", "windows", "scalars", "statistics", "evaluation", "series", "graph", "streams", "vectors")
+MODULES = ("sources", "cleaning", "joins", "aggregates", "windows", "scalars", "statistics", "evaluation", "series", "graph", "streams", "vectors", "learning")
 
 
 def load() -> None:
