@@ -32,45 +32,60 @@ def _touching(boxes: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
     return linked, alive.filter(F.col("far") > eps * eps).drop("near", "far")
 
 
-def cell_links(core: DataFrame, eps: float, side: float, max_levels: int = 60) -> DataFrame:
-    """(a, b) of neighbouring core cells that hold two core points within eps."""
+FEW = 32
+
+
+def cell_links(core: DataFrame, eps: float, side: float, max_levels: int = 50) -> DataFrame:
+    """(a, b) of neighbouring core cells that hold two core points within eps.
+
+    Box pairs are settled by their nearest and farthest corners, by their points when both boxes
+    have at most FEW of them, and else by quartering both boxes.
+    """
     base = core.select("cell", "ci", "cj", "x", "y")
+    edges = ("lox", "hix", "loy", "hiy")
+
+    def cut(n: int) -> DataFrame:
+        part = lambda v, c: F.floor((F.col(v) - F.col(c) * F.lit(side)) / F.lit(side) * 2**n)
+        return base.withColumns({"px": part("x", "ci"), "py": part("y", "cj")})
 
     def level(n: int) -> DataFrame:
-        parts = 2**n
-        part = lambda v, c: F.floor((F.col(v) - F.col(c) * F.lit(side)) / F.lit(side) * parts)
-        return base.groupBy("cell", "ci", "cj", part("x", "ci").alias("px"), part("y", "cj").alias("py")).agg(
-            F.min("x").alias("lox"), F.max("x").alias("hix"), F.min("y").alias("loy"), F.max("y").alias("hiy")
+        return cut(n).groupBy("cell", "ci", "cj", "px", "py").agg(
+            F.min("x").alias("lox"), F.max("x").alias("hix"), F.min("y").alias("loy"), F.max("y").alias("hiy"),
+            F.count(F.lit(1)).alias("m"),
         )
 
-    def named(df: DataFrame, side_name: str) -> DataFrame:
-        return df.select(
-            F.col("cell").alias(side_name), F.col("px").alias(f"{side_name}_px"), F.col("py").alias(f"{side_name}_py"),
-            *[F.col(c).alias(f"{side_name}_{c}") for c in ("lox", "hix", "loy", "hiy")],
+    def named(df: DataFrame, s: str, *keep: str) -> DataFrame:
+        return df.select(F.col("cell").alias(s), *keep, *[F.col(c).alias(f"{s}_{c}") for c in ("px", "py", "m", *edges)])
+
+    def by_points(pairs: DataFrame, n: int) -> DataFrame:
+        points = cut(n)
+        side_of = lambda s: points.select(
+            F.col("cell").alias(s), F.col("px").alias(f"{s}_px"), F.col("py").alias(f"{s}_py"), F.col("x").alias(f"{s}_x"), F.col("y").alias(f"{s}_y")
         )
+        gap = F.pow(F.col("a_x") - F.col("b_x"), F.lit(2)) + F.pow(F.col("a_y") - F.col("b_y"), F.lit(2))
+        joined = pairs.select("a", "a_px", "a_py", "b", "b_px", "b_py").join(side_of("a"), ["a", "a_px", "a_py"])
+        return joined.join(side_of("b"), ["b", "b_px", "b_py"]).filter(gap <= eps * eps).select("a", "b").distinct()
 
     top = checkpointed(level(0))
-    right = top.select(F.col("ci").alias("ni"), F.col("cj").alias("nj"), F.col("cell").alias("b"), F.col("px").alias("b_px"), F.col("py").alias("b_py"),
-                       *[F.col(c).alias(f"b_{c}") for c in ("lox", "hix", "loy", "hiy")])
-    left = _around(top).select("ni", "nj", F.col("cell").alias("a"), F.col("px").alias("a_px"), F.col("py").alias("a_py"),
-                               *[F.col(c).alias(f"a_{c}") for c in ("lox", "hix", "loy", "hiy")])
+    right = named(top.withColumns({"ni": F.col("ci"), "nj": F.col("cj")}), "b", "ni", "nj")
+    left = named(_around(top), "a", "ni", "nj")
     pairs = left.join(right, ["ni", "nj"]).filter("a < b").drop("ni", "nj")
-    linked, open_pairs = _touching(pairs, eps)
-    linked, open_pairs = checkpointed(linked), checkpointed(open_pairs)
-    for n in range(1, max_levels):
-        open_pairs = open_pairs.join(linked, ["a", "b"], "left_anti")
-        if open_pairs.isEmpty():
+    linked = None
+    for n in range(max_levels):
+        fresh, still = _touching(pairs, eps)
+        still = checkpointed(still)
+        few = (F.col("a_m") <= FEW) & (F.col("b_m") <= FEW)
+        fresh = fresh.union(by_points(still.filter(few), n))
+        linked = checkpointed((fresh if linked is None else fresh.union(linked)).distinct())
+        many = checkpointed(still.filter(~few).join(linked, ["a", "b"], "left_anti"))
+        if many.isEmpty():
             return linked
-        boxes = level(n)
-        halve = lambda v: F.floor(F.col(v) / 2)
-        keys = open_pairs.select("a", "a_px", "a_py", "b", "b_px", "b_py")
-        children_a = named(boxes, "a").withColumns({"pa": halve("a_px"), "qa": halve("a_py")})
-        children_b = named(boxes, "b").withColumns({"pb": halve("b_px"), "qb": halve("b_py")})
-        keys = keys.select("a", F.col("a_px").alias("pa"), F.col("a_py").alias("qa"), "b", F.col("b_px").alias("pb"), F.col("b_py").alias("qb"))
-        finer = keys.join(children_a, ["a", "pa", "qa"]).join(children_b, ["b", "pb", "qb"]).drop("pa", "qa", "pb", "qb")
-        fresh, open_pairs = _touching(finer, eps)
-        linked = checkpointed(linked.union(fresh).distinct())
-        open_pairs = checkpointed(open_pairs)
+        boxes = level(n + 1)
+        half = lambda v: F.floor(F.col(v) / 2).alias(v)
+        keys = many.select("a", F.col("a_px").alias("pa"), F.col("a_py").alias("qa"), "b", F.col("b_px").alias("pb"), F.col("b_py").alias("qb"))
+        child_a = named(boxes, "a").select("*", half("a_px").alias("pa"), half("a_py").alias("qa"))
+        child_b = named(boxes, "b").select("*", half("b_px").alias("pb"), half("b_py").alias("qb"))
+        pairs = keys.join(child_a, ["a", "pa", "qa"]).join(child_b, ["b", "pb", "qb"]).drop("pa", "qa", "pb", "qb")
     raise ValueError("points are too close to be told apart")
 
 

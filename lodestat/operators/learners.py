@@ -197,9 +197,9 @@ def _stages(df: DataFrame, label: str, features: Sequence[str], learner):
 
 LEARNERS = {
     "tree": lambda seed: DecisionTreeClassifier(maxDepth=5, seed=seed),
-    "forest": lambda seed: RandomForestClassifier(numTrees=10, maxDepth=5, seed=seed),
-    "bagging": lambda seed: RandomForestClassifier(numTrees=10, maxDepth=5, featureSubsetStrategy="all", seed=seed),
-    "boosting": lambda seed: GBTClassifier(maxIter=5, maxDepth=4, stepSize=0.2, seed=seed),
+    "forest": lambda seed: RandomForestClassifier(numTrees=5, maxDepth=5, seed=seed),
+    "bagging": lambda seed: RandomForestClassifier(numTrees=5, maxDepth=5, featureSubsetStrategy="all", seed=seed),
+    "boosting": lambda seed: GBTClassifier(maxIter=3, maxDepth=4, stepSize=0.2, seed=seed),
 }
 
 

@@ -181,7 +181,7 @@ def tree_predict_rules(t):
 
 
 def _folded(t):
-    fold = F.conv(F.substring(hash_key(*KEY), 1, 4), 16, 10).cast("int") % 3
+    fold = F.conv(F.substring(hash_key(*KEY), 1, 4), 16, 10).cast("int") % 2
     return t.lineitem.select("l_linestatus", *LI, fold.alias("fold"))
 
 
@@ -317,10 +317,10 @@ def gower_distance(t):
     first = t.part.groupBy("p_type").agg(F.min_by(F.struct("p_partkey", "p_size", "p_retailprice", "p_brand"), "p_partkey").alias("r"))
     protos = sorted(({**r["r"].asDict(), "p_type": r["p_type"]} for r in first.collect()), key=lambda p: p["p_partkey"])
     d = Cl.gower_to(t.part, numeric, categorical, Cl.column_ranges(t.part, numeric), protos)
-    rows = t.part.select("p_partkey", F.transform(d, lambda x: F.round(x, 9)).alias("d"))
+    rows = t.part.select("p_partkey", d.alias("exact"), F.transform(d, lambda x: F.round(x, 9)).alias("d"))
     keys = F.array(*[F.lit(p["p_partkey"]) for p in protos])
     at = F.array_position("d", F.array_min("d")).cast("int") - 1
-    return rows.select("p_partkey", F.get(keys, at).alias("nearest"), r6(F.array_min("d")).alias("distance"))
+    return rows.select("p_partkey", F.get(keys, at).alias("nearest"), r6(F.array_min("exact")).alias("distance"))
 
 
 @plan("dbscan")

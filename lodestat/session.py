@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,14 +29,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the written copy.
+    """Write ``df`` to the shared checkpoint folder and continue from the written table.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where that is
-    unset (tests on one machine) is a fresh temporary folder used.
+    unset (tests on one machine) is a fresh temporary folder used. Reading the table back cuts the
+    lineage, survives lost executors, and gives the planner the true size of the data; loops that
+    join their own results would otherwise carry ever larger size estimates.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lodestat-checkpoint-"))
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodestat-checkpoint-")
+    path = f"{folder.rstrip('/')}/lodestat-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
