@@ -130,11 +130,16 @@ def as_udf(function, arguments: int):
         out = [None if any(math.isnan(v) for v in row) else function(*row) for row in rows]
         return pd.Series(out, dtype="float64")
 
-    if arguments == 1:
-        return F.pandas_udf(lambda a: apply(a), T.DoubleType(), F.PandasUDFType.SCALAR)
-    if arguments == 2:
-        return F.pandas_udf(lambda a, b: apply(a, b), T.DoubleType(), F.PandasUDFType.SCALAR)
-    return F.pandas_udf(lambda a, b, c: apply(a, b, c), T.DoubleType(), F.PandasUDFType.SCALAR)
+    def one(a: pd.Series) -> pd.Series:
+        return apply(a)
+
+    def two(a: pd.Series, b: pd.Series) -> pd.Series:
+        return apply(a, b)
+
+    def three(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        return apply(a, b, c)
+
+    return F.pandas_udf({1: one, 2: two, 3: three}[arguments], T.DoubleType())
 
 
 def kappa_of_resultant(r: np.ndarray) -> np.ndarray:

@@ -44,19 +44,18 @@ def exact_quantiles(
         on = test if on is None else on & test
     rows = left.join(right, on).select("r_.*", "s_._size")
     before = F.col("upto") - F.col("n")
-    parts = []
-    for name, p in probabilities.items():
-        low = F.floor(F.lit(float(p)) * (F.col("_size") - 1))
-        high = F.ceil(F.lit(float(p)) * (F.col("_size") - 1))
-        parts.append(F.max(F.when((before <= low) & (low < F.col("upto")), F.col("value"))).alias(f"_lo_{name}"))
-        parts.append(F.max(F.when((before <= high) & (high < F.col("upto")), F.col("value"))).alias(f"_hi_{name}"))
-    picked = rows.groupBy(*groups).agg(F.max("_size").alias("_size"), *parts)
-    out = []
-    for name, p in probabilities.items():
-        place = F.lit(float(p)) * (F.col("_size") - 1)
-        share = place - F.floor(place)
-        out.append((F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * share).alias(name))
-    return picked.select(*groups, F.col("_size").alias("size"), *out)
+    wanted = F.array(*[F.lit(float(p)) for p in probabilities.values()])
+    place = lambda i: F.get(wanted, i) * (F.col("_size") - 1)
+    holds = lambda at: (before <= at) & (at < F.col("upto"))
+    numbers = F.sequence(F.lit(0), F.lit(len(probabilities) - 1))
+    # a distinct value is kept for the probabilities whose lower or upper rank falls on it
+    kept = F.filter(numbers, lambda i: holds(F.floor(place(i))) | holds(F.ceil(place(i))))
+    hits = rows.withColumn("_i", F.explode(kept))
+    ends = hits.groupBy(*groups, "_i").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.max("_size").alias("_size"))
+    share = place(F.col("_i")) - F.floor(place(F.col("_i")))
+    ends = ends.withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * share)
+    out = [F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(name) for i, name in enumerate(probabilities)]
+    return ends.groupBy(*groups).agg(F.max("_size").alias("size"), *out)
 
 
 def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

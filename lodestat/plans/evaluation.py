@@ -9,7 +9,12 @@ from lodestat.operators.clustering import cluster_indices as indices
 from lodestat.plans.registry import plan, r6
 from lodestat.plans.windows import SCORE_SQL, daily, DAILY, scored
 
-Y = F.col("y")
+
+
+def y():
+    return F.col("y")
+
+
 PRED = "score >= 6"
 
 EMB_SQL = "with e as (select vec_id, label as truth, case when vec_id % 3 = 0 then (label + 1) % 10 else label end as predicted, vec_id % 4 as fold from embeddings)"
@@ -31,7 +36,7 @@ def confusion_table(t):
     select tp::bigint as tp, fp::bigint as fp, fn::bigint as fn, tn::bigint as tn, round(tp / (tp + fp), 6) as precision, round(tp / (tp + fn), 6) as recall, round(2 * tp / (2 * tp + fp + fn), 6) as f1, round((tp + tn) / (tp + fp + fn + tn), 6) as accuracy from c""",
 )
 def binary_metrics(t):
-    m = Ev.binary_metrics(scored(t), Y, F.expr(PRED))
+    m = Ev.binary_metrics(scored(t), y(), F.expr(PRED))
     return m.withColumns({c: r6(c) for c in ("precision", "recall", "f1", "accuracy")})
 
 
@@ -64,7 +69,7 @@ def classification_report(t):
     select score as threshold, round(cp / tp, 6) as tpr, round(cn / tn, 6) as fpr, round(cp / (cp + cn), 6) as precision from c""",
 )
 def roc_pr_curve(t):
-    p = R.roc_pr_points(scored(t), "score", Y)
+    p = R.roc_pr_points(scored(t), "score", y())
     return p.select("threshold", *[r6(c).alias(c) for c in ("tpr", "fpr", "precision")])
 
 
@@ -75,9 +80,9 @@ def roc_pr_curve(t):
 )
 def auc_average_precision(t):
     rows = scored(t)
-    table = R.score_table(rows, "score", Y)
-    area = R.auc(rows, "score", Y)
-    ap = R.average_precision(table, R.totals(rows, Y)["pos"])
+    table = R.score_table(rows, "score", y())
+    area = R.auc(rows, "score", y())
+    ap = R.average_precision(table, R.totals(rows, y())["pos"])
     return area.select(r6("auc").alias("auc"), r6(ap.scalar()).alias("average_precision"))
 
 
@@ -109,7 +114,7 @@ def auc_ovr_ovo(t):
     select round((avg(-ln(1 - p)) filter (not y) + avg(-ln(p)) filter (y)) / 2, 6) as log_loss from e""",
 )
 def log_loss_balanced(t):
-    return Ev.balanced_log_loss(scored(t), Y, F.col("value") / 500).select(r6("log_loss").alias("log_loss"))
+    return Ev.balanced_log_loss(scored(t), y(), F.col("value") / 500).select(r6("log_loss").alias("log_loss"))
 
 
 @plan(
@@ -120,7 +125,7 @@ def log_loss_balanced(t):
     select round(gini, 6) as gini, round(top_share, 6) as top_share, round((gini + top_share) / 2, 6) as metric from g""",
 )
 def amex_metric(t):
-    m = R.amex_metric(scored(t), "score", Y)
+    m = R.amex_metric(scored(t), "score", y())
     return m.select(*[r6(c).alias(c) for c in ("gini", "top_share", "metric")])
 
 
@@ -129,7 +134,7 @@ def amex_metric(t):
     """with e as (select event_type = 'purchase' as y, value / 500 as p from events) select least(floor(p * 10), 9)::bigint as bin, round(avg(p), 6) as predicted, round(avg(y::integer), 6) as observed, count(*) as n from e group by 1""",
 )
 def calibration_curve(t):
-    c = Ev.calibration(scored(t), Y, F.col("value") / 500, 10)
+    c = Ev.calibration(scored(t), y(), F.col("value") / 500, 10)
     return c.withColumns({"predicted": r6("predicted"), "observed": r6("observed")})
 
 
@@ -139,7 +144,7 @@ def calibration_curve(t):
     select threshold, round(sum(case when not y and s + 1e-11 >= threshold then 12.5 when y and s + 1e-11 < threshold then value else 0 end), 4) as cost from e, g group by 1""",
 )
 def cost_curve(t):
-    c = Ev.cost_curve(scored(t), F.col("value") / 400, Y, F.col("value"), 12.5)
+    c = Ev.cost_curve(scored(t), F.col("value") / 400, y(), F.col("value"), 12.5)
     return c.withColumn("cost", r6("cost", 4))
 
 
@@ -148,7 +153,7 @@ def cost_curve(t):
     SCORE_SQL + f""" select case when y then 'false_negative' else 'false_positive' end as kind, (floor(value / 25) * 25)::double as low, count(*) as n from e where y <> ({PRED}) group by 1, 2""",
 )
 def error_distribution(t):
-    return Ev.error_histogram(scored(t), F.col("value"), Y, F.expr(PRED), 25.0)
+    return Ev.error_histogram(scored(t), F.col("value"), y(), F.expr(PRED), 25.0)
 
 
 @plan(

@@ -11,7 +11,12 @@ from lodestat.plans.registry import plan, r6
 from lodestat.plans.windows import SCORE_SQL, scored
 
 HALF = "timestamp '2024-01-16'"
-LATE = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+
+
+def late():
+    return F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+
+
 # the error function by its power series, for SQL engines without one
 ERF = "(2 / sqrt(pi()) * list_sum(list_transform(range(0, 80), lambda k: pow(-1, k) * pow({x}, 2 * k + 1) / (gamma(k + 1) * (2 * k + 1)))))"
 
@@ -66,7 +71,7 @@ EDGES = ", ".join(f"{i / 20}" for i in range(1, 20))
 )
 def wsri(t):
     rows = scored(t)
-    out = Dr.wsri(rows.filter(~LATE), rows.filter(LATE), "score", F.col("y"), 20)
+    out = Dr.wsri(rows.filter(~late()), rows.filter(late()), "score", F.col("y"), 20)
     return out.select(r6("monitoring_d").alias("monitoring_d"), r6("benchmark_d").alias("benchmark_d"), r6("wsri", 4).alias("wsri"))
 
 
@@ -102,13 +107,13 @@ POOLED = f"""with e as (select value as v, ts >= {HALF} as second from events),
     round((m2 - (n2 + 1) / 2) / n1, 6) as effect from w, n""",
 )
 def brunner_munzel(t):
-    b = H.brunner_munzel(t.events, "value", LATE)
+    b = H.brunner_munzel(t.events, "value", late())
     return b.select(r6("statistic", 5).alias("statistic"), r6("df", 2).alias("df"), r6("effect").alias("effect"))
 
 
 @plan("brunner_munzel_p")
 def brunner_munzel_p(t):
-    return H.brunner_munzel(t.events, "value", LATE).select("statistic", "p_value")
+    return H.brunner_munzel(t.events, "value", late()).select("statistic", "p_value")
 
 
 @plan(
@@ -118,7 +123,7 @@ def brunner_munzel_p(t):
     select u1, u2, round(z, 5) + 0.0 as z, round(least(1, 1 - {ERF.format(x='(z / sqrt(2))')}), 5) as p_value from z""",
 )
 def mann_whitney_u(t):
-    m = H.mann_whitney(t.events, "value", LATE)
+    m = H.mann_whitney(t.events, "value", late())
     return m.select("u1", "u2", r6("z", 5).alias("z"), r6("p_value", 5).alias("p_value"))
 
 
@@ -151,7 +156,7 @@ def chi2_independence(t):
 
 @plan("fligner_killeen")
 def fligner_killeen(t):
-    ev = t.events.select("value", F.when(LATE, "late").otherwise("early").alias("half"))
+    ev = t.events.select("value", F.when(late(), "late").otherwise("early").alias("half"))
     return H.fligner_killeen(ev, "value", "half")
 
 

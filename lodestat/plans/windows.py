@@ -216,8 +216,14 @@ def monthly(t):
 
 
 # a calendar series is short (days or months), so one ordered task holds it
-CALENDAR = Window.partitionBy(F.lit(0)).orderBy("day")
-PANEL = Window.partitionBy("o_custkey").orderBy("month")
+def calendar():
+    return Window.partitionBy(F.lit(0)).orderBy("day")
+
+
+def panel():
+    return Window.partitionBy("o_custkey").orderBy("month")
+
+
 DAILY = "with d as (select date_trunc('day', ts)::timestamp as day, round(sum(value), 4) as total from events group by 1)"
 MONTHLY = "with m as (select o_custkey, date_trunc('month', o_orderdate)::timestamp as month, round(sum(o_totalprice), 2) as total from orders group by 1, 2)"
 
@@ -230,9 +236,9 @@ MONTHLY = "with m as (select o_custkey, date_trunc('month', o_orderdate)::timest
 )
 def diff_lag(t):
     d = daily(t)
-    d = d.withColumn("first_diff", F.col("total") - F.lag("total").over(CALENDAR))
-    d = d.withColumn("season_diff", F.col("total") - F.lag("total", 7).over(CALENDAR))
-    d = d.withColumn("both_diff", F.col("first_diff") - F.lag("first_diff", 7).over(CALENDAR))
+    d = d.withColumn("first_diff", F.col("total") - F.lag("total").over(calendar()))
+    d = d.withColumn("season_diff", F.col("total") - F.lag("total", 7).over(calendar()))
+    d = d.withColumn("both_diff", F.col("first_diff") - F.lag("first_diff", 7).over(calendar()))
     return d.select("day", *[r6(c, 4).alias(c) for c in ("first_diff", "season_diff", "both_diff")])
 
 
@@ -244,7 +250,7 @@ def diff_lag(t):
 def ratio_to_previous(t):
     m = monthly(t)
     return m.select(
-        "o_custkey", "month", r6(F.col("total") / F.lag("total").over(PANEL)).alias("ratio"), F.first("total").over(PANEL).alias("baseline")
+        "o_custkey", "month", r6(F.col("total") / F.lag("total").over(panel())).alias("ratio"), F.first("total").over(panel()).alias("baseline")
     )
 
 
@@ -255,10 +261,10 @@ def ratio_to_previous(t):
 def ratio_to_level(t):
     m = monthly(t)
     ratio = m.select(
-        "o_custkey", "month", F.coalesce(F.col("total") / F.lag("total").over(PANEL), F.lit(1.0)).alias("ratio"),
-        F.first("total").over(PANEL).alias("baseline"),
+        "o_custkey", "month", F.coalesce(F.col("total") / F.lag("total").over(panel()), F.lit(1.0)).alias("ratio"),
+        F.first("total").over(panel()).alias("baseline"),
     )
-    product = F.exp(F.sum(F.log("ratio")).over(PANEL))
+    product = F.exp(F.sum(F.log("ratio")).over(panel()))
     return ratio.select("o_custkey", "month", r6(F.col("baseline") * product, 2).alias("level"))
 
 
@@ -271,7 +277,7 @@ def ratio_to_level(t):
 )
 def sliding_supervised(t):
     length, horizon = 3, 2
-    ahead = PANEL.rowsBetween(0, length + horizon - 1)
+    ahead = panel().rowsBetween(0, length + horizon - 1)
     w = monthly(t).withColumn("window", F.collect_list("total").over(ahead))
     size = F.size("window")
     w = w.filter((size == length + horizon) | (size == length))
@@ -289,7 +295,7 @@ def sliding_supervised(t):
 )
 def moving_average_rows(t):
     def mean(n):
-        w = CALENDAR.rowsBetween(-(n - 1), 0)
+        w = calendar().rowsBetween(-(n - 1), 0)
         return r6(F.when(F.count(F.lit(1)).over(w) == n, F.avg("total").over(w)), 4).alias(f"ma{n}")
 
     return daily(t).select("day", mean(5), mean(7))
