@@ -6,6 +6,7 @@ of the input are touched once, by a grouped count that folds equal scores before
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,3 +116,24 @@ def amex_metric(df: DataFrame, score: str, label: Column, negative_weight: float
         "top_share",
         ((F.col("gini") / best + F.col("top_share")) / 2).alias("metric"),
     )
+
+
+METRICS = {
+    "somers_d": lambda df, score, label: somers_d(df, score, label),
+    "auc": lambda df, score, label: auc(df, score, label),
+    "amex": lambda df, score, label: amex_metric(df, score, label).select("metric"),
+}
+
+
+class RankingEvaluator(Evaluator):
+    """A ranking measure as an evaluator, for cross-validation of pipelines."""
+
+    def __init__(self, score: str, label: str, metric: str = "somers_d"):
+        super().__init__()
+        self.score, self.label, self.metric = score, label, metric
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        return float(METRICS[self.metric](dataset, self.score, F.col(self.label).cast("boolean")).first()[0])
+
+    def isLargerBetter(self) -> bool:
+        return True

@@ -1,7 +1,7 @@
 """Look-back features per account.
 
-A look-back frame of length p only needs rows at most p old. Time is cut into slices at least as
-long as the longest look-back; every row goes to its own slice and, as context, to the next one.
+A look-back frame of length p only needs rows at most p old. Time is cut into slices longer than
+the longest look-back; every row goes to its own slice and, if late in it, as context to the next.
 A hot account is thus spread over as many tasks as there are slices, and every frame is whole.
 """
 
@@ -20,14 +20,18 @@ def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def time_sliced(df: DataFrame, ts: str, width_hours: float) -> DataFrame:
-    """Copy each row into its own time slice and, if it can be seen from there, the next one.
+def time_sliced(df: DataFrame, ts: str, longest_hours: float) -> DataFrame:
+    """Copy each row into its own time slice and, if a look-back from there can see it, the next one.
 
-    Adds ``_us`` (microseconds), ``_slice`` and ``_own`` (false on context copies).
+    Slices are twice the longest look-back, so half of the rows travel twice. Adds ``_us``
+    (microseconds), ``_slice`` and ``_own`` (false on context copies).
     """
-    width = int(width_hours * HOUR)
-    home = F.floor(F.col("_us") / F.lit(width))
-    spread = df.withColumn("_us", micros(ts)).withColumn("_step", F.explode(F.array(F.lit(0), F.lit(1))))
+    reach = int(longest_hours * HOUR)
+    home = F.floor(F.col("_us") / F.lit(2 * reach))
+    timed = df.withColumn("_us", micros(ts))
+    late = F.col("_us") >= (home + 1) * F.lit(2 * reach) - F.lit(reach)
+    steps = F.when(late, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    spread = timed.withColumn("_step", F.explode(steps))
     return spread.withColumn("_slice", home + F.col("_step")).withColumn("_own", F.col("_step") == 0).drop("_step")
 
 

@@ -11,6 +11,7 @@ from lodestat.operators.aggregates import with_midranks
 from lodestat.operators.ordered import ntile_from_rank, previous_row, row_numbers, running_totals
 from lodestat.operators.quantiles import attach
 from lodestat.plans.registry import plan, r6
+from lodestat.session import checkpointed
 
 PERIODS = [1, 3, 6, 12, 24, 72, 168]
 
@@ -167,11 +168,15 @@ def customer_rfm(t):
 
 
 def rfm_scores(c):
-    total = c.agg(F.count(F.lit(1))).scalar()
-    for value, out, down in (("recency", "r", True), ("frequency", "f", False), ("monetary", "m", False)):
-        c = row_numbers(c, value, "o_custkey", name="_i", descending=down)
-        c = c.withColumn(out, ntile_from_rank(F.col("_i"), total, 4)).drop("_i")
-    return c
+    """Quartile scores of recency (reversed), frequency and money; each ranked on its own two columns."""
+    c = checkpointed(c)
+    total = c.count()
+    out = c
+    for value, name, down in (("recency", "r", True), ("frequency", "f", False), ("monetary", "m", False)):
+        ranked = row_numbers(c.select("o_custkey", value), value, "o_custkey", name="_i", descending=down)
+        score = ntile_from_rank(F.col("_i"), F.lit(total), 4).alias(name)
+        out = out.join(ranked.select("o_custkey", score), "o_custkey")
+    return out
 
 
 RFM_SCORES = RFM_BASE + """, s as (select *, ntile(4) over (order by recency desc, o_custkey)::integer as r,

@@ -13,9 +13,12 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from lodestat.sources.writers import scratch_folder
 
 
-def read_events(spark: SparkSession, path: str, schema: T.StructType, ts: str = "ts") -> DataFrame:
-    """Parquet files as a stream, event time as a timestamp fit for watermarks."""
-    return spark.readStream.schema(schema).parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
+def read_events(spark: SparkSession, path: str, schema: T.StructType, ts: str = "ts", max_files: int = 1000) -> DataFrame:
+    """Parquet files as a stream, event time as a timestamp fit for watermarks.
+
+    ``max_files`` bounds a micro-batch, and with it what one account can bring into one task.
+    """
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
 
 
 def window_amounts(stream: DataFrame, ts: str, keys: list[str], amount: str, length: str, slide: str | None = None, late: str = "1 hour") -> DataFrame:

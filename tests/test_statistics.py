@@ -128,3 +128,9 @@ def test_fligner_killeen_sees_unequal_spread(spark):
     rng = np.random.default_rng(6)
     pdf = pd.DataFrame({"v": np.concatenate([rng.normal(0, 1, 300), rng.normal(0, 3, 300)]), "g": ["a"] * 300 + ["b"] * 300})
     assert H.fligner_killeen(spark.createDataFrame(pdf), "v", "g").first()["p_value"] < 1e-6
+
+
+def test_ranking_evaluator(spark):
+    df = spark.createDataFrame([(0.1, 0), (0.4, 1), (0.35, 0), (0.8, 1)], "s double, y int")
+    assert R.RankingEvaluator("s", "y").evaluate(df) == pytest.approx(1.0)
+    assert R.RankingEvaluator("s", "y", "auc").evaluate(df) == pytest.approx(1.0)
