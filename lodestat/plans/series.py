@@ -22,7 +22,7 @@ def two_series(t):
 
 @plan(
     "resample",
-    """select date_trunc('quarter', o_orderdate)::timestamp as period, round(avg(o_totalprice), 4) as mean, round(var_samp(o_totalprice), 0) as variance,
+    """select date_trunc('quarter', o_orderdate)::timestamp as period, round(avg(o_totalprice), 7) as mean, round(var_samp(o_totalprice), 0) as variance,
     round(median(o_totalprice), 4) as median from orders group by 1""",
 )
 def resample(t):
@@ -30,7 +30,7 @@ def resample(t):
     r = Se.resample(t.orders, "o_orderdate", "o_totalprice", "quarter", ["mean", "variance"])
     medians = exact_quantiles(o, ["o_totalprice"], {"median": 0.5}, ["period"]).select("period", "median")
     both = attach(r, medians, ["period"])
-    return both.select("period", r6("mean", 4).alias("mean"), r6("variance", 0).alias("variance"), r6("median", 4).alias("median"))
+    return both.select("period", r6("mean", 7).alias("mean"), r6("variance", 0).alias("variance"), r6("median", 4).alias("median"))
 
 
 @plan(
