@@ -12,7 +12,7 @@ from lodestat.operators.ordered import previous_row, running_totals
 
 
 def _impurity(counts: Sequence[Column], total: Column, criterion: str) -> Column:
-    shares = [c / total for c in counts]
+    shares = [F.try_divide(c, total) for c in counts]
     if criterion == "gini":
         return 1 - sum((s * s for s in shares[1:]), shares[0] * shares[0])
     terms = [F.when(s > 0, -s * F.log2(s)).otherwise(0.0) for s in shares]
@@ -33,10 +33,13 @@ def best_splits(
     long = df.select(node, F.col(label).alias("_y"), F.inline(cells))
     names = [f"c{i}" for i in range(k)]
     counts = long.groupBy(node, "f", "value").agg(*[F.count_if(F.col("_y") == c).alias(n) for n, c in zip(names, classes)])
-    whole = df.groupBy(node).agg(*[F.count_if(F.col(label) == c).alias(f"t{i}") for i, c in enumerate(classes)])
+    # one row per open node: bounded by the width of the tree
+    whole = df.groupBy(node).agg(F.array(*[F.count_if(F.col(label) == c) for c in classes]).alias("t")).collect()
+    totals = F.create_map(*[x for r in whole for x in (F.lit(r[node]), F.array(*[F.lit(v) for v in r["t"]]))])
     summed = running_totals(counts, "value", names, [node, "f"])
     summed = previous_row(summed, "value", {"before": "value"}, [node, "f"]).filter(F.col("before").isNotNull())
-    rows = summed.join(whole, node)
+    rows = summed.withColumn("_t", totals[F.col(node)])
+    rows = rows.withColumns({f"t{i}": F.get("_t", F.lit(i)) for i in range(k)})
     left = [F.col(f"cum_{n}") - F.col(n) for n in names]
     rows = rows.withColumns({f"l{i}": c for i, c in enumerate(left)}).withColumns({f"r{i}": F.col(f"t{i}") - F.col(f"l{i}") for i in range(k)})
 
