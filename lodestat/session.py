@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -28,16 +31,33 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
     return spark
 
 
+_OWN_FOLDER: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+
+    Only a session inside one process (master ``local[...]``, as in tests) may leave it unset; it then gets one folder of
+    its own, removed when the process ends. On a cluster a machine-local folder would lose rows, so there this raises.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _OWN_FOLDER:
+        _OWN_FOLDER.append(tempfile.mkdtemp(prefix="lodestat-"))
+        atexit.register(shutil.rmtree, _OWN_FOLDER[0], ignore_errors=True)
+    return _OWN_FOLDER[0]
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the written table.
+    """Write ``df`` to the shared folder and continue from the written table.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where that is
-    unset (tests on one machine) is a fresh temporary folder used. Reading the table back cuts the
-    lineage, survives lost executors, and gives the planner the true size of the data; loops that
-    join their own results would otherwise carry ever larger size estimates.
+    Reading the table back cuts the lineage, survives lost executors, and gives the planner the true size of the data;
+    loops that join their own results would otherwise carry ever larger size estimates.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodestat-checkpoint-")
-    path = f"{folder.rstrip('/')}/lodestat-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/lodestat-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

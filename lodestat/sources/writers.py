@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestat.session import shared_folder
+
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name under the cluster's shared checkpoint folder (a temp folder where unset)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodestat-")
-    return f"{shared.rstrip('/')}/lodestat-{label}-{uuid.uuid4().hex}"
+    """A new folder name under the shared folder."""
+    return f"{shared_folder(spark)}/lodestat-{label}-{uuid.uuid4().hex}"
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
