@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lodestat.llm.common import new_path, text_or_empty
 
 RECORD_BYTES = 16
+MOST_BROADCAST = 1 << 20
 
 
 def write_shards(
@@ -52,6 +53,8 @@ def write_shards(
         .agg(F.collect_list(F.struct("size", "text_crc32", "doc")).alias("rows"))
         .select("bucket", F.posexplode(F.shuffle("rows", F.lit(seed))))
     )
+    if buckets <= MOST_BROADCAST:  # 24 bytes a bucket; beyond it the rows meet their starts in a shuffled join
+        starts = F.broadcast(starts)
     placed = shuffled.join(starts, "bucket").select("col.*", (F.col("start") + F.col("pos")).alias("place"))
     small, longer = n // shards, n % shards  # the first `longer` shards hold one row more
     edge = longer * (small + 1)
