@@ -1,14 +1,18 @@
 """The queries of this package, and SQL for those that SQL can express."""
 
+from lodestat.llm.language_id import op10_language_id
 from lodestat.llm.line_dedup import OP9_SQL, op9_line_dedup
 from lodestat.llm.mixing import op7_mixing
 from lodestat.llm.sharding import op3_sharding
 from lodestat.llm.url_rules import op6_url_rules
+from lodestat.llm.warc import op5_warc
 
 QUERIES = {
     "op3_sharding": op3_sharding,
+    "op5_warc": op5_warc,
     "op6_url_rules": op6_url_rules,
     "op7_mixing": op7_mixing,
     "op9_line_dedup": op9_line_dedup,
+    "op10_language_id": op10_language_id,
 }
 SQL = {"op9_line_dedup": OP9_SQL}
