@@ -36,7 +36,7 @@ class LineRuns:
     def _write(self, df: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
         sorted_rows = df.repartition(self.buckets, *HASHES)
-        sorted_rows.write.bucketBy(self.buckets, *HASHES).sortBy(*HASHES).option("path", new_path(self.spark, "run")).saveAsTable(name)
+        sorted_rows.write.bucketBy(self.buckets, *HASHES).sortBy(*HASHES).option("compression", "none").option("path", new_path(self.spark, "run")).saveAsTable(name)
         return name
 
     def add(self, batch: DataFrame, key: str) -> DataFrame:
@@ -94,7 +94,7 @@ def dedup_lines(
     hashed = docs.select(key, batch.alias("batch"), line.alias("line")).where(F.length("line") >= least_chars)
     hashed = hashed.select(key, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), "batch")
     path = new_path(spark, "lines")
-    hashed.write.partitionBy("batch").parquet(path)
+    hashed.write.option("compression", "none").partitionBy("batch").parquet(path)  # hashes don't compress
     hashed = spark.read.schema(hashed.schema).parquet(path)
 
     runs = LineRuns(spark, buckets=max(8, math.ceil(total / (1 << 30))), fan_in=fan_in)
