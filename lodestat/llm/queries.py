@@ -1,5 +1,7 @@
 """The queries of this package, and SQL for those that SQL can express."""
 
+from lodestat.llm.decontaminate import op8_decontaminate
+from lodestat.llm.fingerprints import op4_fingerprints
 from lodestat.llm.language_id import op10_language_id
 from lodestat.llm.line_dedup import OP9_SQL, op9_line_dedup
 from lodestat.llm.mixing import op7_mixing
@@ -9,9 +11,11 @@ from lodestat.llm.warc import op5_warc
 
 QUERIES = {
     "op3_sharding": op3_sharding,
+    "op4_fingerprints": op4_fingerprints,
     "op5_warc": op5_warc,
     "op6_url_rules": op6_url_rules,
     "op7_mixing": op7_mixing,
+    "op8_decontaminate": op8_decontaminate,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
 }
