@@ -6,12 +6,14 @@ from lodestat.llm.katz import op1_katz
 from lodestat.llm.language_id import op10_language_id
 from lodestat.llm.line_dedup import OP9_SQL, op9_line_dedup
 from lodestat.llm.mixing import op7_mixing
+from lodestat.llm.ngram_join import op2_ngram_join
 from lodestat.llm.sharding import op3_sharding
 from lodestat.llm.url_rules import op6_url_rules
 from lodestat.llm.warc import op5_warc
 
 QUERIES = {
     "op1_katz": op1_katz,
+    "op2_ngram_join": op2_ngram_join,
     "op3_sharding": op3_sharding,
     "op4_fingerprints": op4_fingerprints,
     "op5_warc": op5_warc,
