@@ -29,6 +29,11 @@ def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def whole_row(df: DataFrame, name: str = "doc") -> Column:
+    """All columns as one struct, where no name of theirs can clash with a column added beside it."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(name)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
 

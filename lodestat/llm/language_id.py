@@ -93,10 +93,13 @@ def fit(
     driver collects and broadcasts; its size doesn't depend on the table. Null or empty texts and null labels teach nothing.
     """
     labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    rows = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
-    langs = sorted(r["lang"] for r in rows.select("lang").collect())
+    rows = {r["lang"]: r["rows"] for r in labelled.groupBy("lang").agg(F.count("*").alias("rows")).collect()}
+    langs = sorted(rows)
     draw = F.pmod(F.xxhash64(F.lit(11), "key"), F.lit(1 << 40)) / float(1 << 40)
-    sample = labelled.join(rows, "lang").where(draw < sample_docs / F.col("rows")).select("lang", "text")
+    share = F.lit(0.0)
+    for name in langs:
+        share = F.when(F.col("lang") == name, sample_docs / rows[name]).otherwise(share)
+    sample = labelled.where(draw < share).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

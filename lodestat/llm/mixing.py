@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestat.llm.common import WORD, text_or_empty
+from lodestat.llm.common import WORD, text_or_empty, whole_row, written
 
 BINS = 4096
+MOST_BROADCAST = 1 << 20
 
 
 def word_count(text: str = "text") -> Column:
@@ -71,6 +72,9 @@ def mix(
     ends = ends.groupBy(F.col(source).alias("at"), "source_size", "target", "epochs", "budget").agg(first.alias("end"))
     ends = ends.select("at", "source_size", "target", "epochs", "budget", F.coalesce("end.bin", F.lit(-1)).alias("end_bin"), F.col("end.before").alias("before"))
 
+    ends = written(ends, "mix-ends")
+    if ends.count() <= MOST_BROADCAST:  # a row per source; beyond it rows meet their source in a shuffled join, which can be split
+        ends = F.broadcast(ends)
     joined = keyed.join(ends, F.col(source).eqNullSafe(F.col("at")))
     out = [*docs.columns, "source_size", "target", "epochs"]
     whole = F.when(F.col("bin") < F.col("end_bin"), F.col("size")).otherwise(F.lit(0))
@@ -88,9 +92,33 @@ def label_weights(labels: DataFrame, good: float = 2.0, bad: float = 0.5) -> Dat
     )
 
 
+def weighted(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows as struct ``doc`` beside key, source, size and weight, so no column of theirs can clash."""
+    rows = docs.select(whole_row(docs), key, "source", word_count().alias("size"))
+    labels = label_weights(labels)
+    return rows.join(labels, rows[key] == labels["label_id"], "left").drop("label_id")
+
+
+def mixed_rows(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+    """The mix itself: the columns of ``docs``, each row as often as the mix takes it.
+
+    The one copy per source at which the budget ends holds only its first words (joined by single spaces; n_chars follows).
+    """
+    planned = mix(weighted(docs, labels), **settings)
+    copy = F.explode(F.sequence(F.lit(1), (F.col("epochs") + (F.col("part") > 0).cast("int")).cast("int")))
+    rows = planned.where("epochs > 0 OR part > 0").select("doc", "size", "epochs", "part", copy.alias("copy"))
+    cut = (F.col("copy") > F.col("epochs")) & (F.col("part") < F.col("size"))
+    words = F.regexp_extract_all(F.col("doc.text"), F.lit(WORD), F.lit(0))
+    text = F.when(cut, F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), " ")).otherwise(F.col("doc.text"))
+    rows = rows.withColumn("cut_text", text).withColumn("was_cut", cut)
+    out = {c: F.col(f"doc.`{c}`") for c in docs.columns}
+    out["text"] = F.col("cut_text")
+    if "n_chars" in out:
+        out["n_chars"] = F.when(F.col("was_cut"), F.length("cut_text").cast("long")).otherwise(F.col("doc.n_chars"))
+    return rows.select(*(c.alias(name) for name, c in out.items()))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", word_count().alias("size"))
-    labels = label_weights(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    docs = docs.join(labels, docs.doc_id == labels.label_id, "left").drop("label_id")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     taken = F.col("epochs") * F.col("size") + F.col("part")
-    return mix(docs).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source", "epochs")
+    return mix(weighted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("doc")).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source", "epochs")

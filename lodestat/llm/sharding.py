@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestat.llm.common import new_path, text_or_empty
+from lodestat.llm.common import new_path, text_or_empty, whole_row
 
 RECORD_BYTES = 16
 MOST_BROADCAST = 1 << 20
@@ -33,7 +33,7 @@ def write_shards(
     """
     spark = docs.sparkSession
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+        whole_row(docs),
         (F.octet_length(text_or_empty(text)) + F.lit(RECORD_BYTES)).cast("long").alias("size"),
         F.crc32(text_or_empty(text).cast("binary")).alias("text_crc32"),
         F.xxhash64(F.lit(seed), F.col(key), text_or_empty(text), F.monotonically_increasing_id()).alias("draw"),
