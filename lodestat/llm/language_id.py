@@ -22,7 +22,7 @@ def words_in(text: str | None) -> list[str]:
 
 
 def grams_of(word: str, n: int) -> list[str]:
-    padded = f"_{word}_"
+    padded = f"_{word}_" if n > 1 else word
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
@@ -114,7 +114,7 @@ def fit(
                     kinds += [n] * len(grams)
                     items += list(grams)
                     times += list(grams.values())
-                yield pd.DataFrame({"lang": name, "kind": kinds, "item": items, "n": times})
+                yield pd.DataFrame({"lang": pd.Series([name] * len(items), dtype=object), "kind": kinds, "item": pd.Series(items, dtype=object), "n": times})
 
     counted = sample.mapInPandas(count, "lang string, kind int, item string, n long")
     counted = counted.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")).where(F.col("n") >= least_count)
