@@ -1,6 +1,6 @@
 """Katz backoff bigram scoring.
 
-Texts are cut into chunks of about a million tokens. A chunk asks by hash bucket for the counts of its distinct words, then of its
+Texts are cut into chunks of some hundred thousand tokens. A chunk asks by hash bucket for the counts of its distinct words, then of its
 distinct word pairs; a bucket adds up what all chunks bring, stores its part of the model, and answers every chunk. So a
 word or pair comes once per chunk, however often it occurs, and no occurrence crosses the network.
 """
@@ -244,8 +244,8 @@ def tell_pairs(low: Unigrams):
     """Pair counts of a bucket, each chunk's answers, and for contexts what their backoff weight is made of.
 
     Per context: the number of its followers seen 1..K times, the sum of larger counts, and the lower-order
-    probability of all followers. They go to the chunks that meet an unseen follower of it, and always for a hot one,
-    whose parts from all buckets the chunk adds up.
+    probability of all followers. They go to the chunks that meet an unseen follower of it; for a hot context, whose
+    followers lie in all buckets, every bucket tells its part once.
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -270,28 +270,47 @@ def tell_pairs(low: Unigrams):
         rows = [("model", int(group["bucket"].iloc[0]), None, *(narrow(x) for x in model), stats.tobytes())]
         answers = np.split(counts[at], np.cumsum([t.sum() for t in times])[:-1])
         own_contexts = np.split(v_at, np.cumsum([len(c) for c in contexts])[:-1])
+        hot = np.zeros(len(vs), dtype=bool)
         for chunk, own, runs, length, answer in zip(group["chunk"], own_contexts, times, lengths, answers, strict=True):
             unseen = np.add.reduceat(answer == 0, np.concatenate([[0], np.cumsum(runs)[:-1]])) > 0
-            needed = np.flatnonzero(unseen | (length >> np.uint32(31) == 1)).astype(np.uint32)
+            is_hot = length >> np.uint32(31) == 1
+            hot[own[is_hot]] = True
+            needed = np.flatnonzero(unseen & ~is_hot).astype(np.uint32)
             rows.append(("answer", int(group["bucket"].iloc[0]), chunk, narrow(answer), few[own].tobytes(), needed.tobytes(), made[own[needed]].tobytes()))
+        rows.append(("hot", int(group["bucket"].iloc[0]), None, vs[hot].tobytes(), made[hot].tobytes(), None, None))
         return pd.DataFrame(rows, columns=names(TELLS))
 
     return run
 
 
-def score_chunk(low: Unigrams, factor: np.ndarray, buckets: int, hot: int):
+def hot_contexts(told: DataFrame) -> dict[int, np.ndarray]:
+    """What all buckets tell of the hot contexts, added up; these number at most four per bucket."""
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for ids, made in zip(batch["a"], batch["b"], strict=True):
+                values = pd.DataFrame(np.frombuffer(made, dtype=np.float64).reshape(-1, K + 2), columns=[f"m{i}" for i in range(K + 2)])
+                yield pd.concat([pd.Series(u64(ids).view(np.int64), name="v"), values], axis=1)
+
+    columns = [f"m{i}" for i in range(K + 2)]
+    rows = told.where("kind = 'hot'").select("a", "b").mapInPandas(parts, "v long, " + ", ".join(f"{c} double" for c in columns))
+    sums = rows.groupBy("v").agg(*(F.sum(c).alias(c) for c in columns)).collect()
+    return {np.int64(r["v"]).astype(np.uint64): np.array([r[c] for c in columns]) for r in sums}
+
+
+def score_chunk(low: Unigrams, factor: np.ndarray, buckets: int, hot: int, hot_made: dict[int, np.ndarray]):
     def run(chunks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, row in chunks.iterrows():
             pair_answers = answers[answers["kind"] == "pairs"].sort_values("bucket")
             c = Chunk(row, answers[answers["kind"] == "words"], low, buckets, hot)
-            out.append(scored(c, pair_answers, low, factor))
+            out.append(scored(c, pair_answers, low, factor, hot_made))
         return pd.concat(out)
 
     return run
 
 
-def scored(c: Chunk, answers: pd.DataFrame, low: Unigrams, factor: np.ndarray) -> pd.DataFrame:
+def scored(c: Chunk, answers: pd.DataFrame, low: Unigrams, factor: np.ndarray, hot_made: dict[int, np.ndarray]) -> pd.DataFrame:
     known = c.word_counts[c.tokens]
     word_log = np.log10(low.probability(c.word_counts))
     logs = word_log[c.tokens]
@@ -305,12 +324,14 @@ def scored(c: Chunk, answers: pd.DataFrame, low: Unigrams, factor: np.ndarray) -
         first_run = np.searchsorted(bucket[runs], answers["bucket"].to_numpy())
         needed = np.concatenate([u32(x).astype(np.int64) + first for x, first in zip(answers["c"], first_run, strict=True)])
         made = np.concatenate([np.frombuffer(x, dtype=np.float64).reshape(-1, K + 2) for x in answers["d"]])
-        # a hot context has a run in many buckets: add up
+        # a hot context has a run in many buckets
         contexts, context_of_run = np.unique(v[runs], return_inverse=True)
-        total = np.zeros((len(contexts), K + 2))
-        np.add.at(total, context_of_run[needed], made)
-        small = np.zeros(len(contexts), dtype=np.uint8)
-        np.bitwise_or.at(small, context_of_run, few)
+        total, small = np.zeros((len(contexts), K + 2)), np.zeros(len(contexts), dtype=np.uint8)
+        total[context_of_run[needed]] = made
+        small[context_of_run] = few
+        for at in np.unique(context_of_run[c.hot[o][runs]]):
+            total[at] = hot_made[contexts[at]]
+            small[at] = ((total[at, :K] > 0) << np.arange(K)).sum()
         cuts = ((factor < 1) << np.arange(K)).sum().astype(np.uint8)
         context_counts = np.zeros(len(contexts))
         context_counts[context_of_run] = c.v_count[o][runs]
@@ -340,7 +361,7 @@ def _bucketed(df: DataFrame, parts: int) -> DataFrame:
 
 
 def score_documents(
-    docs: DataFrame, held_out: Column, chunk_tokens: int = 1_000_000, bucket_bytes: int = 64 << 20, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, held_out: Column, chunk_tokens: int = 400_000, bucket_bytes: int = 8 << 20, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Score every whole text under a Katz bigram model learned from the rows that ``held_out`` doesn't mark.
 
@@ -377,7 +398,7 @@ def score_documents(
 
     pair_answers = pairs.where("kind = 'answer'").select(F.lit("pairs").alias("kind"), "bucket", "chunk", "a", "b", "c", "d")
     answers = word_answers.unionByName(pair_answers)
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(score_chunk(low, factor, buckets, hot), SCORES)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(score_chunk(low, factor, buckets, hot, hot_contexts(pairs)), SCORES)
 
 
 def _sums(told: DataFrame, n: int) -> np.ndarray:
