@@ -195,14 +195,14 @@ def rows_per_chunk(df: DataFrame, key: str, chunks: int) -> DataFrame:
 
 
 def poisson_one(uniform: Column) -> Column:
-    """A Poisson(1) draw from a uniform number by its distribution function."""
+    """A Poisson(1) draw from a uniform number by its distribution function, as far as a double can tell it from one."""
     edges, mass, total = [], 0.36787944117144233, 0.0
-    for k in range(12):
+    while total + mass > total:
         total += mass
         edges.append(total)
-        mass /= k + 1
-    draw = F.lit(12)
-    for k in range(11, -1, -1):
+        mass /= len(edges)
+    draw = F.lit(len(edges))
+    for k in range(len(edges) - 1, -1, -1):
         draw = F.when(uniform < edges[k], k).otherwise(draw)
     return draw
 
@@ -234,7 +234,12 @@ def bootstrap_correlation(df: DataFrame, ids: str, x: str, y: str, replicates: i
 
 
 def histogram_rules(df: DataFrame, column: str) -> DataFrame:
-    """Number of equal-width bins a numeric column gets under the usual rules, one row per rule."""
+    """Number of equal-width bins a numeric column gets under the usual rules, one row per rule.
+
+    One bin for a constant column and for rules that are undefined on so few rows; no row for an empty column.
+    """
+    if df.filter(F.col(column).isNotNull()).isEmpty():
+        return df.sparkSession.createDataFrame([], "rule string, width double, bins long, lo double, hi double")
     q = quantile_values(df, [column], {"q1": 0.25, "q3": 0.75})
     c = F.col(column).cast("double")
     row = df.agg(
@@ -249,7 +254,7 @@ def histogram_rules(df: DataFrame, column: str) -> DataFrame:
         "rice": span / (2 * F.pow(n, F.lit(1 / 3))),
         "scott": F.pow(24 * F.sqrt(F.lit(3.141592653589793)) / n, F.lit(1 / 3)) * F.col("sd"),
         "doane": span
-        / (1 + F.log2(n) + F.log2(1 + F.abs("g1") / F.sqrt(6 * (n - 2) / ((n + 1) * (n + 3))))),
+        / (1 + F.log2(n) + F.log2(1 + F.coalesce(F.try_divide(F.abs("g1"), F.sqrt(6 * (n - 2) / ((n + 1) * (n + 3)))), F.lit(0.0)))),
         "fd": 2 * F.col("iqr") / F.pow(n, F.lit(1 / 3)),
     }
     widths["auto"] = F.when(widths["fd"] > 0, F.least(widths["fd"], widths["sturges"])).otherwise(widths["sturges"])

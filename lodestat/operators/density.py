@@ -8,6 +8,8 @@ bounding boxes, not by comparing their points.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ def _touching(boxes: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
 FEW = 32
 
 
-def cell_links(core: DataFrame, eps: float, side: float, max_levels: int = 50) -> DataFrame:
+def cell_links(core: DataFrame, eps: float, side: float) -> DataFrame:
     """(a, b) of neighbouring core cells that hold two core points within eps.
 
     Box pairs are settled by their nearest and farthest corners, by their points when both boxes
@@ -71,7 +73,7 @@ def cell_links(core: DataFrame, eps: float, side: float, max_levels: int = 50) -
     left = named(_around(top), "a", "ni", "nj")
     pairs = left.join(right, ["ni", "nj"]).filter("a < b").drop("ni", "nj")
     linked = None
-    for n in range(max_levels):
+    for n in count():
         fresh, still = _touching(pairs, eps)
         still = checkpointed(still)
         few = (F.col("a_m") <= FEW) & (F.col("b_m") <= FEW)
@@ -86,14 +88,13 @@ def cell_links(core: DataFrame, eps: float, side: float, max_levels: int = 50) -
         child_a = named(boxes, "a").select("*", half("a_px").alias("pa"), half("a_py").alias("qa"))
         child_b = named(boxes, "b").select("*", half("b_px").alias("pb"), half("b_py").alias("qb"))
         pairs = keys.join(child_a, ["a", "pa", "qa"]).join(child_b, ["b", "pb", "qb"]).drop("pa", "qa", "pb", "qb")
-    raise ValueError("points are too close to be told apart")
 
 
-def components(nodes: DataFrame, links: DataFrame, max_rounds: int = 200) -> DataFrame:
+def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, component): the least node of each connected part, by least labels and label jumping."""
     both = checkpointed(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))))
     labels = checkpointed(nodes.select("node", F.col("node").alias("component")))
-    for _ in range(max_rounds):
+    while True:
         offered = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
         fresh = labels.join(offered, "node", "left").select("node", F.col("component").alias("old"), F.least("component", "m").alias("component"))
         jump = fresh.select(F.col("node").alias("component"), F.col("component").alias("up"))
@@ -101,7 +102,6 @@ def components(nodes: DataFrame, links: DataFrame, max_rounds: int = 200) -> Dat
         labels = fresh.select("node", "component")
         if fresh.filter("component <> old").isEmpty():
             return labels
-    raise ValueError("labels did not settle")
 
 
 def dbscan(df: DataFrame, id_: str, x: str, y: str, eps: float, min_points: int) -> DataFrame:

@@ -10,15 +10,11 @@ from pyspark.sql import functions as F
 from lodestat.operators.ordered import running_totals
 from lodestat.operators.quantiles import attach
 
-MAX_LEVELS = 10_000
 
 
 def levels(df: DataFrame, column: str) -> list:
-    """Sorted distinct values; each becomes a column, so more than MAX_LEVELS is refused."""
-    found = [r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()]
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels; use count_encode or ordinal_encode")
-    return sorted(found)
+    """Sorted distinct values; each becomes a column, so there are as many as a table can have columns."""
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], drop: str | None = None) -> DataFrame:

@@ -227,11 +227,12 @@ def censored_normal_nll(df: DataFrame, value: str, threshold: float, mus: list[f
     return grid.select("mu", "sigma", loss.alias("nll"))
 
 
-def logit_regression(df: DataFrame, label: Column, features: list[str], iterations: int = 25, tolerance: float = 1e-10) -> dict:
+def logit_regression(df: DataFrame, label: Column, features: list[str], iterations: int = 100, tolerance: float = 1e-10) -> dict:
     """Logistic regression by iteratively reweighted least squares.
 
     Each step is one aggregate of the weighted cross products; only a (k + 1) x (k + 1) matrix
-    reaches the driver, whatever the number of rows.
+    reaches the driver, whatever the number of rows. Raises if the steps don't shrink to the tolerance (classes that a
+    line separates have no finite solution).
     """
     names = ["intercept", *features]
     cols = [F.lit(1.0), *[F.col(f).cast("double") for f in features]]
@@ -248,8 +249,10 @@ def logit_regression(df: DataFrame, label: Column, features: list[str], iteratio
         hessian = np.array([[row[f"h{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
         step = np.linalg.solve(hessian, np.array([row[f"g{i}"] for i in range(k)]))
         beta = beta + step
-        if np.abs(step).max() < tolerance:
+        if np.abs(step).max() < tolerance * (1 + np.abs(beta).max()):
             break
+    else:
+        raise ValueError(f"no convergence in {iterations} iterations")
     error = np.sqrt(np.diag(np.linalg.inv(hessian)))
     return {n: (float(b), float(e)) for n, b, e in zip(names, beta, error)}
 

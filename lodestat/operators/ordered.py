@@ -1,79 +1,33 @@
 """Running totals, ranks, lags and carried values over orders of any size.
 
 A window without a partition key, or with a key that holds a large share of the rows, sorts
-all of those rows in one task. The functions here cut the *order column* into slices of about
-equal depth, work inside (key, slice) groups, and add what the earlier slices of the key hand
-over. A slice holds at most about 1/parts of the table, whatever the keys look like, and the
-hand-over table has at most ``parts`` rows per key.
+all of those rows in one task. The functions here deal rows out by ranges of (keys, order), so a
+slice holds about 1/parts of the table, whatever the keys look like; they work inside (key, slice)
+groups and add what the earlier slices of the key hand over. The slices are written to the shared folder
+once: the input is computed once, and both the rows and the hand-over values read the written table.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from lodestat.session import checkpointed
 
 SLICE = "_slice"
-_POSITION = "_position"
 
 
 def slice_count(df: DataFrame) -> int:
-    """Number of slices: a few per shuffle partition, bounded so that the bounds stay a small list."""
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(8192, 2 * shuffle))
-
-
-def position_of(df: DataFrame, order: str) -> Column:
-    """A double that grows with the order column."""
-    kind = df.schema[order].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
-    if isinstance(kind, T.StringType):
-        # the six bytes after the prefix that the least and greatest text (so all texts) share
-        ends = df.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
-        shared = len(os.path.commonprefix([ends["low"] or "", ends["high"] or ""]))
-        digits = F.rpad(F.hex(F.encode(F.substring(F.col(order), shared + 1, 6), "UTF-8")), 12, "0")
-        return F.conv(digits, 16, 10).cast("double")
-    return F.col(order).cast("double")
-
-
-def small_rows(df: DataFrame) -> int:
-    """Tables of at most this many rows are left in one slice (``lodestat.smallRows``)."""
-    return int(df.sparkSession.conf.get("lodestat.smallRows", "200000"))
-
-
-def slice_bounds(df: DataFrame, position: Column, parts: int) -> list[float]:
-    """Inner bounds of ``parts`` slices of about equal depth; none for a table known to be small.
-
-    One aggregate gives both the row count and the bounds (at most parts - 1 numbers).
-    """
-    probabilities = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    row = df.select(position.alias(_POSITION)).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(_POSITION, probabilities, 4 * parts).alias("bounds"),
-    ).first()
-    if row["n"] <= small_rows(df) or not row["bounds"]:
-        return []
-    return sorted({float(b) for b in row["bounds"]})
+    """As many slices as the session has shuffle partitions, the setting that follows the data's size; 8 at least."""
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_slices(df: DataFrame, order: str, parts: int | None = None) -> tuple[DataFrame, bool]:
-    """Add ``_slice``, a slice number that never falls along ``order`` (null order: null slice).
-
-    The second result says whether there is more than one slice.
-    """
-    parts = parts or slice_count(df)
-    position = position_of(df, order)
-    bounds = slice_bounds(df, position, parts)
-    if not bounds:
-        return df.withColumn(SLICE, F.lit(0.0)), False
-    splits = [float("-inf"), *bounds, float("inf")]
-    cutter = Bucketizer(splits=splits, inputCol=_POSITION, outputCol=SLICE, handleInvalid="keep")
-    return cutter.transform(df.withColumn(_POSITION, position)).drop(_POSITION), True
+def sliced(df: DataFrame, order: Sequence[Column | str], parts: int | None = None) -> DataFrame:
+    """Write ``df`` with ``_slice``, a number that never falls along ``order``. Rows equal in ``order`` share a slice."""
+    dealt = df.repartitionByRange(parts or slice_count(df), *order)
+    return checkpointed(dealt.withColumn(SLICE, F.spark_partition_id()))
 
 
 def _same(a: Column, b: Column) -> Column:
@@ -81,7 +35,7 @@ def _same(a: Column, b: Column) -> Column:
 
 
 def _of(keys: Sequence[str]) -> Window:
-    """Window over the keys; without keys only used for tables with one row per slice or known to be small."""
+    """Window over the keys of a table with a row per (key, slice)."""
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
@@ -92,9 +46,6 @@ def _hand_over(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> Data
     for k in keys:
         on = on & _same(F.col(f"rows_.{k}"), F.col(f"carried_.{k}"))
     extra = [c for c in carried.columns if c not in (*keys, SLICE)]
-    if not keys:
-        # one row per slice: bounded by slice_count
-        right = F.broadcast(right)
     joined = left.join(right, on, "left")
     return joined.select("rows_.*", *[F.col(f"carried_.{c}") for c in extra])
 
@@ -113,17 +64,15 @@ def running_totals(
     values would be peers and share a total.
     """
     keys = list(keys)
-    sliced, many = with_slices(df, order, parts)
+    table = sliced(df, [*keys, order], parts)
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     inside = (
         Window.partitionBy(*keys, SLICE)
         .orderBy(direction(order))
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    if not many:
-        return sliced.select("*", *[F.sum(m).over(inside).alias(f"cum_{m}") for m in measures]).drop(SLICE)
-    rows = sliced.select("*", *[F.sum(m).over(inside).alias(f"_in_{m}") for m in measures])
-    totals = sliced.groupBy(*keys, SLICE).agg(*[F.sum(m).alias(f"_tot_{m}") for m in measures])
+    rows = table.select("*", *[F.sum(m).over(inside).alias(f"_in_{m}") for m in measures])
+    totals = table.groupBy(*keys, SLICE).agg(*[F.sum(m).alias(f"_tot_{m}") for m in measures])
     earlier = _of(keys).orderBy(direction(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*keys, SLICE, *[F.sum(f"_tot_{m}").over(earlier).alias(f"_before_{m}") for m in measures])
     joined = _hand_over(rows, carried, keys)
@@ -134,20 +83,18 @@ def running_totals(
 
 
 def previous_row(
-    df: DataFrame, order: str, fields: dict[str, str], keys: Sequence[str] = (), parts: int | None = None
+    df: DataFrame, order: str, fields: dict[str, str], keys: Sequence[str] = (), parts: int | None = None, tie: str | None = None
 ) -> DataFrame:
     """Add ``fields[new] = column`` of the row just before this one in the key's order.
 
-    ``order`` must be unique inside the key.
+    ``order`` must be unique inside the key, or ``tie`` must tell equal values apart.
     """
-    keys = list(keys)
-    sliced, many = with_slices(df, order, parts)
+    keys, by = list(keys), [order] if tie is None else [order, tie]
+    table = sliced(df, [*keys, *by], parts)
     state = F.struct(*[F.col(c).alias(new) for new, c in fields.items()])
-    inside = Window.partitionBy(*keys, SLICE).orderBy(order)
-    rows = sliced.withColumn("_lag", F.lag(state).over(inside))
-    if not many:
-        return rows.select(*df.columns, *[F.col("_lag")[new].alias(new) for new in fields])
-    ends = sliced.groupBy(*keys, SLICE).agg(F.max_by(state, F.col(order)).alias("_end"))
+    inside = Window.partitionBy(*keys, SLICE).orderBy(*by)
+    rows = table.withColumn("_lag", F.lag(state).over(inside))
+    ends = table.groupBy(*keys, SLICE).agg(F.max_by(state, F.struct(*by)).alias("_end"))
     across = _of(keys).orderBy(SLICE)
     carried = ends.select(*keys, SLICE, F.lag("_end").over(across).alias("_carry"))
     joined = _hand_over(rows, carried, keys).withColumn("_prev", F.coalesce("_lag", "_carry"))
@@ -159,12 +106,10 @@ def carry_forward(
 ) -> DataFrame:
     """Replace nulls by the last non-null value before them in the key's order."""
     keys = list(keys)
-    sliced, many = with_slices(df, order, parts)
+    table = sliced(df, [*keys, order], parts)
     inside = Window.partitionBy(*keys, SLICE).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = sliced.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_in_{c}") for c in columns])
-    if not many:
-        return rows.select(*[F.col(f"_in_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
-    ends = sliced.groupBy(*keys, SLICE).agg(
+    rows = table.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_in_{c}") for c in columns])
+    ends = table.groupBy(*keys, SLICE).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_end_{c}") for c in columns]
     )
     across = _of(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -175,6 +120,18 @@ def carry_forward(
     )
 
 
+def _numbered(df: DataFrame, order: Sequence[Column], keys: Sequence[str], name: str) -> DataFrame:
+    """Row numbers inside the key; a hot key and a hot value are cut into slices alike."""
+    keys = list(keys)
+    table = sliced(df, [*keys, *order])
+    rows = table.withColumn("_in", F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order)))
+    earlier = _of(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = table.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_tot"))
+    carried = totals.select(*keys, SLICE, F.sum("_tot").over(earlier).alias("_before"))
+    number = F.col("_in") + F.coalesce(F.col("_before"), F.lit(0))
+    return _hand_over(rows, carried, keys).select(*df.columns, number.cast("long").alias(name))
+
+
 def row_numbers(
     df: DataFrame,
     value: str,
@@ -183,28 +140,8 @@ def row_numbers(
     name: str = "row_number",
     descending: bool = False,
 ) -> DataFrame:
-    """Add the 1-based row number inside the key by ``value``, equal values by ascending ``tie``.
-
-    Rows below a value are counted on distinct values; rows inside one value are counted over
-    slices of the tie column, so neither a hot key nor a hot value lands in one task.
-    """
-    keys = list(keys)
-    if df.count() <= small_rows(df):
-        order = F.col(value).desc() if descending else F.col(value).asc()
-        return df.withColumn(name, F.row_number().over(_of(keys).orderBy(order, tie)).cast("long"))
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_tally"))
-    below = running_totals(counts, value, ["_tally"], keys, descending=descending)
-    below = below.select(*keys, value, (F.col("cum__tally") - F.col("_tally")).alias("_below"))
-    inner = running_totals(df.withColumn("_each", F.lit(1)), tie, ["_each"], [*keys, value])
-    left, right = inner.alias("rows_"), below.alias("below_")
-    on = _same(F.col(f"rows_.{value}"), F.col(f"below_.{value}"))
-    for k in keys:
-        on = on & _same(F.col(f"rows_.{k}"), F.col(f"below_.{k}"))
-    joined = left.join(right, on, "left")
-    return joined.select(
-        *[F.col(f"rows_.{c}") for c in df.columns],
-        (F.col("below_._below") + F.col("rows_.cum__each")).cast("long").alias(name),
-    )
+    """Add the 1-based row number inside the key by ``value``, equal values by ascending ``tie``."""
+    return _numbered(df, [F.col(value).desc() if descending else F.col(value).asc(), F.col(tie).asc()], keys, name)
 
 
 def hash_key(*columns: str, seed: int = 42) -> Column:
@@ -212,31 +149,10 @@ def hash_key(*columns: str, seed: int = 42) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns], F.lit(str(seed))))
 
 
-def hash_row_numbers(
-    df: DataFrame,
-    ids: Sequence[str],
-    keys: Sequence[str] = (),
-    seed: int = 42,
-    name: str = "row_number",
-    hex_digits: int = 3,
-) -> DataFrame:
-    """Row number inside the key in hash order of the ids, a repeatable shuffle.
-
-    The leading hex digits of the hash are the slice, so slices are even by construction and
-    need no pass over the data to be found.
-    """
+def hash_row_numbers(df: DataFrame, ids: Sequence[str], keys: Sequence[str] = (), seed: int = 42, name: str = "row_number") -> DataFrame:
+    """Row number inside the key in hash order of the ids, a repeatable shuffle."""
     hashed = df.withColumn("_hash", hash_key(*ids, seed=seed))
-    hashed = hashed.withColumn(SLICE, F.conv(F.substring("_hash", 1, hex_digits), 16, 10).cast("int"))
-    keys = list(keys)
-    inside = Window.partitionBy(*keys, SLICE).orderBy("_hash")
-    rows = hashed.withColumn("_in", F.row_number().over(inside))
-    totals = hashed.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_tot"))
-    earlier = _of(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, SLICE, F.sum("_tot").over(earlier).alias("_before"))
-    joined = _hand_over(rows, carried, keys)
-    return joined.select(
-        *df.columns, (F.col("_in") + F.coalesce(F.col("_before"), F.lit(0))).cast("long").alias(name)
-    )
+    return _numbered(hashed, [F.col("_hash").asc()], keys, name).drop("_hash")
 
 
 def ntile_from_rank(rank: Column, total: Column, tiles: int) -> Column:

@@ -134,12 +134,17 @@ def granger(series: DataFrame, time: str, x: str, y: str, max_lag: int) -> DataF
     return series.sparkSession.createDataFrame(out, "lag int, f double, p_value double")
 
 
-def decompose(series: DataFrame, time: str, value: str, period: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Additive decomposition: centred moving average, seasonal means per phase, residual (odd period)."""
+def decompose(series: DataFrame, time: str, value: str, period: float, keys: Sequence[str] = ()) -> DataFrame:
+    """Additive decomposition: centred moving average, seasonal means per phase, residual.
+
+    An even period takes period + 1 rows with half weight on both ends. A period that isn't whole is cut down.
+    """
     t = with_index(series, time, keys)
+    period = int(period)
     half = period // 2
     w = ordered(time, keys).rowsBetween(-half, half)
-    trend = F.when(F.count(F.lit(1)).over(w) == period, F.avg(value).over(w))
+    ends = (F.lag(value, half).over(ordered(time, keys)) + F.lead(value, half).over(ordered(time, keys))) / 2 if period % 2 == 0 else F.lit(0.0)
+    trend = F.when(F.count(F.lit(1)).over(w) == 2 * half + 1, (F.sum(value).over(w) - ends) / period)
     t = t.withColumn("trend", trend).withColumn("_phase", F.col("t") % period)
     t = t.withColumn("_off", F.col(value) - F.col("trend"))
     phases = t.groupBy(*keys, "_phase").agg(F.avg("_off").alias("_mean"))

@@ -114,26 +114,6 @@ def split_last_periods(series: DataFrame, time: str, horizon: int, out: str = "s
     return series.withColumn(out, F.when(F.col(time) >= cut, "test").otherwise("train"))
 
 
-def split_count(n: int, horizon: int, step: int, window: int) -> int:
-    """Number of splits the sliding scheme is planned with."""
-    if min(n, horizon, step, window) <= 0:
-        raise ValueError("all arguments must be positive")
-    count = (n - horizon - window) // step + 2
-    if count < 2:
-        raise ValueError("fewer than two splits; lower the window, the horizon or the step")
-    return count
-
-
-def window_for_splits(splits: int, n: int, horizon: int, step: int) -> int:
-    """Largest window that still allows the wanted number of splits."""
-    if splits < 2:
-        raise ValueError("at least two splits are needed")
-    window = n - horizon - step * (splits - 2)
-    if min(n, horizon, step) <= 0 or window <= 0:
-        raise ValueError("no positive window fits")
-    return window
-
-
 def sliding_windows(series: DataFrame, time: str, window: int, horizon: int, step: int) -> DataFrame:
     """Every complete (train window, test horizon) split of a numbered series, in long form.
 

@@ -9,47 +9,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.operators.ordered import previous_row, running_totals
-
-
-def _impurity(counts: Sequence[Column], total: Column, criterion: str) -> Column:
-    shares = [F.try_divide(c, total) for c in counts]
-    if criterion == "gini":
-        return 1 - sum((s * s for s in shares[1:]), shares[0] * shares[0])
-    terms = [F.when(s > 0, -s * F.log2(s)).otherwise(0.0) for s in shares]
-    return sum(terms[1:], terms[0])
+from lodestat.session import checkpointed
 
 
 def best_splits(
-    df: DataFrame, features: Sequence[str], label: str, classes: Sequence, criterion: str = "gini",
-    min_decrease: float = 0.0, node: str = "node",
+    df: DataFrame, features: Sequence[str], label: str, criterion: str = "gini", min_decrease: float = 0.0, node: str = "node"
 ) -> DataFrame:
     """Per node the split (feature, threshold, gain) with the least weighted impurity.
 
     Thresholds are midpoints of neighbouring distinct values; ties go to the first feature, then
-    the least threshold. Rows fold to counts per (node, feature, value) before any exchange.
+    the least threshold. Rows fold to counts per (node, feature, class, value) before any exchange, and classes stay
+    rows, however many there are. Gini and entropy are sums over classes of g(count), so each class adds the change of
+    g at its own values, and running totals of these changes give both sides at every threshold.
     """
-    k = len(classes)
+    g = (lambda c: c * c) if criterion == "gini" else (lambda c: F.when(c > 0, c * F.log2(c)).otherwise(0.0))
     cells = F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).cast("double").alias("value")) for i, c in enumerate(features)])
     long = df.select(node, F.col(label).alias("_y"), F.inline(cells))
-    names = [f"c{i}" for i in range(k)]
-    counts = long.groupBy(node, "f", "value").agg(*[F.count_if(F.col("_y") == c).alias(n) for n, c in zip(names, classes)])
-    # one row per open node: bounded by the width of the tree
-    whole = df.groupBy(node).agg(F.array(*[F.count_if(F.col(label) == c) for c in classes]).alias("t")).collect()
-    totals = F.create_map(*[x for r in whole for x in (F.lit(r[node]), F.array(*[F.lit(v) for v in r["t"]]))])
-    summed = running_totals(counts, "value", names, [node, "f"])
-    summed = previous_row(summed, "value", {"before": "value"}, [node, "f"]).filter(F.col("before").isNotNull())
-    rows = summed.withColumn("_t", totals[F.col(node)])
-    rows = rows.withColumns({f"t{i}": F.get("_t", F.lit(i)) for i in range(k)})
-    left = [F.col(f"cum_{n}") - F.col(n) for n in names]
-    rows = rows.withColumns({f"l{i}": c for i, c in enumerate(left)}).withColumns({f"r{i}": F.col(f"t{i}") - F.col(f"l{i}") for i in range(k)})
-
-    def total(p: str) -> Column:
-        return sum((F.col(f"{p}{i}") for i in range(1, k)), F.col(f"{p}0"))
-
-    rows = rows.withColumns({"nl": total("l"), "nr": total("r"), "n": total("t")})
-    side = lambda p, n: _impurity([F.col(f"{p}{i}") for i in range(k)], F.col(n), criterion)
-    rows = rows.withColumn("after", (F.col("nl") * side("l", "nl") + F.col("nr") * side("r", "nr")) / F.col("n"))
-    rows = rows.withColumn("gain", side("t", "n") - F.col("after")).filter(F.col("gain") > min_decrease)
+    counts = long.groupBy(node, "f", "_y", "value").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    whole = df.groupBy(node, F.col(label).alias("_y")).agg(F.count(F.lit(1)).cast("double").alias("t"))
+    each = running_totals(counts, "value", ["c"], [node, "f", "_y"]).join(whole, [node, "_y"])
+    before, after, t = F.col("cum_c") - F.col("c"), F.col("cum_c"), F.col("t")
+    changes = each.groupBy(node, "f", "value").agg(
+        F.sum("c").alias("n"), F.sum(g(after) - g(before)).alias("left"), F.sum(g(t - after) - g(t - before)).alias("right")
+    )
+    summed = running_totals(changes, "value", ["n", "left", "right"], [node, "f"])
+    kept = {"before": "value", "nl": "cum_n", "gl": "cum_left", "gr": "cum_right"}
+    rows = previous_row(summed, "value", kept, [node, "f"]).filter(F.col("before").isNotNull())
+    per = whole.groupBy(node).agg(F.sum("t").alias("n_all"), F.sum(g(F.col("t"))).alias("g_all"))
+    rows = rows.join(per, node).withColumn("nr", F.col("n_all") - F.col("nl"))
+
+    def spread(n: Column, total: Column) -> Column:
+        """n times the impurity of n rows whose classes have this sum of g."""
+        return n - F.try_divide(total, n) if criterion == "gini" else g(n) - total
+
+    left_spread, right_spread = spread(F.col("nl"), F.col("gl")), spread(F.col("nr"), F.col("g_all") + F.col("gr"))
+    rows = rows.withColumn("after", (left_spread + right_spread) / F.col("n_all"))
+    rows = rows.withColumn("gain", spread(F.col("n_all"), F.col("g_all")) / F.col("n_all") - F.col("after")).filter(F.col("gain") > min_decrease)
     threshold = (F.col("before") + F.col("value")) / 2
     best = rows.groupBy(node).agg(
         F.min(F.struct(F.round("after", 12).alias("after"), F.col("f"), threshold.alias("threshold"), F.col("gain"))).alias("b")
@@ -81,22 +76,21 @@ class Rules:
 def grow(
     df: DataFrame, features: Sequence[str], label: str, depth: int, criterion: str = "gini", min_rows: int = 2, min_decrease: float = 0.0
 ) -> Rules:
-    """Grow to a depth; at most 2^depth rules reach the driver."""
-    classes = [r[0] for r in df.select(label).distinct().orderBy(label).limit(1000).collect()]
+    """Grow to a depth; a row per node, 2^(depth + 1) at most, reaches the driver. Ties of classes go to the least."""
+    kept = checkpointed(df.select(*dict.fromkeys([*features, label])))
     rules, open_nodes = Rules(), {0}
     for level in range(depth + 1):
-        placed = df.withColumn("node", rules.node())
-        sizes = placed.groupBy("node").agg(*[F.count_if(F.col(label) == c).alias(f"t{i}") for i, c in enumerate(classes)]).collect()
+        placed = kept.withColumn("node", rules.node())
+        by_class = placed.groupBy("node", label).agg(F.count(F.lit(1)).alias("c"))
+        top = F.min(F.struct((-F.col("c")).alias("c"), F.col(label).alias("y"))).alias("top")
         ready = set()
-        for r in sizes:
-            counts = [r[f"t{i}"] for i in range(len(classes))]
-            rules.leaves[r["node"]] = classes[counts.index(max(counts))]
-            if r["node"] in open_nodes and sum(c > 0 for c in counts) > 1 and sum(counts) >= min_rows:
+        for r in by_class.groupBy("node").agg(top, F.sum("c").alias("n"), F.count(F.lit(1)).alias("classes")).collect():
+            rules.leaves[r["node"]] = r["top"]["y"]
+            if r["node"] in open_nodes and r["classes"] > 1 and r["n"] >= min_rows:
                 ready.add(r["node"])
         if level == depth or not ready:
             break
-        active = placed.filter(F.col("node").isin(*ready))
-        found = best_splits(active, features, label, classes, criterion, min_decrease).collect()
+        found = best_splits(placed.filter(F.col("node").isin(*ready)), features, label, criterion, min_decrease).collect()
         open_nodes = set()
         for r in found:
             rules.splits[r["node"]] = (r["feature"], r["threshold"])

@@ -170,7 +170,7 @@ def _split_sql(i, f):
 )
 def tree_best_split(t):
     rows = t.lineitem.withColumn("node", F.lit(0))
-    s = Tr.best_splits(rows, ["l_quantity", "l_discount", "l_tax"], "l_returnflag", ["A", "N", "R"])
+    s = Tr.best_splits(rows, ["l_quantity", "l_discount", "l_tax"], "l_returnflag")
     return s.select("node", "feature", r6("threshold").alias("threshold"), r6("gain", 9).alias("gain"))
 
 

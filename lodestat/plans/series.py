@@ -90,6 +90,20 @@ def stl_classical(t):
     return d.select("day", r6("trend", 4).alias("trend"), r6("seasonal", 4).alias("seasonal"), r6("residual", 4).alias("residual"))
 
 
+@plan(
+    "stl_classical_even",
+    """with d as (select date_trunc('month', o_orderdate)::timestamp as month, round(sum(o_totalprice), 2) as total from orders group by 1), i as (select *, row_number() over (order by month) - 1 as t from d),
+    m as (select *, t % 12 as phase, case when count(*) over w = 13 then (sum(total) over w - (lag(total, 6) over o + lead(total, 6) over o) / 2) / 12 end as trend from i
+        window w as (order by month rows between 6 preceding and 6 following), o as (order by month)),
+    p as (select phase, avg(total - trend) as m from m group by 1), s as (select phase, m - avg(m) over () as seasonal from p)
+    select month, round(trend, 2) as trend, round(seasonal, 2) as seasonal, round(total - trend - seasonal, 2) as residual from m join s using (phase)""",
+)
+def stl_classical_even(t):
+    month = F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month")
+    d = Se.decompose(t.orders.groupBy(month).agg(F.round(F.sum("o_totalprice"), 2).alias("total")), "month", "total", 12)
+    return d.select("month", *[r6(c, 2).alias(c) for c in ("trend", "seasonal", "residual")])
+
+
 @plan(
     "outlier_iqr_resid",
     DECOMPOSED + """, q as (select quantile_cont(residual, 0.25) as a, quantile_cont(residual, 0.75) as b from z)
@@ -179,14 +193,14 @@ def counterfactual_splice(t):
     return joined.select("day", r6("total", 4).alias("original"), r6(F.coalesce("forecast", "total"), 4).alias("spliced"))
 
 
-CV = DAILY + """, i as (select *, row_number() over (order by day) - 1 as t from d), s as (select unnest(range(0, 5)) as split),
+CV = DAILY + """, i as (select *, row_number() over (order by day) - 1 as t from d), k as (select count(*) as n from d), s as (select unnest(range(0, (n - 17) // 3 + 1)) as split from k),
     tr as (select split, t - split * 3 as u, total from i join s on t >= split * 3 and t < split * 3 + 14), p as (select split, u % 7 as phase, arg_max(total, u) as l from tr group by 1, 2),
     te as (select split, t - split * 3 - 13 as h, total from i join s on t >= split * 3 + 14 and t < split * 3 + 17), e as (select split, h, total - l as error, total from te join p using (split) where phase = (14 + h - 1) % 7)"""
 
 
 def _cv_errors(t):
     d = daily(t)
-    rows = Sp.sliding_windows(d, "day", window=14, horizon=3, step=3).filter("split < 5")
+    rows = Sp.sliding_windows(d, "day", window=14, horizon=3, step=3)
     train = rows.filter("part = 'train'").select("split", "day", "total")
     test = rows.filter("part = 'test'").select("split", "day", F.col("total").alias("actual"))
     f = Se.naive_forecast(train, "day", "total", 7, 3, "last", keys=["split"])
@@ -201,6 +215,16 @@ def forecast_cv_score(t):
     )
 
 
+@plan(
+    "forecast_cv_mean",
+    CV + """, w as (select split, avg(abs(error)) as mae, avg(abs(error / total)) as mape from e group by 1)
+    select count(*) as splits, round(avg(mae), 4) as mae, round(avg(mape), 6) as mape from w""",
+)
+def forecast_cv_mean(t):
+    scores = _cv_errors(t).groupBy("split").agg(F.avg(F.abs("error")).alias("mae"), F.avg(F.abs(F.col("error") / F.col("actual"))).alias("mape"))
+    return scores.agg(F.count(F.lit(1)).alias("splits"), r6(F.avg("mae"), 4).alias("mae"), r6(F.avg("mape")).alias("mape"))
+
+
 @plan(
     "prediction_interval",
     CV + " select h::integer as h, round(1.959963984540054 * stddev_samp(error), 4) as half_width, count(*) as n from e group by 1",

@@ -85,11 +85,6 @@ def scan_typed_schema(t):
     return t.spark.read.schema(schema).parquet(f"{t.folder}/customer.parquet")
 
 
-@plan("list_objects_stats")
-def list_objects_stats(t):
-    return readers.object_stats(t.spark, t.folder)
-
-
 @plan("sink_parquet", "select * from supplier")
 def sink_parquet(t):
     path = writers.write_parquet(t.supplier, writers.scratch_folder(t.spark, "parquet"))

@@ -14,48 +14,44 @@ def _plain(df, *columns):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
-# closed windows only: those that end before the last event minus the allowed delay
-CLOSED = "(select max(ts) - interval 1 hour from events)"
-
-
 @plan(
     "stream_window_amounts",
-    f"""with w as (select user_id, event_type, date_trunc('day', ts)::timestamp as start, value from events)
-    select user_id, event_type, start, start + interval 1 day as "end", round(sum(value), 4) as total, count(*) as n from w group by 1, 2, 3 having start + interval 1 day <= {CLOSED}""",
+    """with w as (select user_id, event_type, date_trunc('day', ts)::timestamp as start, value from events)
+    select user_id, event_type, start, start + interval 1 day as "end", round(sum(value), 4) as total, count(*) as n from w group by 1, 2, 3""",
 )
 def stream_window_amounts(t):
     w = A.window_amounts(_events(t), "ts", ["user_id", "event_type"], "value", "1 day")
-    return _plain(A.run_available(w, "windows"), "start", "end").withColumn("total", r6("total", 4))
+    return _plain(A.run_updates(w, "windows", ["user_id", "event_type", "start", "end"]), "start", "end").withColumn("total", r6("total", 4))
 
 
 @plan(
     "stream_window_sliding",
-    f"""with w as (select event_type, date_trunc('day', ts)::timestamp + to_hours((6 * (hour(ts) // 6) - 6 * k)::integer) as start, value from events, range(0, 4) r(k))
-    select event_type, start, start + interval 1 day as "end", round(sum(value), 4) as total, count(*) as n from w group by 1, 2 having start + interval 1 day <= {CLOSED}""",
+    """with w as (select event_type, date_trunc('day', ts)::timestamp + to_hours((6 * (hour(ts) // 6) - 6 * k)::integer) as start, value from events, range(0, 4) r(k))
+    select event_type, start, start + interval 1 day as "end", round(sum(value), 4) as total, count(*) as n from w group by 1, 2""",
 )
 def stream_window_sliding(t):
     w = A.window_amounts(_events(t), "ts", ["event_type"], "value", "1 day", "6 hours")
-    return _plain(A.run_available(w, "sliding"), "start", "end").withColumn("total", r6("total", 4))
+    return _plain(A.run_updates(w, "sliding", ["event_type", "start", "end"]), "start", "end").withColumn("total", r6("total", 4))
 
 
 @plan(
     "stream_session_activity",
-    f"""with l as (select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) < interval 10 minutes then 0 else 1 end as fresh from events),
+    """with l as (select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) < interval 10 minutes then 0 else 1 end as fresh from events),
     s as (select user_id, ts, sum(fresh) over (partition by user_id order by ts) as s from l)
-    select user_id, min(ts) as start, max(ts) + interval 10 minutes as "end", count(*) as n from s group by user_id, s having max(ts) + interval 10 minutes <= {CLOSED}""",
+    select user_id, min(ts) as start, max(ts) + interval 10 minutes as "end", count(*) as n from s group by user_id, s""",
 )
 def stream_session_activity(t):
-    return _plain(A.run_available(A.sessions(_events(t), "ts", "user_id"), "sessions"), "start", "end")
+    return _plain(A.run_complete(A.sessions(_events(t), "ts", "user_id"), "sessions"), "start", "end")
 
 
 @plan(
     "stream_multi_swipe",
     """with e as (select *, floor(value / 20)::bigint as band from events) select event_id, user_id,
-    coalesce(event_type = lag(event_type) over w and band = lag(band) over w and ts - lag(ts) over w <= interval 4 hours, false)::integer as flag from e window w as (partition by user_id order by ts)""",
+    coalesce(event_type = lag(event_type) over w and band = lag(band) over w and ts - lag(ts) over w <= interval 4 hours, false)::integer as flag from e window w as (partition by user_id order by ts, event_id)""",
 )
 def stream_multi_swipe(t):
     s = _events(t).withColumn("band", F.floor(F.col("value") / 20))
-    return A.run_available(A.multi_swipe(s, "ts", "user_id", "event_id", "event_type", "band", 4 * 3600), "swipes")
+    return A.run_updates(A.multi_swipe(s, "ts", "user_id", "event_id", "event_type", "band", 4 * 3600), "swipes", ["event_id"])
 
 
 @plan(

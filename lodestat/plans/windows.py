@@ -45,8 +45,8 @@ def rolling_amount_features(t):
 @plan(
     "rolling_amount_features_pairs",
     f"""with e as (select *, ((props->>'k')::integer % 4)::integer as k, case when value > 50 then 'hi' else 'lo' end as band from events)
-    select event_id, {_amount_sql([24, 168], 'user_id')}, {_amount_sql([24, 168], 'user_id, event_type, k', 'event_type_k_')},
-    {_amount_sql([24, 168], 'user_id, event_type, band', 'event_type_band_')}, {_amount_sql([24, 168], 'user_id, k, band', 'k_band_')} from e""",
+    select event_id, {_amount_sql(PERIODS, 'user_id')}, {_amount_sql(PERIODS, 'user_id, event_type, k', 'event_type_k_')},
+    {_amount_sql(PERIODS, 'user_id, event_type, band', 'event_type_band_')}, {_amount_sql(PERIODS, 'user_id, k, band', 'k_band_')} from e""",
 )
 def rolling_amount_features_pairs(t):
     ev = t.events.select(
@@ -54,7 +54,7 @@ def rolling_amount_features_pairs(t):
         (F.get_json_object("props", "$.k").cast("int") % 4).alias("k"),
         F.when(F.col("value") > 50, "hi").otherwise("lo").alias("band"),
     )
-    out = Wn.rolling_amounts_pairs(ev, "user_id", "ts", "value", [24, 168], ["event_type", "k", "band"])
+    out = Wn.rolling_amounts_pairs(ev, "user_id", "ts", "value", PERIODS, ["event_type", "k", "band"])
     return _rounded(out, ["event_id"])
 
 
@@ -261,15 +261,22 @@ def ratio_to_previous(t):
 
 @plan(
     "ratio_to_level",
-    MONTHLY + """ select o_custkey, month, round(total, 2) as level from m""",
+    MONTHLY + """, c as (select o_custkey, month, total - 100000 as net from m),
+    z as (select *, count(*) filter (net = 0) over (partition by o_custkey order by month) as zeros from c)
+    select o_custkey, month, case when zeros > 0 then 0.0 else round(net, 2) end as level from z""",
 )
 def ratio_to_level(t):
-    m = monthly(t)
+    # amounts against a target change sign, and so do their ratios
+    m = monthly(t).withColumn("net", F.col("total") - 100000)
     ratio = m.select(
-        "o_custkey", "month", F.coalesce(F.col("total") / F.lag("total").over(panel()), F.lit(1.0)).alias("ratio"),
-        F.first("total").over(panel()).alias("baseline"),
+        "o_custkey", "month", F.coalesce(F.try_divide("net", F.lag("net").over(panel())), F.lit(1.0)).alias("ratio"),
+        F.first("net").over(panel()).alias("baseline"),
     )
-    product = F.exp(F.sum(F.log("ratio")).over(panel()))
+    # a running product from logarithms, the number of negative factors, and whether a zero came by
+    size = F.exp(F.sum(F.log(F.when(F.col("ratio") != 0, F.abs("ratio")))).over(panel()))
+    minus = F.sum((F.col("ratio") < 0).cast("int")).over(panel()) % 2
+    gone = F.max((F.col("ratio") == 0).cast("int")).over(panel())
+    product = F.when(gone == 1, 0.0).otherwise(F.when(minus == 1, -1.0).otherwise(1.0) * F.coalesce(size, F.lit(1.0)))
     return ratio.select("o_custkey", "month", r6(F.col("baseline") * product, 2).alias("level"))
 
 
@@ -387,11 +394,17 @@ def sort_multi(t):
 
 @plan(
     "topk_categories",
-    """select coalesce(nullif(p_brand, 'Brand#3'), 'Unknown') as brand, count(*) as n from part where p_size > 25 group by 1 order by n desc, brand limit 5""",
+    """with e as (select coalesce(nullif(p_brand, 'Brand#3'), 'Unknown') as brand, p_retailprice > 1500 as truth, p_size > 25 as guess from part),
+    c as (select case when truth then 'false negative' else 'false positive' end as error, brand, count(*) as n from e where truth <> guess group by 1, 2)
+    select error, brand, n from c qualify row_number() over (partition by error order by n desc, brand) <= 5""",
 )
 def topk_categories(t):
     brand = F.coalesce(F.nullif(F.col("p_brand"), F.lit("Brand#3")), F.lit("Unknown")).alias("brand")
-    return t.part.filter("p_size > 25").groupBy(brand).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "brand").limit(5)
+    truth, guess = F.col("p_retailprice") > 1500, F.col("p_size") > 25
+    error = F.when(truth & ~guess, "false negative").when(~truth & guess, "false positive").alias("error")
+    counts = t.part.groupBy(error, brand).agg(F.count(F.lit(1)).alias("n")).where("error IS NOT NULL")
+    top = Window.partitionBy("error").orderBy(F.desc("n"), "brand")  # a row per brand
+    return counts.withColumn("_i", F.row_number().over(top)).where("_i <= 5").drop("_i")
 
 
 @plan(

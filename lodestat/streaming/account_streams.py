@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 import pandas as pd
@@ -13,12 +14,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from lodestat.sources.writers import scratch_folder
 
 
-def read_events(spark: SparkSession, path: str, schema: T.StructType, ts: str = "ts", max_files: int = 1000) -> DataFrame:
-    """Parquet files as a stream, event time as a timestamp fit for watermarks.
-
-    ``max_files`` bounds a micro-batch, and with it what one account can bring into one task.
-    """
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
+def read_events(spark: SparkSession, path: str, schema: T.StructType, ts: str = "ts", max_files: int | None = None) -> DataFrame:
+    """Parquet files as a stream, event time as a timestamp fit for watermarks; ``max_files`` sets the size of a micro-batch."""
+    reader = spark.readStream.schema(schema)
+    reader = reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
 
 
 def window_amounts(stream: DataFrame, ts: str, keys: list[str], amount: str, length: str, slide: str | None = None, late: str = "1 hour") -> DataFrame:
@@ -34,36 +34,42 @@ def sessions(stream: DataFrame, ts: str, account: str, gap: str = "10 minutes",
     return s.select(account, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def multi_swipe(stream: DataFrame, ts: str, account: str, event: str, kind: str, band: str, seconds: float, idle: str = "2 days") -> DataFrame:
-    """Flag an event that repeats the account's previous event within some seconds.
+def multi_swipe(stream: DataFrame, ts: str, account: str, event: str, kind: str, band: str, seconds: float, late: str = "1 hour", idle: str = "2 days") -> DataFrame:
+    """Flag an event that repeats the account's previous event within some seconds; for update mode.
 
-    The state of an account is its last event. A batch holds at most what the source's limits let
-    in, and an account idle in event time for ``idle`` loses its state.
+    Events may come late by up to ``late``. The state of an account is its events within that delay and the last
+    one before, in order of time, equal times by event id. A batch puts its events in their places and gives the flags of these
+    events and of those that follow them, so a flag that a late event changes comes out again: the newest row of an event holds.
+    An account idle in event time for ``idle`` loses its state.
     """
     output = f"{event} long, {account} long, flag int"
-    state = "at double, kind string, band long"
 
-    def flag(key: tuple, batches: Iterable[pd.DataFrame], last: GroupState) -> Iterable[pd.DataFrame]:
-        if last.hasTimedOut:
-            last.remove()
+    def flag(key: tuple, batches: Iterable[pd.DataFrame], held: GroupState) -> Iterable[pd.DataFrame]:
+        if held.hasTimedOut:
+            held.remove()
             return
-        rows = pd.concat(list(batches)).sort_values("_at")
-        before = last.get if last.exists else (float("-inf"), None, None)
-        at = rows["_at"].shift(1, fill_value=before[0])
-        kinds, bands = rows["_kind"].shift(1), rows["_band"].shift(1)
-        if before[1] is not None:
-            kinds.iloc[0], bands.iloc[0] = before[1], before[2]
-        hit = (rows["_kind"] == kinds) & (rows["_band"] == bands) & (rows["_at"] - at <= seconds)
-        end = rows.iloc[-1]
-        last.update((float(end["_at"]), str(end["_kind"]), int(end["_band"])))
-        now = last.getCurrentWatermarkMs()
-        last.setTimeoutTimestamp(max(now + 1, int(end["_at"] * 1000) + int(pd.Timedelta(idle).total_seconds() * 1000)))
-        yield pd.DataFrame({event: rows[event].astype("int64"), account: key[0], "flag": hit.astype("int32")})
-
-    prepared = stream.withWatermark(ts, "1 hour").select(
+        known = json.loads(held.get[0]) if held.exists else []
+        seen = {e[1] for e in known}
+        columns = ["_at", event, "_kind", "_band"]
+        fresh = [tuple(e) for b in batches for e in b[columns].astype(object).itertuples(index=False, name=None) if e[1] not in seen]
+        new = {int(e[1]) for e in fresh}
+        line = sorted({(float(at), int(i), k, None if pd.isna(v) else int(v)) for at, i, k, v in [*map(tuple, known), *fresh]}, key=lambda e: e[:2])
+        flags = []
+        for i, (at, number, k, v) in enumerate(line):
+            before = line[i - 1] if i else None
+            if number in new or (before and before[1] in new):
+                same = before is not None and k is not None and v is not None and (before[2], before[3]) == (k, v)
+                flags.append((number, key[0], int(same and at - before[0] <= seconds)))
+        now = held.getCurrentWatermarkMs()
+        passed = sum(e[0] * 1000 < now for e in line)
+        held.update((json.dumps(line[max(0, passed - 1) :]),))
+        held.setTimeoutTimestamp(max(now + 1, int(line[-1][0] * 1000) + int(pd.Timedelta(idle).total_seconds() * 1000)))
+        yield pd.DataFrame(flags, columns=[event, account, "flag"]).astype({event: "int64", "flag": "int32"})
+
+    prepared = stream.withWatermark(ts, late).select(
         event, account, ts, (F.unix_micros(ts) / 1e6).alias("_at"), F.col(kind).alias("_kind"), F.col(band).cast("long").alias("_band")
     )
-    return prepared.groupBy(account).applyInPandasWithState(flag, output, state, "append", GroupStateTimeout.EventTimeTimeout)
+    return prepared.groupBy(account).applyInPandasWithState(flag, output, "line string", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def posterior(stream: DataFrame, arm: str, success: Column, alpha: float = 1.0, beta: float = 1.0) -> DataFrame:
@@ -89,18 +95,33 @@ def run_available(stream: DataFrame, label: str) -> DataFrame:
 
 
 def run_updates(stream: DataFrame, label: str, keys: list[str]) -> DataFrame:
-    """Process what is there in update mode; the newest row of every key is the result."""
+    """Process what is there in update mode; the newest row of every key is the result, open windows included."""
+    rows = _batches(stream, label, "update")
+    rest = [c for c in stream.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_r"))
+    return last.select(*keys, "_r.*").select(*stream.columns)
+
+
+def run_complete(stream: DataFrame, label: str) -> DataFrame:
+    """Process what is there in complete mode; the last batch is the result, open sessions included."""
+    rows = _batches(stream, label, "complete")
+    return rows.filter(F.col("_batch") == rows.agg(F.max("_batch")).scalar()).select(*stream.columns)
+
+
+def _batches(stream: DataFrame, label: str, mode: str) -> DataFrame:
     folder = scratch_folder(stream.sparkSession, label)
+    numbers: list[int] = []
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+        numbers.append(number)
+        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/rows/{number}")
 
     query = (
-        stream.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/state").foreachBatch(keep)
+        stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").foreachBatch(keep)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    rows = stream.sparkSession.read.parquet(f"{folder}/rows/batch=*")
-    rest = [c for c in stream.columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_r"))
-    return last.select(*keys, "_r.*")
+    schema = T.StructType([*stream.schema.fields, T.StructField("_batch", T.IntegerType())])
+    if not numbers:
+        return stream.sparkSession.createDataFrame([], schema)
+    return stream.sparkSession.read.schema(schema).parquet(*(f"{folder}/rows/{n}" for n in numbers))

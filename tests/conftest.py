@@ -14,11 +14,3 @@ def spark():
     session = build_session("local[8]", 8, **{"spark.driver.memory": "8g"})
     yield session
     session.stop()
-
-
-@pytest.fixture(params=["small", "sliced"])
-def both_paths(request, spark):
-    """Run a test with the one-slice path and with many slices forced."""
-    spark.conf.set("lodestat.smallRows", "200000" if request.param == "small" else "0")
-    yield request.param
-    spark.conf.unset("lodestat.smallRows")

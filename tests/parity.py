@@ -75,13 +75,10 @@ def main() -> int:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
-    parser.add_argument("--sliced", action="store_true", help="force the many-slices path on small tables")
     parser.add_argument("keys", nargs="*")
     args = parser.parse_args()
     folder = f"/root/testdata/sf{args.sf}"
     spark = build_session("local[8]", 8, **{"spark.driver.memory": "8g"})
-    if args.sliced:
-        spark.conf.set("lodestat.smallRows", "0")
     con = connect(folder)
     plans, sql = entry.queries(), entry.oracle_sql()
     chosen = [k for k in plans if not args.keys or any(k == a or (a.endswith("*") and k.startswith(a[:-1])) for a in args.keys)]

@@ -23,7 +23,7 @@ def frame():
     )
 
 
-def test_running_totals(spark, both_paths, frame):
+def test_running_totals(spark, frame):
     folded = frame.groupby(["key", "v"], as_index=False)["m"].sum()
     got = O.running_totals(spark.createDataFrame(folded), "v", ["m"], ["key"]).toPandas()
     want = folded.sort_values("v")
@@ -33,14 +33,14 @@ def test_running_totals(spark, both_paths, frame):
     assert (both["cum_m_x"] == both["cum_m_y"]).all()
 
 
-def test_running_totals_over_text(spark, both_paths):
+def test_running_totals_over_text(spark):
     words = pd.DataFrame({"w": [f"Brand#{i:04d}" for i in range(500)], "one": 1})
     got = O.running_totals(spark.createDataFrame(words), "w", ["one"]).toPandas().sort_values("w")
     assert got["cum_one"].tolist() == list(range(1, 501))
 
 
 @pytest.mark.parametrize("descending", [False, True])
-def test_row_numbers(spark, both_paths, frame, descending):
+def test_row_numbers(spark, frame, descending):
     got = O.row_numbers(spark.createDataFrame(frame), "v", "id", ["key"], descending=descending).toPandas()
     want = frame.sort_values(["v", "id"], ascending=[not descending, True])
     want["row_number"] = want.groupby("key").cumcount() + 1
@@ -48,7 +48,7 @@ def test_row_numbers(spark, both_paths, frame, descending):
     assert (both["row_number_x"] == both["row_number_y"]).all()
 
 
-def test_previous_row_and_carry_forward(spark, both_paths, frame):
+def test_previous_row_and_carry_forward(spark, frame):
     holes = frame.assign(v=frame["v"].where(frame["id"] % 3 != 0))
     df = spark.createDataFrame(holes.astype({"v": object}).where(holes.notna(), None), "id long, key string, v double, m long")
     prev = O.previous_row(df, "id", {"before": "m"}, ["key"]).toPandas().sort_values("id")
@@ -64,7 +64,7 @@ def test_hash_row_numbers_number_every_class(spark, frame):
         assert sorted(part["i"]) == list(range(1, len(part) + 1))
 
 
-def test_exact_quantiles(spark, both_paths, frame):
+def test_exact_quantiles(spark, frame):
     probabilities = {f"p{int(p * 100)}": p for p in (0.0, 0.05, 0.25, 0.5, 0.9, 1.0)}
     got = exact_quantiles(spark.createDataFrame(frame), ["v"], probabilities, ["key"]).toPandas().set_index("key")
     for key, part in frame.groupby("key"):
@@ -72,7 +72,7 @@ def test_exact_quantiles(spark, both_paths, frame):
             assert got.loc[key, name] == pytest.approx(np.quantile(part["v"], p))
 
 
-def test_kendall_equals_pairs(spark, both_paths):
+def test_kendall_equals_pairs(spark):
     rng = np.random.default_rng(3)
     x, y = rng.integers(0, 9, 200), rng.integers(0, 13, 200)
     got = kendall_tau_b(spark.createDataFrame(pd.DataFrame({"x": x, "y": y})), "x", "y").first()
