@@ -361,7 +361,7 @@ def _bucketed(df: DataFrame, parts: int) -> DataFrame:
 
 
 def score_documents(
-    docs: DataFrame, held_out: Column, chunk_tokens: int = 400_000, bucket_bytes: int = 8 << 20, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, held_out: Column, chunk_tokens: int = 300_000, bucket_bytes: int = 3 << 20, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Score every whole text under a Katz bigram model learned from the rows that ``held_out`` doesn't mark.
 
