@@ -84,3 +84,22 @@ def test_kendall_equals_pairs(spark):
     ty = sum(m * (m - 1) / 2 for m in np.bincount(y))
     assert (got["concordant"], got["discordant"]) == (c, d)
     assert got["tau_b"] == pytest.approx((c - d) / np.sqrt((pairs - tx) * (pairs - ty)))
+
+
+def test_text_outlier_and_hot_values(spark):
+    """One odd text, a prefix that all others share, and a value that most rows hold."""
+    words = pd.DataFrame({"w": ["\x01odd", *[f"https://site.example/{i % 400:04d}" for i in range(1200)], *["https://site.example/0007"] * 2000]})
+    words["id"] = np.arange(len(words))
+    df = spark.createDataFrame(words)
+    assert O.sliced(df, ["w", "id"]).groupBy(O.SLICE).count().agg({"count": "max"}).first()[0] < len(words) / 3
+    got = O.row_numbers(df, "w", "id").toPandas().sort_values("row_number")
+    want = words.sort_values(["w", "id"])
+    assert got["row_number"].tolist() == list(range(1, len(words) + 1)) and got["id"].tolist() == want["id"].tolist()
+
+
+def test_previous_row_with_ties(spark, frame):
+    got = O.previous_row(spark.createDataFrame(frame), "v", {"before": "id"}, ["key"], tie="id").toPandas()
+    want = frame.sort_values(["v", "id"])
+    want["want"] = want.groupby("key")["id"].shift(1)
+    both = got.merge(want[["id", "want"]], on="id")
+    assert np.allclose(both["before"].astype(float), both["want"].astype(float), equal_nan=True)

@@ -161,3 +161,13 @@ def test_sliding_windows_are_all_complete_splits(spark):
     assert {s for s, _ in got} == set(splits)
     for s in splits:
         assert sorted(got[s, "train"]) == list(range(3 * s, 3 * s + 14)) and sorted(got[s, "test"]) == list(range(3 * s + 14, 3 * s + 17))
+
+
+def test_tree_counts_every_class(spark):
+    from lodestat.operators import trees as Tr
+
+    rows = spark.range(3600).selectExpr("CAST(id % 1200 AS DOUBLE) AS x", "CAST(id % 1200 AS INT) AS y")
+    best = Tr.best_splits(rows.withColumn("node", F.lit(0)), ["x"], "y", "entropy").first()
+    assert best["threshold"] == 599.5 and best["gain"] == pytest.approx(1.0)
+    gini = Tr.best_splits(rows.withColumn("node", F.lit(0)), ["x"], "y").first()
+    assert gini["gain"] == pytest.approx(1 / 1200)
