@@ -7,6 +7,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestat.session import checkpointed
+
 
 def squared_distance(a, b):
     """Squared Euclidean distance of two array columns, in double."""
@@ -83,7 +85,7 @@ def kmeans_elbow(df: DataFrame, columns, ks, seed: int = 42):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    ready = VectorAssembler(inputCols=list(columns), outputCol="_x").transform(df)
+    ready = checkpointed(VectorAssembler(inputCols=list(columns), outputCol="_x").transform(df))
     models = {k: KMeans(k=k, seed=seed, featuresCol="_x", predictionCol="cluster").fit(ready) for k in ks}
     curve = df.sparkSession.createDataFrame([(int(k), float(m.summary.trainingCost)) for k, m in models.items()], "k int, cost double")
     return ready, models, curve
@@ -101,12 +103,13 @@ def mixed_gamma(df: DataFrame, numeric, categorical) -> float:
     return row["n"] / row["c"]
 
 
-def k_prototypes(df: DataFrame, numeric, categorical, seeds, gamma: float, iterations: int = 10):
-    """Mixed clustering from given seed prototypes (dicts): means and modes per round until stable.
+def k_prototypes(df: DataFrame, numeric, categorical, seeds, gamma: float, iterations: int = 200):
+    """Mixed clustering from given seed prototypes (dicts): means and modes per round until stable, or an error.
 
     Returns the rows with cluster and cost, and the prototypes.
     """
     prototypes = [dict(s) for s in seeds]
+    df = checkpointed(df)
 
     def place(protos):
         cells = []
@@ -126,9 +129,9 @@ def k_prototypes(df: DataFrame, numeric, categorical, seeds, gamma: float, itera
             for r in counts.groupBy("cluster").agg(F.min_by(c, F.struct(-F.col("n"), F.col(c))).alias("v")).collect():
                 fresh[r["cluster"]][c] = r["v"]
         if fresh == prototypes:
-            break
+            return placed, prototypes
         prototypes = fresh
-    return place(prototypes), prototypes
+    raise ValueError(f"prototypes still move after {iterations} rounds")
 
 
 def gower_to(df: DataFrame, numeric, categorical, ranges, prototypes):

@@ -222,13 +222,18 @@ def dffits_flags(df: DataFrame, target: str, features: Sequence[str]) -> DataFra
     return out.withColumn("any_flag", F.greatest(*flags) if len(flags) > 1 else F.col(flags[0]))
 
 
-def kde_on_grid(df: DataFrame, value: Column, points: int, cell: float) -> DataFrame:
-    """Gaussian kernel density on a grid. Values are folded to cells of a fixed width first, so
-    the kernel sum runs over occupied cells and the grid, not over rows."""
+def kde_on_grid(df: DataFrame, value: Column, points: int) -> DataFrame:
+    """Gaussian kernel density on a grid, exact.
+
+    Equal values are folded first; the kernel sums are folded in every task, so one row per grid point and task is
+    exchanged. Of a constant column the density has no width and no row comes out.
+    """
     v = value.cast("double")
     s = df.agg(F.count(v).alias("n"), F.stddev_samp(v).alias("sd"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
-    width = s["sd"] * s["n"] ** -0.2
-    cells = df.filter(v.isNotNull()).groupBy((F.round(v / cell) * cell).alias("c")).agg(F.count(F.lit(1)).alias("m"))
+    width = (s["sd"] or 0.0) * s["n"] ** -0.2 if s["n"] else 0.0
+    if not width:
+        return df.sparkSession.createDataFrame([], "i int, x double, density double")
+    cells = df.filter(v.isNotNull()).groupBy(v.alias("c")).agg(F.count(F.lit(1)).alias("m"))
     step = (s["hi"] - s["lo"]) / (points - 1)
     at = cells.select("c", "m", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     at = at.withColumn("x", s["lo"] + F.col("i") * step)
@@ -239,10 +244,12 @@ def kde_on_grid(df: DataFrame, value: Column, points: int, cell: float) -> DataF
 
 
 def knee(curve: DataFrame, x: str, y: str) -> DataFrame:
-    """Elbow of a falling convex curve: the point farthest below the chord of the unit-scaled curve."""
+    """Elbow of a falling convex curve: the point farthest below the chord of the unit-scaled curve; an empty curve has none."""
     e = curve.agg(*[f(c).alias(f"{n}_{c}") for c in (x, y) for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    sx = (F.col(x) - e[f"lo_{x}"]) / (e[f"hi_{x}"] - e[f"lo_{x}"])
-    sy = (F.col(y) - e[f"lo_{y}"]) / (e[f"hi_{y}"] - e[f"lo_{y}"])
+    if e[f"lo_{x}"] is None:
+        return curve.select(x, y, F.lit(0.0).alias("gap")).limit(0)
+    sx = (F.col(x) - e[f"lo_{x}"]) / ((e[f"hi_{x}"] - e[f"lo_{x}"]) or 1.0)
+    sy = (F.col(y) - e[f"lo_{y}"]) / ((e[f"hi_{y}"] - e[f"lo_{y}"]) or 1.0)
     gap = (1 - sx) - sy
     scored = curve.withColumn("gap", gap)
     return scored.agg(F.max_by(F.struct(x, y, "gap"), F.struct(F.col("gap"), -F.col(x))).alias("b")).select("b.*")

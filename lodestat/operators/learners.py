@@ -18,6 +18,7 @@ from lodestat.functions.scalars import sigmoid, softplus
 from lodestat.operators.ordered import hash_row_numbers
 from lodestat.operators.quantiles import quantile_values
 from lodestat.operators.series import least_squares_sums
+from lodestat.session import checkpointed
 
 
 def _design(features: Sequence[str]) -> list[Column]:
@@ -198,22 +199,33 @@ def _stages(df: DataFrame, label: str, features: Sequence[str], learner):
     return Pipeline(stages=[index, gather, learner.setFeaturesCol("_x").setLabelCol("_label")])
 
 
-LEARNERS = {
-    "tree": lambda seed: DecisionTreeClassifier(maxDepth=5, seed=seed),
-    "forest": lambda seed: RandomForestClassifier(numTrees=5, maxDepth=5, seed=seed),
-    "bagging": lambda seed: RandomForestClassifier(numTrees=5, maxDepth=5, featureSubsetStrategy="all", seed=seed),
-    "boosting": lambda seed: GBTClassifier(maxIter=3, maxDepth=4, stepSize=0.2, seed=seed),
-}
+def tree_learner(kind: str, seed: int = 42, trees: int = 300, rounds: int = 300, depth: int = 5, rate: float = 0.1):
+    """A tree, a forest, bagged trees (all features at every split) or boosted trees."""
+    return {
+        "tree": lambda: DecisionTreeClassifier(maxDepth=depth, seed=seed),
+        "forest": lambda: RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed),
+        "bagging": lambda: RandomForestClassifier(numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed),
+        "boosting": lambda: GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed),
+    }[kind]()
 
 
-def ensemble_scores(df: DataFrame, label: str, features: Sequence[str], fold: str, kinds: Sequence[str], seed: int = 42) -> DataFrame:
-    """(learner, fold, accuracy) of tree ensembles trained on the other folds."""
+def ensemble_scores(
+    df: DataFrame, label: str, features: Sequence[str], fold: str, kinds: Sequence[str], seed: int = 42, class_weights: dict | None = None, **size
+) -> DataFrame:
+    """(learner, fold, accuracy) of tree ensembles trained on the other folds; ``size`` goes to ``tree_learner``.
+
+    ``class_weights`` (label value to weight) weighs the training rows. The columns used are written once.
+    """
+    weight = F.lit(1.0)
+    for value, w in (class_weights or {}).items():
+        weight = F.when(F.col(label) == value, float(w)).otherwise(weight)
+    df = checkpointed(df.select(label, *features, fold, weight.alias("_weight")))
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())
     judge = MulticlassClassificationEvaluator(labelCol="_label", metricName="accuracy")
     rows = []
     for kind in kinds:
         for k in folds:
-            model = _stages(df, label, features, LEARNERS[kind](seed)).fit(df.filter(F.col(fold) != k))
+            model = _stages(df, label, features, tree_learner(kind, seed, **size).setWeightCol("_weight")).fit(df.filter(F.col(fold) != k))
             rows.append((kind, int(k), float(judge.evaluate(model.transform(df.filter(F.col(fold) == k))))))
     return df.sparkSession.createDataFrame(rows, "learner string, fold int, accuracy double")
 
@@ -225,15 +237,16 @@ def score_batches(df: DataFrame, model, ids: Sequence[str]) -> DataFrame:
     return scored.select(*ids, F.col("prediction").cast("int").alias("predicted"), F.array_max(p).alias("probability"))
 
 
-def fit_ensemble(df: DataFrame, label: str, features: Sequence[str], kind: str = "forest", seed: int = 42):
-    return _stages(df, label, features, LEARNERS[kind](seed)).fit(df)
+def fit_ensemble(df: DataFrame, label: str, features: Sequence[str], kind: str = "forest", seed: int = 42, **size):
+    return _stages(df, label, features, tree_learner(kind, seed, **size)).fit(df)
 
 
 def eliminate_features(df: DataFrame, label: str, features: Sequence[str], keep: int, seed: int = 42) -> DataFrame:
     """Recursive elimination: drop the feature a tree values least until ``keep`` are left."""
     left, out = list(features), []
+    df = checkpointed(df.select(label, *features))
     while len(left) > keep:
-        model = _stages(df, label, left, LEARNERS["tree"](seed)).fit(df)
+        model = _stages(df, label, left, tree_learner("tree", seed)).fit(df)
         importance = model.stages[-1].featureImportances.toArray()
         worst = int(importance.argmin())
         out.append((left.pop(worst), len(left) + 1))

@@ -262,12 +262,12 @@ def cluster_indices(t):
 
 @plan(
     "kde_grid",
-    """with s as (select count(*) as n, stddev_samp(value) as sd, min(value) as lo, max(value) as hi from events), c as (select round(value / 0.5) * 0.5 as c, count(*) as m from events group by 1)
+    """with s as (select count(*) as n, stddev_samp(value) as sd, min(value) as lo, max(value) as hi from events), c as (select value as c, count(*) as m from events group by 1)
     select i::integer as i, round(lo + i * (hi - lo) / 99, 6) as x, round(sum(m * exp(-pow((lo + i * (hi - lo) / 99 - c) / (sd * pow(n, -0.2::double)), 2) / 2)) / (n * sd * pow(n, -0.2::double) * sqrt(2 * pi())), 8) as density
     from c, s, range(100) r(i) group by i, lo, hi, n, sd""",
 )
 def kde_grid(t):
-    k = Ev.kde_on_grid(t.events, F.col("value"), 100, 0.5)
+    k = Ev.kde_on_grid(t.events, F.col("value"), 100)
     return k.select("i", r6("x").alias("x"), r6("density", 8).alias("density"))
 
 

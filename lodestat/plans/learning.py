@@ -49,12 +49,15 @@ def scale_l2rows(t):
     return rows.withColumn("v", r6("v") + 0.0)
 
 
+COVARIANCE = {c: f"{c} / 1000" if c == "l_extendedprice" else c for c in LI}  # in thousands, so that six digits compare
+
+
 @plan(
     "pca_covariance",
-    "\nunion all ".join(f"select '{a}' as a, '{b}' as b, round(covar_samp({a}, {b}), 6) + 0.0 as covariance from lineitem" for i, a in enumerate(["l_quantity", "l_discount", "l_tax"]) for b in ["l_quantity", "l_discount", "l_tax"][i:]),
+    "\nunion all ".join(f"select '{a}' as a, '{b}' as b, round(covar_samp({COVARIANCE[a]}, {COVARIANCE[b]}), 6) + 0.0 as covariance from lineitem" for i, a in enumerate(LI) for b in LI[i:]),
 )
 def pca_covariance(t):
-    c = Sc.covariance(t.lineitem, ["l_quantity", "l_discount", "l_tax"])
+    c = Sc.covariance(t.lineitem.withColumn("l_extendedprice", F.col("l_extendedprice") / 1000), LI)
     return c.withColumn("covariance", r6("covariance") + 0.0)
 
 
@@ -187,12 +190,12 @@ def _folded(t):
 
 @plan("forest_and_boosting")
 def forest_and_boosting(t):
-    return L.ensemble_scores(_folded(t), "l_linestatus", LI, "fold", ["tree", "forest", "bagging", "boosting"])
+    return L.ensemble_scores(_folded(t), "l_linestatus", LI, "fold", ["tree", "forest", "bagging", "boosting"], trees=50, rounds=10)
 
 
 @plan("score_batches")
 def score_batches(t):
-    model = L.fit_ensemble(t.lineitem.select("l_returnflag", *LI), "l_returnflag", LI)
+    model = L.fit_ensemble(t.lineitem.select("l_returnflag", *LI), "l_returnflag", LI, trees=20)
     return L.score_batches(t.lineitem, model, KEY)
 
 
@@ -269,27 +272,34 @@ def smote_enn(t):
     return kept.select("row", "label")
 
 
-def _assign(src, cents):
-    return f"select vec_id, x, y, arg_min(c, struct_pack(d := pow(x - cx, 2) + pow(y - cy, 2), c := c)) as c from {src}, {cents} group by vec_id, x, y"
+AXES = [f"x{i}" for i in range(64)]
+
+
+def _assign(cents):
+    return f"select vec_id, arg_min(c, struct_pack(d := dd, c := c)) as c from (select vec_id, c, sum(pow(v - cv, 2)) as dd from p join {cents} using (d) group by 1, 2) group by 1"
+
+
+def _means(placed):
+    return f"select c, d, avg(v) as cv from p join {placed} using (vec_id) group by 1, 2"
 
 
 @plan(
     "kmeans_lloyd",
-    f"""with p as (select vec_id, embedding[1]::double as x, embedding[2]::double as y from embeddings), c0 as (select c, x as cx, y as cy from (select (row_number() over (order by vec_id) - 1)::integer as c, x, y from p) where c < 3),
-    a0 as ({_assign('p', 'c0')}), c1 as (select c, avg(x) as cx, avg(y) as cy from a0 group by 1), a1 as ({_assign('p', 'c1')}), c2 as (select c, avg(x) as cx, avg(y) as cy from a1 group by 1), a2 as ({_assign('p', 'c2')})
-    select c as cluster, count(*) as n, round(sum(pow(x - cx, 2) + pow(y - cy, 2)), 6) as cost from a2 join c2 using (c) group by 1""",
+    f"""with p as materialized (select vec_id, unnest(range(64)) as d, unnest(embedding)::double as v from embeddings), s as (select vec_id, (row_number() over (order by vec_id) - 1)::integer as c from embeddings order by vec_id limit 3),
+    c0 as (select c, d, v as cv from p join s using (vec_id)), a0 as ({_assign('c0')}), c1 as ({_means('a0')}), a1 as ({_assign('c1')}), c2 as ({_means('a1')}), a2 as ({_assign('c2')})
+    select c as cluster, count(distinct vec_id) as n, round(sum(pow(v - cv, 2)), 6) as cost from p join a2 using (vec_id) join c2 using (c, d) group by 1""",
 )
 def kmeans_lloyd(t):
-    p = t.embeddings.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate("xy")])
-    seeds = [(r["x"], r["y"]) for r in p.orderBy("vec_id").limit(3).collect()]
-    rows, _ = Cl.lloyd(p, ["x", "y"], seeds, 2)
+    p = t.embeddings.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(AXES)])
+    seeds = [[r[c] for c in AXES] for r in p.orderBy("vec_id").limit(3).collect()]
+    rows, _ = Cl.lloyd(p, AXES, seeds, 2)
     return rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), r6(F.sum("d2")).alias("cost"))
 
 
 @plan("geo_kmeans_label")
 def geo_kmeans_label(t):
-    p = t.embeddings.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(("lon", "lat"))])
-    ready, models, curve = Cl.kmeans_elbow(p, ["lon", "lat"], range(4, 9))
+    p = t.embeddings.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(AXES)])
+    ready, models, curve = Cl.kmeans_elbow(p, AXES, range(4, 13))
     k = knee(curve, "k", "cost").first()["k"]
     return models[k].transform(ready).select("vec_id", "cluster")
 
@@ -299,7 +309,7 @@ def kprototypes(t):
     o = t.orders.select("o_orderkey", (F.col("o_totalprice") / 1e5).alias("price"), "o_orderstatus", "o_orderpriority")
     gamma = Cl.mixed_gamma(o, ["price"], ["o_orderstatus", "o_orderpriority"])
     seeds = [r.asDict() for r in o.orderBy(hash_key("o_orderkey")).limit(3).collect()]
-    rows, _ = Cl.k_prototypes(o, ["price"], ["o_orderstatus", "o_orderpriority"], seeds, gamma, iterations=5)
+    rows, _ = Cl.k_prototypes(o, ["price"], ["o_orderstatus", "o_orderpriority"], seeds, gamma)
     return rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), r6(F.sum("cost")).alias("cost"))
 
 

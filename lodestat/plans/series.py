@@ -35,11 +35,13 @@ def resample(t):
 
 @plan(
     "calendar_spine",
-    """with d as (select date_trunc('day', ts)::timestamp as day, count(*) as n from events where event_type = 'error' and user_id < 5 group by 1),
+    """with d as (select day, count(*) as n from (select case when day(ts) % 4 <> 0 then date_trunc('day', ts)::timestamp end as day from events) where day is not null group by 1),
     s as (select unnest(generate_series(min(day), max(day), interval 1 day))::timestamp as day from d) select day, coalesce(n, 0) as n from s left join d using (day)""",
 )
 def calendar_spine(t):
-    d = t.events.filter("event_type = 'error' and user_id < 5").groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"))
+    # days divisible by four become null: the gaps that the calendar fills
+    day = F.when(F.dayofmonth("ts") % 4 != 0, F.date_trunc("day", "ts").cast("timestamp_ntz")).alias("day")
+    d = t.events.select(day).filter("day IS NOT NULL").groupBy("day")
     return Se.fill_calendar(d.agg(F.count(F.lit(1)).alias("n")), "day").na.fill(0)
 
 
