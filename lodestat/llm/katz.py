@@ -1,6 +1,6 @@
 """Katz backoff bigram scoring.
 
-Texts are cut into chunks of some hundred thousand tokens. A chunk asks by hash bucket for the counts of its distinct words, then of its
+Texts are cut into chunks of about a million tokens. A chunk asks by hash bucket for the counts of its distinct words, then of its
 distinct word pairs; a bucket adds up what all chunks bring, stores its part of the model, and answers every chunk. So a
 word or pair comes once per chunk, however often it occurs, and no occurrence crosses the network.
 """
@@ -42,6 +42,15 @@ def u32(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint32)
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Four-byte numbers with equal bytes beside each other: small numbers then compress well."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = x * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(32)
@@ -109,14 +118,15 @@ def cut_chunks(chunk_tokens: int):
             nonlocal n, n_chunks, types, ids, held, lengths, tokens
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, types), dtype=np.uint64, count=len(types))
             hashes = np.append(hashes, END)
-            order = np.argsort(hashes)
+            local = np.concatenate(tokens)
+            local[local < 0] = len(types)
+            order = np.argsort(-np.bincount(local), kind="stable")  # frequent words get small numbers
             place = np.empty(len(order), dtype=np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
-            local = np.concatenate(tokens)
-            local = place[np.where(local < 0, len(types), local)]
+            local = place[local]
             trains = np.repeat(~np.array(held), lengths)
             counts = np.bincount(local[trains], minlength=len(order)).astype(np.uint32)
-            row = (first + n_chunks, ids, held, np.array(lengths, np.uint32).tobytes(), hashes[order].tobytes(), counts.tobytes(), local.tobytes())
+            row = (first + n_chunks, ids, held, np.array(lengths, np.uint32).tobytes(), hashes[order].tobytes(), counts.tobytes(), planes(local))
             n, n_chunks, types, ids, held, lengths, tokens = 0, n_chunks + 1, {}, [], [], [], []
             return pd.DataFrame([row], columns=names(CHUNKS))
 
@@ -142,9 +152,10 @@ def ask_words(buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for chunk, types, counts in zip(batch["chunk"], batch["types"], batch["counts"], strict=True):
-                types, counts = u64(types), u32(counts)
+                order = np.argsort(u64(types))
+                types, counts = u64(types)[order], u32(counts)[order]
                 edges = np.searchsorted(bucket_of(types, buckets), np.arange(buckets + 1, dtype=np.uint64))
-                rows = [(b, chunk, types[i:j].tobytes(), counts[i:j].tobytes(), None, None, None) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if j > i]
+                rows = [(b, chunk, types[i:j].tobytes(), narrow(counts[i:j]), None, None, None) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if j > i]
                 yield pd.DataFrame(rows, columns=names(ASKS))
 
     return run
@@ -157,7 +168,7 @@ def tell_words(buckets: int):
         bucket = int(group["bucket"].iloc[0])
         asked = [u64(a) for a in group["a"]]
         types, at = np.unique(np.concatenate(asked), return_inverse=True)
-        counts = np.bincount(at, weights=np.concatenate([u32(b) for b in group["b"]])).astype(np.uint64)
+        counts = np.bincount(at, weights=np.concatenate([wide(b) for b in group["b"]])).astype(np.uint64)
         order = np.argsort(-counts.astype(np.int64), kind="stable")
         ids = np.empty(len(types), dtype=np.uint64)
         ids[order] = np.arange(len(types), dtype=np.uint64) * np.uint64(buckets) + np.uint64(bucket + 2)
@@ -165,9 +176,9 @@ def tell_words(buckets: int):
         known = counts > 0
         n = np.bincount(counts[counts <= K + 1].astype(np.int64), minlength=K + 2)
         stats = np.array([counts.sum(), known.sum(), *n], dtype=np.int64)
-        rows = [("model", bucket, None, types[known].tobytes(), ids[known].tobytes(), counts[known].tobytes(), stats.tobytes())]
+        rows = [("model", bucket, None, types[known].tobytes(), narrow(ids[known]), narrow(counts[known]), stats.tobytes())]
         for chunk, part in zip(group["chunk"], np.split(at, np.cumsum([len(a) for a in asked])[:-1]), strict=True):
-            rows.append(("answer", bucket, chunk, ids[part].tobytes(), counts[part].tobytes(), None, None))
+            rows.append(("answer", bucket, chunk, narrow(ids[part]), narrow(counts[part]), None, None))
         return pd.DataFrame(rows, columns=names(TELLS))
 
     return run
@@ -178,10 +189,11 @@ class Chunk:
 
     def __init__(self, row: pd.Series, answers: pd.DataFrame, low: Unigrams, buckets: int, hot: int):
         self.ids, self.held, self.lengths = row["ids"], np.array(row["held"], dtype=bool), u32(row["lengths"]).astype(np.int64)
-        answers = answers.sort_values("bucket")
-        word_ids = np.concatenate([u64(a) for a in answers["a"]])
-        self.word_counts = np.concatenate([u64(b) for b in answers["b"]]).astype(np.int64)
-        self.tokens = u32(row["tokens"]).astype(np.int64)
+        answers, order = answers.sort_values("bucket"), np.argsort(u64(row["types"]))
+        word_ids, self.word_counts = np.empty(len(order), dtype=np.uint64), np.empty(len(order), dtype=np.int64)
+        word_ids[order] = np.concatenate([wide(a) for a in answers["a"]])
+        self.word_counts[order] = np.concatenate([wide(b) for b in answers["b"]])
+        self.tokens = from_planes(row["tokens"]).astype(np.int64)
         # of a pair (context, word) at each position the local numbers; the start of a text is one more context
         start = len(word_ids)
         context = np.concatenate([[start], self.tokens[:-1]])
@@ -221,23 +233,33 @@ def ask_pairs(low: Unigrams, buckets: int, hot: int):
             for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                 if j > i:
                     runs = first_of_runs(v[i:j])
-                    times = np.diff(np.append(runs, j - i)).astype(np.uint32)
-                    # the top bit of a run's length says hot
-                    times |= is_hot[i:j][runs].astype(np.uint32) << np.uint32(31)
-                    rows.append((b, row["chunk"], v[i:j][runs].tobytes(), times.tobytes(), narrow(w[i:j]), narrow(w_count[i:j]), narrow(trained[i:j])))
+                    times = 2 * np.diff(np.append(runs, j - i)) + is_hot[i:j][runs]  # the last bit says hot
+                    rows.append((b, row["chunk"], narrow(v[i:j][runs]), narrow(times), narrow(w[i:j]), narrow(w_count[i:j]), narrow(trained[i:j])))
         return pd.DataFrame(rows, columns=names(ASKS))
 
     return run
 
 
 def narrow(x: np.ndarray) -> bytes:
-    """Numbers in four bytes each if all fit, else in eight; the first byte says which."""
-    kind = np.uint32 if not len(x) or int(x.max()) < 1 << 32 else np.uint64
-    return bytes([np.dtype(kind).itemsize]) + x.astype(kind).tobytes()
+    """Numbers in the fewest of 1, 2, 4 or 8 bytes each in which all fit; the first byte says how many."""
+    kind = np.min_scalar_type(int(x.max()) if len(x) else 0)
+    return bytes([kind.itemsize]) + x.astype(kind).tobytes()
 
 
 def wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype=np.uint32 if data[0] == 4 else np.uint64, offset=1).astype(np.uint64)
+    return np.frombuffer(data, dtype=f"u{data[0]}", offset=1).astype(np.uint64)
+
+
+def pack(made: np.ndarray) -> bytes:
+    """What contexts' weights are made of: the whole numbers narrow, the probabilities as they are."""
+    whole = narrow(made[:, : K + 1].astype(np.uint64).ravel(order="F"))
+    return whole + made[:, K + 1].tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = (len(data) - 1) // (data[0] * (K + 1) + 8)
+    cut = 1 + n * data[0] * (K + 1)
+    return np.column_stack([wide(data[:cut]).reshape(K + 1, n).T.astype(np.float64), np.frombuffer(data[cut:], dtype=np.float64)])
 
 
 def tell_pairs(low: Unigrams):
@@ -249,8 +271,8 @@ def tell_pairs(low: Unigrams):
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        contexts, lengths = [u64(a) for a in group["a"]], [u32(b) for b in group["b"]]
-        times = [(x & np.uint32(0x7FFFFFFF)).astype(np.int64) for x in lengths]
+        contexts, lengths = [wide(a) for a in group["a"]], [wide(b).astype(np.int64) for b in group["b"]]
+        times = [x >> 1 for x in lengths]
         vs, v_at = np.unique(np.concatenate(contexts), return_inverse=True)
         asked = np.repeat(v_at, np.concatenate(times))
         ws, w_at = np.unique(np.concatenate([wide(c) for c in group["c"]]), return_inverse=True)
@@ -266,17 +288,20 @@ def tell_pairs(low: Unigrams):
         made[:, K + 1] = np.bincount(v_of[seen], weights=low.probability(w_counts[seen]), minlength=len(vs))
         few = ((made[:, :K] > 0) << np.arange(K)).sum(axis=1).astype(np.uint8)  # which small counts a context has
         stats = np.bincount(counts[(counts > 0) & (counts <= K + 1)], minlength=K + 2)
-        model = (vs[v_of[seen]], ws[(pairs[seen] % np.uint64(len(ws))).astype(np.int64)], counts[seen])
+        # per context its id and number of followers, then the followers' ids and counts
+        kept, followers = np.unique(v_of[seen], return_counts=True)
+        listed = np.concatenate([vs[kept], followers.astype(np.uint64)])
+        model = (listed, ws[(pairs[seen] % np.uint64(len(ws))).astype(np.int64)], counts[seen])
         rows = [("model", int(group["bucket"].iloc[0]), None, *(narrow(x) for x in model), stats.tobytes())]
         answers = np.split(counts[at], np.cumsum([t.sum() for t in times])[:-1])
         own_contexts = np.split(v_at, np.cumsum([len(c) for c in contexts])[:-1])
         hot = np.zeros(len(vs), dtype=bool)
         for chunk, own, runs, length, answer in zip(group["chunk"], own_contexts, times, lengths, answers, strict=True):
             unseen = np.add.reduceat(answer == 0, np.concatenate([[0], np.cumsum(runs)[:-1]])) > 0
-            is_hot = length >> np.uint32(31) == 1
+            is_hot = length & 1 == 1
             hot[own[is_hot]] = True
             needed = np.flatnonzero(unseen & ~is_hot).astype(np.uint32)
-            rows.append(("answer", int(group["bucket"].iloc[0]), chunk, narrow(answer), few[own].tobytes(), needed.tobytes(), made[own[needed]].tobytes()))
+            rows.append(("answer", int(group["bucket"].iloc[0]), chunk, narrow(answer), few[own].tobytes(), narrow(needed), pack(made[own[needed]])))
         rows.append(("hot", int(group["bucket"].iloc[0]), None, vs[hot].tobytes(), made[hot].tobytes(), None, None))
         return pd.DataFrame(rows, columns=names(TELLS))
 
@@ -284,7 +309,7 @@ def tell_pairs(low: Unigrams):
 
 
 def hot_contexts(told: DataFrame) -> dict[int, np.ndarray]:
-    """What all buckets tell of the hot contexts, added up; these number at most four per bucket."""
+    """What all buckets tell of the hot contexts, added up; these are at most as many as buckets."""
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -322,8 +347,8 @@ def scored(c: Chunk, answers: pd.DataFrame, low: Unigrams, factor: np.ndarray, h
         counts = np.concatenate([wide(a) for a in answers["a"]]).astype(np.int64)
         few = np.concatenate([np.frombuffer(b, dtype=np.uint8) for b in answers["b"]])
         first_run = np.searchsorted(bucket[runs], answers["bucket"].to_numpy())
-        needed = np.concatenate([u32(x).astype(np.int64) + first for x, first in zip(answers["c"], first_run, strict=True)])
-        made = np.concatenate([np.frombuffer(x, dtype=np.float64).reshape(-1, K + 2) for x in answers["d"]])
+        needed = np.concatenate([wide(x).astype(np.int64) + first for x, first in zip(answers["c"], first_run, strict=True)])
+        made = np.concatenate([unpack(x) for x in answers["d"]])
         # a hot context has a run in many buckets
         contexts, context_of_run = np.unique(v[runs], return_inverse=True)
         total, small = np.zeros((len(contexts), K + 2)), np.zeros(len(contexts), dtype=np.uint8)
@@ -361,7 +386,7 @@ def _bucketed(df: DataFrame, parts: int) -> DataFrame:
 
 
 def score_documents(
-    docs: DataFrame, held_out: Column, chunk_tokens: int = 300_000, bucket_bytes: int = 3 << 20, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, held_out: Column, chunk_tokens: int = 1_000_000, bucket_bytes: int = 3 << 20, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Score every whole text under a Katz bigram model learned from the rows that ``held_out`` doesn't mark.
 
@@ -372,7 +397,7 @@ def score_documents(
     lower order; all unknown words are one event. Words are known by 64-bit hashes.
 
     Counts are stored by bucket (kind ``model`` of the tables in the shared folder): word ids and counts, pairs and counts. A context that
-    holds more than a quarter of an average bucket's share of tokens is spread over all buckets by its followers.
+    holds more than an average bucket's share of tokens is spread over all buckets by its followers.
 
     A null or empty text is the end token alone; null ids are kept; a null mark counts as false; repeated rows count each time; an empty
     table gives no row, and with nothing to learn from every token is unknown. Extra columns don't matter.
@@ -389,7 +414,7 @@ def score_documents(
     words = written(asked.groupBy("bucket").applyInPandas(tell_words(buckets), TELLS), "words", partition_by=("kind",))
     stats = _sums(words, K + 4)
     low = Unigrams.from_counts(int(stats[0]), int(stats[1]), total[1], stats[2:])
-    hot = max(1, low.tokens // (4 * buckets))
+    hot = max(1, low.tokens // buckets)
 
     word_answers = words.where("kind = 'answer'").select(F.lit("words").alias("kind"), "bucket", "chunk", "a", "b", "c", "d")
     asked = chunks.groupBy("chunk").cogroup(word_answers.groupBy("chunk")).applyInPandas(ask_pairs(low, buckets, hot), ASKS)

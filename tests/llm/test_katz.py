@@ -28,14 +28,15 @@ class Katz:
         self.d1 = discounts(counts(self.uni.values()))
         self.d2 = discounts(counts([c for f in self.followers.values() for c in f.values()]))
         self.n = sum(self.uni.values())
+        self.freed = sum(c - self.cut(c, self.d1) for c in self.uni.values())
+        self.left = {}
 
     def cut(self, c, d):
         return c * d[c - 1] if c <= K else float(c)
 
     def p1(self, w):
-        freed = sum(c - self.cut(c, self.d1) for c in self.uni.values())
-        bottom = self.n if freed > 0 else self.n + 1
-        return self.cut(self.uni[w], self.d1) / bottom if self.uni[w] else (freed or 1) / bottom
+        bottom = self.n if self.freed > 0 else self.n + 1
+        return self.cut(self.uni[w], self.d1) / bottom if self.uni[w] else (self.freed or 1) / bottom
 
     def p2(self, v, w):
         seen = self.followers.get(v)
@@ -44,8 +45,10 @@ class Katz:
         bottom = self.contexts[v] + (not any(c <= K and self.d2[c - 1] < 1 for c in seen.values()))
         if seen[w]:
             return self.cut(seen[w], self.d2) / bottom
-        left = 1 - sum(self.cut(c, self.d2) for c in seen.values()) / bottom
-        return left / (1 - sum(self.p1(x) for x in seen if seen[x])) * self.p1(w)
+        if v not in self.left:
+            left = 1 - sum(self.cut(c, self.d2) for c in seen.values()) / bottom
+            self.left[v] = left / (1 - sum(self.p1(x) for x in seen if seen[x]))
+        return self.left[v] * self.p1(w)
 
     def score(self, text):
         words = tokens(text)
