@@ -124,14 +124,14 @@ def anova_f(df: DataFrame, features: Sequence[str], label: str, keep: int) -> Da
     cells = []
     for f in features:
         cells += [F.avg(f).alias(f"m_{f}"), F.var_pop(f).alias(f"v_{f}")]
-    groups = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *cells).collect()  # one row per class
-    n, k = sum(g["n"] for g in groups), len(groups)
-    rows = []
-    for f in features:
-        mean = sum(g["n"] * g[f"m_{f}"] for g in groups) / n
-        between = sum(g["n"] * (g[f"m_{f}"] - mean) ** 2 for g in groups)
-        within = sum(g["n"] * g[f"v_{f}"] for g in groups)
-        rows.append((f, float(between / (k - 1) / (within / (n - k)))))
+    groups = checkpointed(df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *cells))
+    whole = groups.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), *[(F.sum(F.col("n") * F.col(f"m_{f}")) / F.sum("n")).alias(f) for f in features]).first()
+    off = {f: F.col(f"m_{f}") - whole[f] for f in features}
+    sums = groups.agg(
+        *[F.sum(F.col("n") * off[f] * off[f]).alias(f"b_{f}") for f in features], *[F.sum(F.col("n") * F.col(f"v_{f}")).alias(f"w_{f}") for f in features]
+    ).first()
+    n, k = whole["n"], whole["k"]
+    rows = [(f, float(sums[f"b_{f}"] / (k - 1) / (sums[f"w_{f}"] / (n - k)))) for f in features]
     return df.sparkSession.createDataFrame(sorted(rows, key=lambda r: -r[1])[:keep], "feature string, f double")
 
 
