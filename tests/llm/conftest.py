@@ -7,7 +7,7 @@ CLASHING = ["size", "slot", "shard", "bucket", "weight", "language", "leaks", "r
 
 
 def rows_of_documents():
-    long = " ".join(f"word{i % 700}" for i in range(60_000))
+    long = " ".join(f"word{i % 700}" for i in range(20_000))
     base = "the quick brown fox jumps over the lazy dog while rain falls on the old stone bridge near town every evening"
     return [
         (1, base + " today", "en", "s1", 10),
