@@ -94,16 +94,16 @@ def stl_classical(t):
 
 @plan(
     "stl_classical_even",
-    """with d as (select date_trunc('month', o_orderdate)::timestamp as month, round(sum(o_totalprice), 2) as total from orders group by 1), i as (select *, row_number() over (order by month) - 1 as t from d),
+    """with d as (select date_trunc('month', o_orderdate)::timestamp as month, round(sum(o_totalprice) / 1000, 6) as total from orders group by 1), i as (select *, row_number() over (order by month) - 1 as t from d),
     m as (select *, t % 12 as phase, case when count(*) over w = 13 then (sum(total) over w - (lag(total, 6) over o + lead(total, 6) over o) / 2) / 12 end as trend from i
         window w as (order by month rows between 6 preceding and 6 following), o as (order by month)),
     p as (select phase, avg(total - trend) as m from m group by 1), s as (select phase, m - avg(m) over () as seasonal from p)
-    select month, round(trend, 2) as trend, round(seasonal, 2) as seasonal, round(total - trend - seasonal, 2) as residual from m join s using (phase)""",
+    select month, round(trend, 3) as trend, round(seasonal, 3) as seasonal, round(total - trend - seasonal, 3) as residual from m join s using (phase)""",
 )
 def stl_classical_even(t):
     month = F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month")
-    d = Se.decompose(t.orders.groupBy(month).agg(F.round(F.sum("o_totalprice"), 2).alias("total")), "month", "total", 12)
-    return d.select("month", *[r6(c, 2).alias(c) for c in ("trend", "seasonal", "residual")])
+    d = Se.decompose(t.orders.groupBy(month).agg(F.round(F.sum("o_totalprice") / 1000, 6).alias("total")), "month", "total", 12)
+    return d.select("month", *[r6(c, 3).alias(c) for c in ("trend", "seasonal", "residual")])
 
 
 @plan(

@@ -1,15 +1,16 @@
-"""Registered plans on the smallest tables, against its SQL where it has one."""
-
-import os
+"""Every registered plan on the smallest tables, against its SQL where it has one."""
 
 import pytest
 
 import __spark_entry__ as entry
+from lodestat.plans import load
+from lodestat.plans.registry import PLANS
 from parity import compare, connect
 
+load()
+
 FOLDER = "/root/testdata/sf0.001"
-SLOW = {"forest_and_boosting", "dbscan", "smote_enn", "geo_kmeans_label"}
-PLANS, SQL = entry.queries(), entry.oracle_sql()
+SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,28 +18,22 @@ def duck():
     return connect(FOLDER)
 
 
-# every third key by default; LODESTAT_ALL_PLANS=1 runs all (tests/parity.py does so at any scale)
-CHOSEN = sorted(set(PLANS) - SLOW)
-if not os.environ.get("LODESTAT_ALL_PLANS"):
-    CHOSEN = CHOSEN[::3]
-
-
-@pytest.mark.parametrize("key", CHOSEN)
+@pytest.mark.parametrize("key", sorted(PLANS))
 def test_plan_agrees_with_sql(spark, duck, key):
-    got = PLANS[key](spark, FOLDER).toPandas()
+    got = entry.queries()[key](spark, FOLDER).toPandas()
     if key in SQL:
         assert compare(got, duck.execute(SQL[key]).df()) is None
 
 
 def test_account_features_plan(spark):
-    """No Python in the plan, no join, two exchanges at most: by account slice and for the result."""
-    plan = PLANS["rolling_amount_features"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    """No Python in the plan, no join, one exchange: by account slice."""
+    plan = entry.queries()["rolling_amount_features"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Join" not in plan and "Cartesian" not in plan
     assert plan.count("Exchange") <= 1
 
 
 def test_scan_reads_only_needed_columns(spark):
-    plan = PLANS["scan_pruned"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    plan = entry.queries()["scan_pruned"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_quantity:double,l_returnflag:string>" in plan
 
 
