@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,37 +121,50 @@ def with_next(docs: DataFrame, slice_bytes: int = 32 << 20, key: str = "doc_id",
 
     Keys are cut into slices of about ``slice_bytes``, one partition each; the row that starts a slice is copied to the end
     of the slice before. Returns key, text, slice and own (false for copies), sorted so inside partitions. Null keys come
-    last; equal keys lie together and are ordered by text.
+    last; equal keys are ordered by a hash of the text, then the text. A key (or null) that fills several slices is cut by that
+    hash, so of one key only rows with one text must lie together.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
-    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    # the hash is turned round, so that it falls along with the key
+    docs = docs.select("key", "text", F.coalesce("key", F.lit(0)).cast("long").alias("number"), F.col("key").isNull().alias("keyless"), F.bitwise_not(F.xxhash64("text")).alias("turned"))
+    rows, without, total = docs.agg(F.count("*"), F.count_if("keyless"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = parts_for(spark, total, slice_bytes)
-    cuts = docs.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)] or [0.5], 20 * parts)).first()[0] or []
-    bounds = np.array(sorted(set(cuts)) if parts > 1 else [], dtype=np.int64)
+    lowest = parts * without // max(rows, 1)  # slices that null keys fill
+    keyed = parts - lowest
+    cuts = docs.agg(F.percentile_approx("key", [i / keyed for i in range(1, keyed)] or [0.5], 20 * parts)).first()[0] or []
+    cuts = cuts if keyed > 1 else []
+    # a cut that comes twice hints at a key which fills a slice or more; cuts come through doubles, so such keys are counted
+    twice = [float(cut) for cut, n in Counter(cuts).items() if n > 1]
+    hot = docs.where(F.col("key").cast("double").isin(twice)).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") * parts >= rows)
+    hot = {r["key"]: r["n"] * parts // rows for r in hot.collect()}  # at most as many as slices
+    # where slices end; a hot key stands here once for each slice that it fills
+    bounds = np.array(sorted([*(set(cuts) - set(hot)), *(key for key, n in hot.items() for _ in range(n))]), dtype=np.int64)
 
-    # a row for each slice: its largest key, and the slice that it ends
     @F.pandas_udf("int")
-    def slice_of(keys: pd.Series) -> pd.Series:
-        known = keys.notna().to_numpy()
-        out = np.zeros(len(keys), dtype=np.int32)
-        out[known] = np.searchsorted(bounds, keys[known].astype("int64").to_numpy(), "left")
-        return pd.Series(out)
-
-    sliced = docs.withColumn("slice", slice_of("key"))
-    tops = sorted((r["slice"], r["top"]) for r in docs.select("key", slice_of("key").alias("slice")).groupBy("slice").agg(F.max("key").alias("top")).collect())
-    above = {s: tops[(i + 1) % len(tops)][0] for i, (s, _) in enumerate(tops)}
-    top_of = dict(tops)
+    def slice_of(number: pd.Series, keyless: pd.Series, turned: pd.Series) -> pd.Series:
+        share = np.minimum((turned.to_numpy().astype(np.float64) + 2.0**63) / 2.0**64, 1 - 2.0**-53)
+        low, high = np.searchsorted(bounds, number, "left"), np.searchsorted(bounds, number, "right")
+        own = np.where(keyless, np.floor(share * lowest), lowest + low + np.floor(share * (high - low)))
+        return pd.Series(own.astype(np.int32))
+
+    # a row for each slice: the row that starts it
+    sliced = docs.withColumn("slice", slice_of("number", "keyless", "turned"))
+    tops = sliced.groupBy("slice").agg(F.max(F.struct("key", "turned")).alias("top")).orderBy("slice").collect()
+    slices = np.array([r["slice"] for r in tops], dtype=np.int32)
+    top_number = np.array([r["top"]["key"] or 0 for r in tops], dtype=np.int64)
+    top_keyless = np.array([r["top"]["key"] is None for r in tops], dtype=bool)
+    top_turned = np.array([r["top"]["turned"] for r in tops], dtype=np.int64)
 
     @F.pandas_udf("int")
-    def also_in(keys: pd.Series, slices: pd.Series) -> pd.Series:
-        tops_here = slices.map(top_of)
-        same = (keys == tops_here) | (keys.isna() & tops_here.isna())
-        return slices.map(above).where(same).astype("Int32")
+    def also_in(number: pd.Series, keyless: pd.Series, turned: pd.Series, own: pd.Series) -> pd.Series:
+        at = np.searchsorted(slices, own)
+        starts = (top_number[at] == number) & (top_keyless[at] == keyless) & (top_turned[at] == turned)
+        return pd.Series(np.roll(slices, -1)[at]).where(starts).astype("Int32")
 
-    sliced = sliced.withColumn("also", also_in("key", "slice"))
+    sliced = sliced.withColumn("also", also_in("number", "keyless", "turned", "slice"))
     places = F.filter(F.array(F.struct("slice", F.lit(True).alias("own")), F.struct(F.col("also").alias("slice"), F.lit(False).alias("own"))), lambda x: x["slice"].isNotNull())
-    dealt = sliced.select("key", "text", F.inline(places)).repartitionById(parts, F.col("slice"))
+    dealt = sliced.select("key", "text", F.inline(places)).repartitionById(lowest + len(bounds) + 1, F.col("slice"))
     return dealt.sortWithinPartitions("slice", F.col("own").desc(), F.col("key").desc_nulls_last(), F.xxhash64("text"), "text")
 
 

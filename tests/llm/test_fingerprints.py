@@ -4,7 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestat.llm.fingerprints import Sketcher, containment, decode, distinct_shingles, encode, fingerprint_documents, merge, merge_fingerprints, resemblance
+from lodestat.llm.common import written
+from lodestat.llm.fingerprints import (
+    Sketcher, containment, decode, distinct_shingles, encode, fingerprint_documents, merge, merge_fingerprints, resemblance, with_next,
+)
 
 K = 128
 
@@ -86,3 +89,17 @@ def test_odd_tables(spark, odd_docs, no_docs):
     assert fingerprint_documents(no_docs).isEmpty()
     alone = fingerprint_documents(spark.createDataFrame([(1, "abcdef")], "doc_id long, text string")).first()
     assert alone.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and alone.near_next == 1
+
+
+def test_an_id_on_most_rows_is_cut(spark):
+    rows = [(i if i % 10 < 2 else (None if i % 10 < 5 else 2**60 + 1), f"text {i} " + "and more of it " * (i % 7)) for i in range(1000)]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string"), "hot-id")
+    sizes = [r["n"] for r in with_next(docs, slice_bytes=2000).where("own").groupBy("slice").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 1000 and max(sizes) < 100
+    ordered = docs.orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text").collect()
+    want = []
+    for i, r in enumerate(ordered):
+        after, cut = ordered[(i + 1) % len(ordered)].text, len(r.text) // 3
+        want.append((r.doc_id, len(r.text), hashlib.sha256((r.text[: len(r.text) - cut] + after[:cut]).encode()).hexdigest()))
+    got = fingerprint_documents(docs, slice_bytes=2000).select("doc_id", "n_chars", "edited_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
