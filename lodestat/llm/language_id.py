@@ -18,7 +18,8 @@ UNKNOWN = "und"
 
 
 def words_in(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    """Runs of letters in lower case; signs such as fractions and raised digits may be in one but don't make one."""
+    return [word for word in LETTERS.findall(text.lower()) if word.isalpha() or any(map(str.isalpha, word))] if text else []
 
 
 def grams_of(word: str, n: int) -> list[str]:

@@ -50,6 +50,10 @@ def test_unseen_words_fall_back_to_shorter_grams(spark):
     assert lang in ("de", "en") and math.isclose(score, 0.5)
 
 
+def test_numbers_of_any_kind_are_no_letters():
+    assert words_in("½ ² ① Ⅳ 12 _ ٣") == [] and words_in("m² Éa") == ["m²", "éa"]
+
+
 def test_odd_and_empty_tables(odd_docs, no_docs):
     model = fit(odd_docs)
     got = predict_languages(odd_docs, model, into="found")
