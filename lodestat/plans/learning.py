@@ -108,10 +108,25 @@ def linreg_cost_gradient(t):
     return g.select(*[r6(c).alias(c) for c in g.columns])
 
 
-@plan("linreg_gd")
+GD_COLUMNS = "round(cost, 6) as cost, round(b0, 6) as intercept, round(b1, 6) as q, round(b2, 6) as d"
+
+
+def _rounded(path):
+    return path.withColumns({c: r6(c) for c in path.columns if c != "iteration"})
+
+
+@plan(
+    "linreg_gd",
+    f"""with recursive m as (select avg(q) as q, avg(d) as d, avg(y) as y, avg(q * q) as qq, avg(q * d) as qd, avg(d * d) as dd, avg(q * y) as qy, avg(d * y) as dy, avg(y * y) as yy
+    from (select l_quantity / 50 as q, l_discount * 10 as d, l_extendedprice / 1e4 as y from lineitem)),
+    g as (select 0::integer as iteration, 0::double as b0, 0::double as b1, 0::double as b2 union all
+    select iteration + 1, b0 - 0.5::double * (b0 + b1 * q + b2 * d - y), b1 - 0.5::double * (b0 * q + b1 * qq + b2 * qd - qy), b2 - 0.5::double * (b0 * d + b1 * qd + b2 * dd - dy) from g, m where iteration < 9),
+    c as (select iteration, b0, b1, b2, (b0 * b0 + b1 * b1 * qq + b2 * b2 * dd + yy) / 2 + b0 * b1 * q + b0 * b2 * d + b1 * b2 * qd - b0 * y - b1 * qy - b2 * dy as cost from g, m)
+    select iteration, {GD_COLUMNS} from c""",
+)
 def linreg_gd(t):
     rows = t.lineitem.select((F.col("l_quantity") / 50).alias("q"), (F.col("l_discount") * 10).alias("d"), (F.col("l_extendedprice") / 1e4).alias("y"))
-    return L.gradient_descent(rows, F.col("y"), ["q", "d"], 0.5, 10, logistic=False)
+    return _rounded(L.gradient_descent(rows, F.col("y"), ["q", "d"], 0.5, 10, logistic=False))
 
 
 @plan(
@@ -125,15 +140,28 @@ def logreg_cost_gradient(t):
     return g.select(*[r6(c).alias(c) for c in g.columns])
 
 
-@plan("logreg_gd")
+def _logistic_steps(iterations):
+    """One aggregate for each step: e{k} has the cost and gradient at the parameters b{k}."""
+    steps = ["with l as (select (l_returnflag = 'R')::integer as y, l_quantity / 50 as q, l_discount * 10 as d from lineitem), b0 as (select 0::double as b0, 0::double as b1, 0::double as b2)"]
+    for k in range(iterations):
+        steps.append(
+            f"""e{k} as materialized (select any_value(b0) as b0, any_value(b1) as b1, any_value(b2) as b2, (sum(greatest(z, 0) + ln(1 + exp(-abs(z))) - y * z) + any_value(b1 * b1 + b2 * b2) / 2) / count(*) as cost,
+            avg(err) as g0, (sum(err * q) + any_value(b1)) / count(*) as g1, (sum(err * d) + any_value(b2)) / count(*) as g2
+            from (select *, 1 / (1 + exp(-z)) - y as err from (select *, b0 + b1 * q + b2 * d as z from l, b{k})))"""
+        )
+        steps.append(f"b{k + 1} as (select b0 - 0.5::double * g0 as b0, b1 - 0.5::double * g1 as b1, b2 - 0.5::double * g2 as b2 from e{k})")
+    return ", ".join(steps) + " " + " union all ".join(f"select {k}::integer as iteration, {GD_COLUMNS} from e{k}" for k in range(iterations))
+
+
+@plan("logreg_gd", _logistic_steps(10))
 def logreg_gd(t):
     rows = t.lineitem.select((F.col("l_returnflag") == "R").alias("y"), (F.col("l_quantity") / 50).alias("q"), (F.col("l_discount") * 10).alias("d"))
-    return L.gradient_descent(rows, F.col("y"), ["q", "d"], 0.5, 10, logistic=True, penalty=1.0)
+    return _rounded(L.gradient_descent(rows, F.col("y"), ["q", "d"], 0.5, 10, logistic=True, penalty=1.0))
 
 
 @plan("huber_irls")
 def huber_irls(t):
-    a, b = L.huber_line(t.orders.withColumn("x", F.col("o_custkey").cast("double")), "o_totalprice", "x", iterations=5)
+    a, b = L.huber_line(t.orders.withColumn("x", F.col("o_custkey").cast("double")), "o_totalprice", "x")
     return t.spark.createDataFrame([(a, b)], "intercept double, slope double")
 
 
@@ -256,10 +284,20 @@ def topk_permutation_table(t):
     return p.groupBy("feature").agg(r6(F.avg("increase")).alias("mean_increase")).orderBy(F.desc("mean_increase")).limit(1)
 
 
-@plan("grid_search")
+# two features without intercept once centred, so each ridge fit is a two by two system over the other folds
+GRID_SQL = """with e as (select user_id::double as u, hour(ts)::double as h, value as y, (event_id % 5)::integer as fold from events), k as (select distinct fold from e),
+    m as (select k.fold, count(*) as n, avg(u) as mu, avg(h) as mh, avg(y) as my, var_pop(u) * count(*) as uu, var_pop(h) * count(*) as hh, covar_pop(u, h) * count(*) as uh, covar_pop(u, y) * count(*) as uy, covar_pop(h, y) * count(*) as hy
+    from k join e on e.fold <> k.fold group by 1),
+    b as (select *, (uy * (hh + penalty) - hy * uh) / ((uu + penalty) * (hh + penalty) - uh * uh) as bu, (hy * (uu + penalty) - uy * uh) / ((uu + penalty) * (hh + penalty) - uh * uh) as bh
+    from m, unnest([0.0::double, 1, 10, 100, 1000, 1e6]) p(penalty)),
+    s as (select penalty, fold, avg(pow(y - my - bu * (u - mu) - bh * (h - mh), 2)) as mse from b join e using (fold) group by 1, 2), w as (select penalty, avg(mse) as mean_mse from s group by 1)
+    select penalty, fold, round(mse, 6) as mse, round(mean_mse, 6) as mean_mse, r::integer as rank from s join (select *, row_number() over (order by mean_mse) as r from w) using (penalty)"""
+
+
+@plan("grid_search", GRID_SQL)
 def grid_search(t):
     e = t.events.select(F.col("user_id").cast("double").alias("u"), F.hour("ts").cast("double").alias("h"), "value", (F.col("event_id") % 5).cast("int").alias("fold"))
-    return L.ridge_grid(e, "value", ["u", "h"], "fold", [0.0, 1.0, 10.0, 100.0, 1000.0, 1e6])
+    return L.ridge_grid(e, "value", ["u", "h"], "fold", [0.0, 1.0, 10.0, 100.0, 1000.0, 1e6]).withColumns({"mse": r6("mse"), "mean_mse": r6("mean_mse")})
 
 
 @plan("smote_enn")

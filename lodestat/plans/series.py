@@ -54,9 +54,21 @@ def acf(t):
     return Se.autocorrelation(daily(t), "day", "total", 10).withColumn("acf", r6("acf"))
 
 
-@plan("pacf")
+def _pacf_sql(lags):
+    """Durbin-Levinson, one step for each lag: f{k}_{j} is coefficient j of the autoregression of order k."""
+    steps = [ACF + ", r as (select list(acf order by lag) as r from a), p1 as (select r, r[2] as f1_1 from r)"]
+    for k in range(2, lags + 1):
+        top = " - ".join([f"r[{k + 1}]", *(f"f{k - 1}_{j} * r[{k - j + 1}]" for j in range(1, k))])
+        bottom = " - ".join(["1", *(f"f{k - 1}_{j} * r[{j + 1}]" for j in range(1, k))])
+        others = ", ".join(f"f{k - 1}_{j} - f{k}_{k} * f{k - 1}_{k - j} as f{k}_{j}" for j in range(1, k))
+        steps.append(f"p{k} as (select *, ({top}) / ({bottom}) as f{k}_{k}, {others} from p{k - 1})")
+    rows = " union all ".join(f"select {k}::integer as lag, round(f{k}_{k}, 6) as pacf from p{lags}" for k in range(1, lags + 1))
+    return ", ".join(steps) + f" select 0::integer as lag, 1.0::double as pacf union all {rows}"
+
+
+@plan("pacf", _pacf_sql(10))
 def pacf(t):
-    return Se.partial_autocorrelation(daily(t), "day", "total", 10)
+    return Se.partial_autocorrelation(daily(t), "day", "total", 10).withColumn("pacf", r6("pacf"))
 
 
 @plan(

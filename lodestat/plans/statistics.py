@@ -212,9 +212,14 @@ def beta_binomial_pmf(t):
     return H.beta_binomial(_posterior(t), "event_type", 20).withColumn("probability", r6("probability"))
 
 
-@plan("beta_kl")
+@plan(
+    "beta_kl",
+    # at whole parameters the digamma function is a harmonic number less a constant, which cancels out; the prior's own terms are 0
+    POSTERIOR_SQL + """, h as (select i::double as n, coalesce(sum(1 / i::double) over (order by i rows between unbounded preceding and 1 preceding), 0) as d from range(1, (select max(a + b)::bigint + 1 from c)) r(i))
+    select event_type, round(lgamma(a + b) - lgamma(a) - lgamma(b) + (a - 1) * x.d + (b - 1) * y.d + (2 - a - b) * z.d, 6) as kl from c join h x on x.n = a join h y on y.n = b join h z on z.n = a + b""",
+)
 def beta_kl(t):
-    return H.beta_divergence(_posterior(t), "event_type")
+    return H.beta_divergence(_posterior(t), "event_type").withColumn("kl", r6("kl"))
 
 
 MUS, SIGMAS = [30.0, 40.0, 50.0, 60.0], [30.0, 40.0, 50.0]
