@@ -1,7 +1,7 @@
-"""Katz backoff bigram scoring.
+"""Katz backoff n-gram scoring.
 
-Texts are cut into chunks of about a million tokens. A chunk asks by hash bucket for the counts of its distinct words, then of its
-distinct word pairs; a bucket adds up what all chunks bring, stores its part of the model, and answers every chunk. So a
+Texts are cut into chunks of about a million tokens. A chunk asks by hash bucket for the counts of its distinct words, then order by
+order of its distinct n-grams; a bucket adds up what all chunks bring, stores its part of the model, and answers every chunk. So a
 word or pair comes once per chunk, however often it occurs, and no occurrence crosses the network.
 """
 
@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 from lodestat.llm.common import id_remainder, new_path, parts_for, text_or_empty, written
 
 K = 5  # counts up to K are discounted
+ORDER = 3  # of the registered query
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))  # no word holds a blank
 UNKNOWN_ID, START_ID = np.uint64(0), np.uint64(1)
 
 CHUNKS = "chunk long, ids array<string>, held array<boolean>, lengths binary, types binary, counts binary, tokens binary"
-ASKS = "bucket int, chunk long, a binary, b binary, c binary, d binary, e binary"
+ASKS = "bucket int, chunk long, a binary, b binary, c binary, d binary, e binary, f binary"
 TELLS = "kind string, bucket int, chunk long, a binary, b binary, c binary, d binary"
 SCORES = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -155,7 +156,7 @@ def ask_words(buckets: int):
                 order = np.argsort(u64(types))
                 types, counts = u64(types)[order], u32(counts)[order]
                 edges = np.searchsorted(bucket_of(types, buckets), np.arange(buckets + 1, dtype=np.uint64))
-                rows = [(b, chunk, types[i:j].tobytes(), narrow(counts[i:j]), None, None, None) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if j > i]
+                rows = [(b, chunk, types[i:j].tobytes(), narrow(counts[i:j]), None, None, None, None) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if j > i]
                 yield pd.DataFrame(rows, columns=names(ASKS))
 
     return run
@@ -184,34 +185,65 @@ def tell_words(buckets: int):
     return run
 
 
+def joined_ids(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """64-bit ids of contexts one word longer."""
+    return mixed(mixed(context ^ mixed(word + np.uint64(3))) + np.uint64(11))
+
+
 class Chunk:
-    """A chunk with the ids and counts of its words: its positions, and its distinct pairs in the order asked."""
+    """A chunk with the ids and counts of its words, taken from order to order.
+
+    At every position stand its token's count and log probability in the order reached, and the context of the next
+    order, which is known if it was trained; the n-grams asked for are the distinct (context, word) at known contexts.
+    """
 
     def __init__(self, row: pd.Series, answers: pd.DataFrame, low: Unigrams, buckets: int, hot: int):
         self.ids, self.held, self.lengths = row["ids"], np.array(row["held"], dtype=bool), u32(row["lengths"]).astype(np.int64)
+        self.buckets, self.most = buckets, hot
         answers, order = answers.sort_values("bucket"), np.argsort(u64(row["types"]))
-        word_ids, self.word_counts = np.empty(len(order), dtype=np.uint64), np.empty(len(order), dtype=np.int64)
+        word_ids, word_counts = np.empty(len(order), dtype=np.uint64), np.empty(len(order), dtype=np.int64)
         word_ids[order] = np.concatenate([wide(a) for a in answers["a"]])
-        self.word_counts[order] = np.concatenate([wide(b) for b in answers["b"]])
-        self.tokens = from_planes(row["tokens"]).astype(np.int64)
-        # of a pair (context, word) at each position the local numbers; the start of a text is one more context
-        start = len(word_ids)
-        context = np.concatenate([[start], self.tokens[:-1]])
+        word_counts[order] = np.concatenate([wide(b) for b in answers["b"]])
+        tokens = from_planes(row["tokens"]).astype(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
-        context[self.starts] = start
-        context_counts = np.append(self.word_counts, low.texts)
-        context_ids = np.append(word_ids, START_ID)
-        self.known_context = context_counts[context] > 0
-        words = np.where(self.word_counts > 0, np.arange(start), start)[self.tokens]  # all unknown words are one
-        pairs, self.pair_at = np.unique(context[self.known_context] * (start + 1) + words[self.known_context], return_inverse=True)
-        v, w = pairs // (start + 1), pairs % (start + 1)
-        self.v_count, self.w_count = context_counts[v], np.append(self.word_counts, 0)[w]
-        self.v_id, self.w_id = context_ids[v], np.append(word_ids, UNKNOWN_ID)[w]
-        self.hot = self.v_count > hot  # the pairs of such a context are spread over all buckets
-        self.bucket = bucket_of(mixed(self.v_id + np.where(self.hot, mixed(self.w_id + np.uint64(7)), np.uint64(0))), buckets).astype(np.int64)
+        self.trains = ~np.repeat(self.held, self.lengths)
+        # contexts and words by local numbers; the start of a text is one more context, all unknown words are one word
+        self.start = len(word_ids)
+        self.word = np.where(word_counts > 0, np.arange(self.start), self.start)[tokens].astype(np.int64)
+        self.word_id = np.append(word_ids, UNKNOWN_ID)[self.word]
+        self.word_count = self.count = word_counts[tokens]
+        self.bottom = None
+        self.logs = np.log10(low.probability(word_counts))[tokens]
+        self.context = np.concatenate([[self.start], tokens[:-1]])
+        self.context[self.starts] = self.start
+        self.context_id, self.context_count = np.append(word_ids, START_ID)[self.context], np.append(word_counts, low.texts)[self.context]
+        self.find_grams()
+
+    def find_grams(self) -> None:
+        """The distinct n-grams of the next order, and the order in which they are asked."""
+        self.known = np.flatnonzero(self.context_count > 0)
+        grams = self.context[self.known] * (self.start + 1) + self.word[self.known]
+        grams, first, self.gram_at = np.unique(grams, return_index=True, return_inverse=True)
+        first = self.known[first]
+        self.v_id, self.v_count, self.w_id, self.low_count, self.low_log = (x[first] for x in (self.context_id, self.context_count, self.word_id, self.count, self.logs))
+        self.low_bottom = None if self.bottom is None else self.bottom[first]
+        self.hot = self.v_count > self.most  # the n-grams of such a context are spread over all buckets
+        self.bucket = bucket_of(mixed(self.v_id + np.where(self.hot, mixed(self.w_id + np.uint64(7)), np.uint64(0))), self.buckets).astype(np.int64)
         self.order = np.lexsort((self.w_id, self.v_id, self.bucket))
-        position_trains = ~np.repeat(self.held, self.lengths)[self.known_context]
-        self.trained = np.bincount(self.pair_at[position_trains], minlength=len(pairs))
+        self.trained = np.bincount(self.gram_at[self.trains[self.known]], minlength=len(grams))
+
+    def rise(self, counts: np.ndarray, bottoms: np.ndarray, logs: np.ndarray) -> None:
+        """Take what was told of the n-grams; each trained n-gram is the context of the position after it, except over a text's start."""
+        gram, count, bottom = (np.zeros(len(self.logs), dtype=np.int64) for _ in range(3))
+        gram[self.known], count[self.known], bottom[self.known] = self.gram_at, counts[self.gram_at], bottoms[self.gram_at]
+        self.logs = self.logs.copy()
+        self.logs[self.known] = logs[self.gram_at]
+        self.count, self.bottom = count, bottom
+        self.context = np.concatenate([[0], gram[:-1]])
+        self.context_id = joined_ids(np.concatenate([self.context_id[:1], self.context_id[:-1]]), np.concatenate([self.word_id[:1], self.word_id[:-1]]))
+        self.context_count = np.concatenate([[0], count[:-1]])
+        self.context_count[self.starts] = 0
+        self.find_grams()
 
 
 def first_of_runs(*keys: np.ndarray) -> np.ndarray:
@@ -222,19 +254,23 @@ def first_of_runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def ask_pairs(low: Unigrams, buckets: int, hot: int):
+def ask_grams(low: Unigrams, told: list["Told"], buckets: int, hot: int):
+    """The n-grams one order above those told."""
+
     def run(chunks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for _, row in chunks.iterrows():
-            c = Chunk(row, answers, low, buckets, hot)
+            c = risen(row, answers, low, told, buckets, hot)
             o = c.order
-            bucket, v, w, w_count, trained, is_hot = c.bucket[o], c.v_id[o], c.w_id[o], c.w_count[o], c.trained[o], c.hot[o]
+            bucket, v, w, low_count, trained, is_hot = c.bucket[o], c.v_id[o], c.w_id[o], c.low_count[o], c.trained[o], c.hot[o]
+            low_bottom = None if c.low_bottom is None else c.low_bottom[o]
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
             for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                 if j > i:
                     runs = first_of_runs(v[i:j])
                     times = 2 * np.diff(np.append(runs, j - i)) + is_hot[i:j][runs]  # the last bit says hot
-                    rows.append((b, row["chunk"], narrow(v[i:j][runs]), narrow(times), narrow(w[i:j]), narrow(w_count[i:j]), narrow(trained[i:j])))
+                    bottoms = None if low_bottom is None else narrow(low_bottom[i:j][runs])
+                    rows.append((b, row["chunk"], narrow(v[i:j][runs]), narrow(times), narrow(w[i:j]), narrow(low_count[i:j]), narrow(trained[i:j]), bottoms))
         return pd.DataFrame(rows, columns=names(ASKS))
 
     return run
@@ -262,8 +298,8 @@ def unpack(data: bytes) -> np.ndarray:
     return np.column_stack([wide(data[:cut]).reshape(K + 1, n).T.astype(np.float64), np.frombuffer(data[cut:], dtype=np.float64)])
 
 
-def tell_pairs(low: Unigrams):
-    """Pair counts of a bucket, each chunk's answers, and for contexts what their backoff weight is made of.
+def tell_grams(low: Unigrams, low_factor: np.ndarray):
+    """N-gram counts of a bucket, each chunk's answers, and for contexts what their backoff weight is made of.
 
     Per context: the number of its followers seen 1..K times, the sum of larger counts, and the lower-order
     probability of all followers. They go to the chunks that meet an unseen follower of it; for a hot context, whose
@@ -277,15 +313,21 @@ def tell_pairs(low: Unigrams):
         asked = np.repeat(v_at, np.concatenate(times))
         ws, w_at = np.unique(np.concatenate([wide(c) for c in group["c"]]), return_inverse=True)
         pairs, at = np.unique(asked.astype(np.uint64) * np.uint64(len(ws)) + w_at.astype(np.uint64), return_inverse=True)
+        bottoms = low.bottom
+        if group["f"].iloc[0] is not None:  # what the lower order divides by, the same for all followers of a context
+            bottoms = np.ones(len(vs))
+            bottoms[v_at] = np.concatenate([wide(f) for f in group["f"]])
         counts = np.bincount(at, weights=np.concatenate([wide(e) for e in group["e"]])).astype(np.int64)
-        w_counts = np.zeros(len(pairs), dtype=np.int64)
-        w_counts[at] = np.concatenate([wide(d) for d in group["d"]]).astype(np.int64)
+        low_counts = np.zeros(len(pairs), dtype=np.int64)
+        low_counts[at] = np.concatenate([wide(d) for d in group["d"]]).astype(np.int64)
         v_of, seen = (pairs // np.uint64(len(ws))).astype(np.int64), counts > 0
         made = np.zeros((len(vs), K + 2))
         for r in range(1, K + 1):
             made[:, r - 1] = np.bincount(v_of[counts == r], minlength=len(vs))
         made[:, K] = np.bincount(v_of[counts > K], weights=counts[counts > K], minlength=len(vs))
-        made[:, K + 1] = np.bincount(v_of[seen], weights=low.probability(w_counts[seen]), minlength=len(vs))
+        # a trained n-gram's lower n-gram is trained too
+        low_probability = discounted(low_counts[seen], low_factor) / (bottoms[v_of[seen]] if np.ndim(bottoms) else bottoms)
+        made[:, K + 1] = np.bincount(v_of[seen], weights=low_probability, minlength=len(vs))
         few = ((made[:, :K] > 0) << np.arange(K)).sum(axis=1).astype(np.uint8)  # which small counts a context has
         stats = np.bincount(counts[(counts > 0) & (counts <= K + 1)], minlength=K + 2)
         # per context its id and number of followers, then the followers' ids and counts
@@ -323,24 +365,34 @@ def hot_contexts(told: DataFrame) -> dict[int, np.ndarray]:
     return {np.int64(r["v"]).astype(np.uint64): np.array([r[c] for c in columns]) for r in sums}
 
 
-def score_chunk(low: Unigrams, factor: np.ndarray, buckets: int, hot: int, hot_made: dict[int, np.ndarray]):
+@dataclass
+class Told:
+    """What is known on all buckets of an order above the first."""
+
+    order: int
+    factor: np.ndarray
+    hot_made: dict[int, np.ndarray]
+
+
+def score_chunk(low: Unigrams, told: list[Told], buckets: int, hot: int):
     def run(chunks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, row in chunks.iterrows():
-            pair_answers = answers[answers["kind"] == "pairs"].sort_values("bucket")
-            c = Chunk(row, answers[answers["kind"] == "words"], low, buckets, hot)
-            out.append(scored(c, pair_answers, low, factor, hot_made))
-        return pd.concat(out)
+        return pd.concat([scored(risen(row, answers, low, told, buckets, hot), low) for _, row in chunks.iterrows()])
 
     return run
 
 
-def scored(c: Chunk, answers: pd.DataFrame, low: Unigrams, factor: np.ndarray, hot_made: dict[int, np.ndarray]) -> pd.DataFrame:
-    known = c.word_counts[c.tokens]
-    word_log = np.log10(low.probability(c.word_counts))
-    logs = word_log[c.tokens]
-    if len(c.order):
-        o = c.order
+def risen(row: pd.Series, answers: pd.DataFrame, low: Unigrams, told: list[Told], buckets: int, hot: int) -> Chunk:
+    """A chunk taken through all orders told."""
+    c = Chunk(row, answers[answers["kind"] == "1"], low, buckets, hot)
+    for order in told:
+        take_answers(c, answers[answers["kind"] == str(order.order)].sort_values("bucket"), order.factor, order.hot_made)
+    return c
+
+
+def take_answers(c: Chunk, answers: pd.DataFrame, factor: np.ndarray, hot_made: dict[int, np.ndarray]) -> None:
+    o = c.order
+    in_place, gram_counts, gram_bottoms = np.empty(len(o)), np.zeros(len(o), dtype=np.int64), np.zeros(len(o), dtype=np.int64)
+    if len(o):
         bucket, v = c.bucket[o], c.v_id[o]
         runs = first_of_runs(bucket, v)  # the contexts in the order asked
         run_of = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(o))))
@@ -358,23 +410,23 @@ def scored(c: Chunk, answers: pd.DataFrame, low: Unigrams, factor: np.ndarray, h
             total[at] = hot_made[contexts[at]]
             small[at] = ((total[at, :K] > 0) << np.arange(K)).sum()
         cuts = ((factor < 1) << np.arange(K)).sum().astype(np.uint8)
-        context_counts = np.zeros(len(contexts))
+        context_counts = np.zeros(len(contexts), dtype=np.int64)
         context_counts[context_of_run] = c.v_count[o][runs]
         bottom = context_counts + ((small & cuts) == 0)  # nothing is discounted: one more count for the unseen
         mass = (total[:, :K] @ (factor * np.arange(1, K + 1)) + total[:, K]) / bottom
         weight = (1 - mass) / (1 - total[:, K + 1])
         context = context_of_run[run_of]
         with np.errstate(divide="ignore"):
-            pair_log = np.where(
-                counts > 0, np.log10(discounted(counts, factor) / bottom[context]), np.log10(weight[context]) + np.log10(low.probability(c.w_count[o]))
-            )
-        in_place = np.empty(len(o))
-        in_place[o] = pair_log
-        logs[c.known_context] = in_place[c.pair_at]
-    base = np.log10((known + 1) / (low.tokens + 1 * (low.types + 1)))
+            in_place[o] = np.where(counts > 0, np.log10(discounted(counts, factor) / bottom[context]), np.log10(weight[context]) + c.low_log[o])
+        gram_counts[o], gram_bottoms[o] = counts, bottom[context]
+    c.rise(gram_counts, gram_bottoms, in_place)
+
+
+def scored(c: Chunk, low: Unigrams) -> pd.DataFrame:
+    base = np.log10((c.word_count + 1) / (low.tokens + 1 * (low.types + 1)))
     return pd.DataFrame({
-        "doc_id": list(c.ids), "held_out": c.held, "n_tokens": c.lengths, "n_known": np.add.reduceat((known > 0).astype(np.int64), c.starts), "train_tokens": low.tokens,
-        "base_score": np.add.reduceat(base, c.starts), "score": np.add.reduceat(logs, c.starts),
+        "doc_id": list(c.ids), "held_out": c.held, "n_tokens": c.lengths, "n_known": np.add.reduceat((c.word_count > 0).astype(np.int64), c.starts), "train_tokens": low.tokens,
+        "base_score": np.add.reduceat(base, c.starts), "score": np.add.reduceat(c.logs, c.starts),
     })
 
 
@@ -386,17 +438,18 @@ def _bucketed(df: DataFrame, parts: int) -> DataFrame:
 
 
 def score_documents(
-    docs: DataFrame, held_out: Column, chunk_tokens: int = 1_000_000, bucket_bytes: int = 3 << 20, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, held_out: Column, chunk_tokens: int = 1_000_000, bucket_bytes: int = 3 << 20, key: str = "doc_id", text: str = "text", order: int = 2
 ) -> DataFrame:
-    """Score every whole text under a Katz bigram model learned from the rows that ``held_out`` doesn't mark.
+    """Score every whole text under a Katz model of n-grams up to ``order`` learned from the rows that ``held_out`` doesn't mark.
 
-    Tokens are words (A-Z lowered) and one end per text; a text's first context is its start. Counts up to 5 get
+    Tokens are words (A-Z lowered) and one end per text; a text's first context is its start, and no context goes beyond it. Every
+    order is a round of asking and telling, in which contexts are 64-bit hashes from two words on. Counts up to 5 get
     Good-Turing discounts (``discounts``). What they free in a context goes to its unseen followers in proportion to
     the lower order, exactly: weight = (1 - discounted mass) / (1 - lower-order mass of the seen followers), both summed over all
     followers. A context without a discounted follower gets one more count for the unseen; an unseen context takes the
     lower order; all unknown words are one event. Words are known by 64-bit hashes.
 
-    Counts are stored by bucket (kind ``model`` of the tables in the shared folder): word ids and counts, pairs and counts. A context that
+    Counts are stored by bucket (kind ``model`` of the tables in the shared folder): word ids and counts, n-grams and counts. A context that
     holds more than an average bucket's share of tokens is spread over all buckets by its followers.
 
     A null or empty text is the end token alone; null ids are kept; a null mark counts as false; repeated rows count each time; an empty
@@ -416,14 +469,15 @@ def score_documents(
     low = Unigrams.from_counts(int(stats[0]), int(stats[1]), total[1], stats[2:])
     hot = max(1, low.tokens // buckets)
 
-    word_answers = words.where("kind = 'answer'").select(F.lit("words").alias("kind"), "bucket", "chunk", "a", "b", "c", "d")
-    asked = chunks.groupBy("chunk").cogroup(word_answers.groupBy("chunk")).applyInPandas(ask_pairs(low, buckets, hot), ASKS)
-    pairs = written(asked.groupBy("bucket").applyInPandas(tell_pairs(low), TELLS), "pairs", partition_by=("kind",))
-    factor = discounts(_sums(pairs, K + 2))
-
-    pair_answers = pairs.where("kind = 'answer'").select(F.lit("pairs").alias("kind"), "bucket", "chunk", "a", "b", "c", "d")
-    answers = word_answers.unionByName(pair_answers)
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(score_chunk(low, factor, buckets, hot, hot_contexts(pairs)), SCORES)
+    answers = words.where("kind = 'answer'").select(F.lit("1").alias("kind"), "bucket", "chunk", "a", "b", "c", "d")
+    told, factor = [], low.factor
+    for n in range(2, order + 1):
+        asked = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(ask_grams(low, told, buckets, hot), ASKS)
+        grams = written(asked.groupBy("bucket").applyInPandas(tell_grams(low, factor), TELLS), f"grams-{n}", partition_by=("kind",))
+        factor = discounts(_sums(grams, K + 2))
+        told = [*told, Told(n, factor, hot_contexts(grams))]
+        answers = answers.unionByName(grams.where("kind = 'answer'").select(F.lit(str(n)).alias("kind"), "bucket", "chunk", "a", "b", "c", "d"))
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(score_chunk(low, told, buckets, hot), SCORES)
 
 
 def _sums(told: DataFrame, n: int) -> np.ndarray:
@@ -442,5 +496,5 @@ def _sums(told: DataFrame, n: int) -> np.ndarray:
 
 def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    scores = score_documents(docs, id_remainder("doc_id", 7) == 2)
+    scores = score_documents(docs, id_remainder("doc_id", 7) == 2, order=ORDER)
     return scores.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -111,3 +111,54 @@ def test_odd_and_empty_tables(odd_docs, no_docs):
     check(odd_docs, id_remainder("doc_id", 7) == 2)
     check(odd_docs, F.lit(True))  # nothing to learn from
     assert score_documents(no_docs, F.lit(False)).isEmpty()
+
+
+class HigherKatz:
+    """The model of any order from dictionaries, by the recursive definition."""
+
+    def __init__(self, texts, order):
+        self.low = Katz(texts)
+        self.followers = {n: defaultdict(Counter) for n in range(2, order + 1)}
+        for text in texts:
+            path = [START, *tokens(text)]
+            for n, seen in self.followers.items():
+                for i in range(n - 1, len(path)):
+                    seen[tuple(path[i - n + 1 : i])][path[i]] += 1
+        counts = lambda values: np.bincount([min(c, K + 2) for c in values] or [0], minlength=K + 3)[: K + 2]
+        self.d = {n: discounts(counts([c for f in seen.values() for c in f.values()])) for n, seen in self.followers.items()}
+
+    def p(self, context, w):
+        if not context:
+            return self.low.p1(w)
+        d, seen = self.d[len(context) + 1], self.followers[len(context) + 1].get(context)
+        if not seen:
+            return self.p(context[1:], w)
+        bottom = sum(seen.values()) + (not any(c <= K and d[c - 1] < 1 for c in seen.values()))
+        if w in seen:
+            return self.low.cut(seen[w], d) / bottom
+        left = 1 - sum(self.low.cut(c, d) for c in seen.values()) / bottom
+        return left / (1 - sum(self.p(context[1:], x) for x in seen)) * self.p(context[1:], w)
+
+    def score(self, text, order):
+        path = [START, *(w if self.low.uni[w] else UNKNOWN for w in tokens(text))]
+        return sum(math.log10(self.p(tuple(path[max(0, i - order + 1) : i]), path[i])) for i in range(1, len(path)))
+
+
+@pytest.mark.parametrize("order", [1, 3, 4])
+@pytest.mark.parametrize("settings", [{}, {"chunk_tokens": 100, "bucket_bytes": 200}])
+def test_longer_contexts_back_off_order_by_order(tiny, order, settings):
+    out = id_remainder("doc_id", 7) == 2
+    rows = tiny.select("doc_id", "text", out.alias("out")).collect()
+    model = HigherKatz([r.text for r in rows if not r.out], order)
+    got = {r.doc_id: r.score for r in score_documents(tiny, out, order=order, **settings).collect()}
+    assert all(math.isclose(got[str(r.doc_id)], model.score(r.text, order), abs_tol=2e-6) for r in rows)
+    if order > 1:
+        words = [*(w for w in model.low.uni if model.low.uni[w]), UNKNOWN]
+        contexts = list(model.followers[order])[:5]
+        assert all(math.isclose(sum(model.p(c, w) for w in words), 1, abs_tol=1e-9) for c in contexts)
+
+
+def test_the_query_takes_longer_contexts_than_one_word():
+    from lodestat.llm.katz import ORDER
+
+    assert ORDER >= 3
