@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,20 +37,29 @@ def url_tokens(url: str = "url") -> Column:
     return F.array_distinct(F.concat(mark("h:", F.split(host_of(url), r"\.")), mark("p:", F.split(path_of(url), "/")), mark("q:", names)))
 
 
-def mine_rules(labelled: DataFrame, least_support: float = 0.002, least_confidence: float = 0.6) -> DataFrame:
+def mine_rules(labelled: DataFrame, least_support: float = 0.0, least_confidence: float = 0.6, least_blocked: int = 5, chance: float = 0.05) -> DataFrame:
     """Rules tokens -> block from ``labelled`` (url, block): rule_id, tokens, confidence, support, posted.
 
-    FP-growth finds the frequent token combinations together with the label. A rule stays if its support (share of the labelled
-    rows that hold all its tokens and are blocked) and its confidence reach the bounds and if it beats the base rate.
-    ``posted`` is the rule's rarest token, under which the index lists it. Frequent tokens number at most tokens-per-url /
-    least_support, whatever the table's size. Null urls give no tokens; an empty table gives no rule.
+    FP-growth finds the token combinations held by at least ``least_blocked`` blocked rows (and, if asked for, by a share of
+    ``least_support``), together with the label. A rule stays if its confidence reaches the bound, beats the base rate and can't be put
+    down to it: were its rows blocked at the base rate, so many would be with a probability (by Chernoff's bound) of at
+    most ``chance`` shared among all combinations tried. So what counts as a rule doesn't depend on the table's size.
+    ``posted`` is the rule's rarest token, under which the index lists it. Null urls give no tokens; an empty table gives no rule.
     """
     baskets = labelled.select(F.concat(url_tokens(), F.when(F.col("block"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence).fit(baskets)
-    rules = model.associationRules.where((F.col("consequent")[0] == BLOCK) & (F.col("lift") > 1))
-    rules = rules.select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
-    rules = rules.withColumn("rule_id", F.xxhash64("tokens"))
-    counts = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
+    rows, blocked = labelled.agg(F.count(F.lit(1)), F.count_if("block")).first()
+    share = max(least_support, (least_blocked - 0.5) / max(rows, least_blocked))  # FP-growth rounds rows x share up
+    sets = written(FPGrowth(itemsCol="items", minSupport=share, minConfidence=0.0).fit(baskets).freqItemsets, "url-sets")
+    with_block = F.array_contains("items", BLOCK)
+    together = sets.where(with_block & (F.size("items") > 1)).select(F.sort_array(F.array_remove("items", BLOCK)).alias("tokens"), F.col("freq").alias("both"))
+    alone = sets.where(~with_block).select(F.sort_array("items").alias("tokens"), "freq")
+    base, tried = blocked / max(rows, 1), together.count()
+    rules = together.join(alone, "tokens").withColumn("confidence", F.col("both") / F.col("freq")).where((F.col("confidence") >= least_confidence) & (F.col("confidence") > base))
+    c, rest = F.col("confidence"), 1 - F.col("confidence")
+    excess = c * F.ln(c / base) + F.when(rest > 0, rest * F.ln(rest / (1 - base))).otherwise(0.0)
+    rules = rules.where(F.col("freq") * excess >= math.log(max(tried, 1) / chance)) if 0 < base < 1 else rules.limit(0)
+    rules = rules.select("tokens", "confidence", (F.col("both") / rows).alias("support") if rows else F.lit(0.0).alias("support"), F.xxhash64("tokens").alias("rule_id"))
+    counts = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     rarest = rules.select("rule_id", F.explode("tokens").alias("token")).join(counts, "token").groupBy("rule_id")
     rarest = rarest.agg(F.min(F.struct("freq", "token")).alias("rarest"))
     return written(rules.join(rarest, "rule_id").select("rule_id", "tokens", "confidence", "support", F.col("rarest.token").alias("posted")), "url-rules")
