@@ -39,8 +39,8 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row as often as the mix takes it; rows of a source above its target go by quality-weighted draw."""
-    return mixing.mixed_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Every row, always whole, as often as the mix takes it; rows of a source above its target go by quality-weighted draw."""
+    return mixing.mixed_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), whole=True)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

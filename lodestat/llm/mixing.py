@@ -36,27 +36,34 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
     return per.select(source, "source_size", F.least("limit", F.col("share") * F.col("weight")).alias("target"))
 
 
+def uniform(key: str, seed: int) -> Column:
+    """A number above 0 up to 1 from id and seed."""
+    return (F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 53)) + 1) / F.lit(float(1 << 53))
+
+
 def draw_key(key: str, weight: Column, seed: int) -> Column:
     """-ln(u) / weight: the smallest keys are a weighted sample without replacement."""
-    u = (F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 53)) + 1) / F.lit(float(1 << 53))
-    return -F.ln(u) / weight
+    return -F.ln(uniform(key, seed)) / weight
 
 
 def mix(
-    docs: DataFrame, weight: str = "weight", weights: tuple[float, ...] = (5, 2, 1), most_epochs: float = 3.0, seed: int = 7, key: str = "doc_id", source: str = "source"
+    docs: DataFrame, weight: str = "weight", weights: tuple[float, ...] = (5, 2, 1), most_epochs: float = 3.0, seed: int = 7, key: str = "doc_id", source: str = "source", whole: bool = False
 ) -> DataFrame:
     """How often each row of ``docs`` (columns ``size`` and ``weight`` besides its own) enters the mix.
 
     Every source first gives complete epochs; the words that its target then lacks come from the rows with the smallest
     draw keys. Keys are cut into bins; sums per source and bin show the bin in which the budget ends, all bins before
     it are taken whole, and only that bin's rows are ordered: a source with a third of all rows costs no more than
-    one part in a thousand of it in any task. The row at which the budget ends gives only the words still lacking.
+    one part in a thousand of it in any task. The row at which the budget ends gives only the words still lacking; with ``whole`` it is
+    taken or left as a whole by a draw of its own, with the share of its words still lacking as probability: a source then misses its
+    target by less than one row, to either side, and on average not at all.
 
     A null id or weight is allowed (weight 1, also for weights not above 0); a null source is a source, the last; rows
-    with equal ids have equal keys and are taken in order of size; size 0 takes nothing. An empty table gives no row. The
+    with equal ids have equal keys and are taken in order of size; a row of size 0 is in the last pass if its draw key comes before
+    the end of the budget, or if its source has no words at all. An empty table gives no row. The
     draw depends on ids and seed only, so reruns agree however the rows are dealt.
 
-    Returns the rows with source_size, target, epochs (whole copies) and part (words of one more copy).
+    Returns the rows with source_size, target, epochs (whole copies), part (words of one more copy) and extra (1 if there is one more copy).
     """
     w = F.coalesce(F.when(F.col(weight) > 0, F.col(weight)), F.lit(1.0))
     keyed = docs.withColumn("draw", draw_key(key, w, seed))
@@ -77,12 +84,19 @@ def mix(
         ends = F.broadcast(ends)
     joined = keyed.join(ends, F.col(source).eqNullSafe(F.col("at")))
     out = [*docs.columns, "source_size", "target", "epochs"]
-    whole = F.when(F.col("bin") < F.col("end_bin"), F.col("size")).otherwise(F.lit(0))
-    settled = joined.where(F.col("bin") != F.col("end_bin")).select(*out, whole.cast("long").alias("part"))
+    before_end = F.col("bin") < F.col("end_bin")
+    part, extra = F.when(before_end, F.col("size")).otherwise(F.lit(0)), (before_end | (F.col("source_size") == 0)).cast("int")
+    settled = joined.where(F.col("bin") != F.col("end_bin")).select(*out, part.cast("long").alias("part"), extra.alias("extra"))
     ordered = Window.partitionBy("at").orderBy("draw", key, "size").rowsBetween(Window.unboundedPreceding, -1)
     lacking = F.col("budget") - F.col("before") - F.coalesce(F.sum("size").over(ordered), F.lit(0))
-    last = joined.where(F.col("bin") == F.col("end_bin")).withColumn("part", F.least("size", F.greatest(lacking, F.lit(0))).cast("long"))
-    return settled.unionByName(last.select(*out, "part"))
+    last = joined.where(F.col("bin") == F.col("end_bin")).withColumn("lacking", lacking)
+    if whole:
+        taken = (F.col("lacking") > 0) & (uniform(key, seed + 1) * F.col("size") <= F.col("lacking"))
+        part = F.when(taken, F.col("size")).otherwise(F.lit(0))
+    else:
+        taken = F.col("lacking") > 0
+        part = F.least("size", F.greatest("lacking", F.lit(0)))
+    return settled.unionByName(last.select(*out, part.cast("long").alias("part"), taken.cast("int").alias("extra")))
 
 
 def label_weights(labels: DataFrame, good: float = 2.0, bad: float = 0.5) -> DataFrame:
@@ -102,11 +116,12 @@ def weighted(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFra
 def mixed_rows(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The mix itself: the columns of ``docs``, each row as often as the mix takes it.
 
-    The one copy per source at which the budget ends holds only its first words (joined by single spaces; n_chars follows).
+    The one copy per source at which the budget ends holds only its first words (joined by single spaces; n_chars follows);
+    with ``whole=True`` every copy is a whole row.
     """
     planned = mix(weighted(docs, labels), **settings)
-    copy = F.explode(F.sequence(F.lit(1), (F.col("epochs") + (F.col("part") > 0).cast("int")).cast("int")))
-    rows = planned.where("epochs > 0 OR part > 0").select("doc", "size", "epochs", "part", copy.alias("copy"))
+    copy = F.explode(F.sequence(F.lit(1), (F.col("epochs") + F.col("extra")).cast("int")))
+    rows = planned.where("epochs > 0 OR extra > 0").select("doc", "size", "epochs", "part", copy.alias("copy"))
     cut = (F.col("copy") > F.col("epochs")) & (F.col("part") < F.col("size"))
     words = F.regexp_extract_all(F.col("doc.text"), F.lit(WORD), F.lit(0))
     text = F.when(cut, F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), " ")).otherwise(F.col("doc.text"))

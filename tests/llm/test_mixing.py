@@ -84,3 +84,36 @@ def test_odd_and_empty_tables(spark, odd_docs, no_docs):
     assert mixed_rows(odd_docs, labels(spark)).count() > 0
     assert mixed_rows(no_docs, labels(spark)).isEmpty()
     assert odd_docs.select(word_count().alias("n")).agg(F.min("n")).first()[0] == 0
+
+
+def test_whole_rows_come_near_the_target(spark, small_docs):
+    texts = {(r.doc_id, r.text, r.n_chars) for r in small_docs.collect()}
+    taken = defaultdict(int)
+    for r in mixed_rows(small_docs, labels(spark), whole=True).collect():
+        assert (r.doc_id, r.text, r.n_chars) in texts
+        taken[r.source] += len(re.findall(WORD, r.text))
+    sizes, longest = defaultdict(int), defaultdict(int)
+    for r in small_docs.collect():
+        n = len(re.findall(WORD, r.text))
+        sizes[r.source], longest[r.source] = sizes[r.source] + n, max(longest[r.source], n)
+    want = brute_targets(sizes)
+    assert all(abs(taken[s] - want[s]) <= longest[s] + 1 for s in want)
+
+
+def test_pipeline_stage_ships_whole_rows(spark):
+    from corpus_pipeline import mix_sources
+
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('one two\nthree four\nfive six ', id) AS text", "'en' AS lang", "concat('s', 1000 + id) AS source", "30L AS n_chars")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = mix_sources(spark, docs, "/root/testdata/sf0.001").collect()
+    assert all(r.text == texts[r.doc_id] and r.n_chars == 30 for r in rows)
+    assert abs(len(rows) - 300) < 30  # sources of one row each: on average at the target
+
+
+def test_rows_without_words_go_by_their_draw_key(spark):
+    docs = spark.range(2000).selectExpr("id AS doc_id", "IF(id % 2 = 0, 'a b c d', '') AS text", "'a' AS source")
+    docs = docs.unionByName(spark.range(2000, 2100).selectExpr("id AS doc_id", "repeat('w ', 400) AS text", "'b' AS source"))
+    docs = docs.unionByName(spark.range(3000, 3003).selectExpr("id AS doc_id", "'' AS text", "'c' AS source"))
+    rows = mixed_rows(docs, labels(spark), weights=(1, 19, 1), whole=True)
+    n = {(r.source, r.text == ""): r["count"] for r in rows.groupBy("source", F.col("text").eqNullSafe("").alias("e"), "text").count().collect()}
+    assert 0 < n["a", False] < 1000 and 0.7 * n["a", False] < n["a", True] < 1.4 * n["a", False] and n["c", True] == 3
