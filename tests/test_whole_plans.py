@@ -1,5 +1,6 @@
 """Plans take the whole of what their operators offer."""
 
+from lodestat.operators import graph as G
 from lodestat.operators import learners as L
 from lodestat.plans import load
 from lodestat.plans.registry import PLANS, Tables
@@ -18,3 +19,12 @@ def test_ensembles_keep_the_operators_sizes(spark, monkeypatch):
         except ZeroDivisionError:
             pass
     assert asked == [("tree", {}), ("forest", {})]
+
+
+def test_betweenness_starts_from_all_keys_divisible_by_50(spark, monkeypatch):
+    asked, search = [], G.hop_distances
+    monkeypatch.setattr(G, "hop_distances", lambda e, start: asked.append((e, start)) or search(e, start))
+    got = PLANS["graph_betweenness"](Tables(spark, FOLDER))
+    edges, start = asked[0]
+    nodes = {r.node for r in G.degrees(edges).collect()}
+    assert sorted(r.source for r in start.collect()) == sorted(n for n in nodes if n % 50 == 0) and got.columns == ["node", "betweenness_from_sources"]
