@@ -7,6 +7,7 @@ from lodestat.llm.language_id import op10_language_id
 from lodestat.llm.line_dedup import OP9_SQL, op9_line_dedup
 from lodestat.llm.mixing import op7_mixing
 from lodestat.llm.ngram_join import op2_ngram_join
+from lodestat.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from lodestat.llm.quality_rules import op11_quality_rules
 from lodestat.llm.sharding import op3_sharding
 from lodestat.llm.url_rules import op6_url_rules
@@ -24,5 +25,6 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
     "op11_quality_rules": op11_quality_rules,
+    "op12_prefix_trie": op12_prefix_trie,
 }
-SQL = {"op9_line_dedup": OP9_SQL}
+SQL = {"op9_line_dedup": OP9_SQL, "op12_prefix_trie": OP12_SQL}
