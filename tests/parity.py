@@ -58,7 +58,10 @@ def compare(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
     if len(got) != len(want):
         return f"rows {len(got)} != {len(want)}"
+    got, want = got.copy(), want.copy()
     for c in got.columns:
+        if want[c].dtype == "Int64" and got[c].dtype == "float64" and got[c].isna().any():  # whole numbers with nulls come as floats from one side
+            got[c] = got[c].astype("Int64")
         a, b = _kind(got[c].dtype), _kind(want[c].dtype)
         if a != b and "object" not in (a, b) and len(got):
             return f"column {c}: {got[c].dtype} vs {want[c].dtype}"
