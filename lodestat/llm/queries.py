@@ -12,6 +12,7 @@ from lodestat.llm.quality_rules import op11_quality_rules
 from lodestat.llm.sharding import op3_sharding
 from lodestat.llm.url_rules import op6_url_rules
 from lodestat.llm.warc import op5_warc
+from lodestat.llm.whitening import op13_whitening
 
 QUERIES = {
     "op1_katz": op1_katz,
@@ -26,5 +27,6 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_quality_rules": op11_quality_rules,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_whitening": op13_whitening,
 }
 SQL = {"op9_line_dedup": OP9_SQL, "op12_prefix_trie": OP12_SQL}
