@@ -13,6 +13,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestat.operators.rolling import rolling_statistics
+
 HOUR = 3_600_000_000
 
 
@@ -44,17 +46,8 @@ def rolling_amounts(
     df: DataFrame, account: str, ts: str, amount: str, periods: Sequence[int], by: Sequence[str] = (), prefix: str = ""
 ) -> DataFrame:
     """Sum, median and count of the amount over each look-back (hours), per account and ``by`` values."""
-    keys = [account, *by]
     sliced = time_sliced(df, ts, max(periods))
-    made = []
-    for p in periods:
-        w = look_back(keys, p)
-        made += [
-            F.sum(amount).over(w).alias(f"{prefix}sum_{p}h"),
-            F.percentile(amount, F.lit(0.5)).over(w).alias(f"{prefix}median_{p}h"),
-            F.count(amount).over(w).alias(f"{prefix}count_{p}h"),
-        ]
-    return sliced.select(*df.columns, "_own", *made).filter("_own").drop("_own")
+    return rolling_statistics(sliced, [account, *by, "_slice"], amount, {f"{p}h": int(p * HOUR) for p in periods}, prefix).drop("_slice")
 
 
 def rolling_amounts_pairs(
