@@ -71,12 +71,8 @@ def scan_ndjson(t):
 
 @plan("scan_excel", "select o_orderdate as day, round(sum(o_totalprice), 2) as total from orders group by 1")
 def scan_excel(t):
-    path = writers.scratch_folder(t.spark, "sheet")
     daily = t.orders.groupBy(F.col("o_orderdate").alias("day")).agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
-    text = daily.select(*[F.col(c).cast("string").alias(c) for c in daily.columns])
-    banner = text.limit(1).select(F.explode(F.array(F.lit("Report"), F.lit("Date"))).alias("day"), F.lit("total"))
-    writers.write_csv(text.union(banner), path, header=False)
-    return readers.read_sheet_export(t.spark, path, _schema("day timestamp_ntz, total double"), "day")
+    return readers.read_xlsx(t.spark, writers.write_xlsx(daily, writers.scratch_folder(t.spark, "sheets")))
 
 
 @plan("scan_typed_schema", "select c_custkey, c_name, c_acctbal, c_mktsegment from customer")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestat.sources import xlsx
+
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
@@ -52,12 +54,11 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).json(path)
 
 
-def read_sheet_export(spark: SparkSession, path: str, schema: T.StructType, date_column: str) -> DataFrame:
-    """A CSV export of a sheet with banner lines above its header: keep the lines whose date parses."""
-    loose = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    df = spark.read.schema(loose).option("header", False).csv(path)
-    df = df.filter(F.try_to_timestamp(F.col(date_column)).isNotNull())
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def read_xlsx(spark: SparkSession, path: str, schema: T.StructType | None = None, sheet: str = "0", skip: int = 0, header: bool = True) -> DataFrame:
+    """Sheets of the workbooks below ``path``; see ``sources.xlsx``."""
+    xlsx.register(spark)
+    reader = spark.read.format("xlsx").options(sheet=sheet, skip=skip, header=header)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def object_stats(spark: SparkSession, path: str, payload_mb: int = 6) -> DataFrame:

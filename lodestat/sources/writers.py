@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestat.session import shared_folder
+from lodestat.sources import xlsx
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -33,6 +34,13 @@ def write_ndjson(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_xlsx(df: DataFrame, path: str, header: bool = True) -> str:
+    """A folder of workbooks, one a task."""
+    xlsx.register(df.sparkSession)
+    df.write.format("xlsx").mode("append").option("header", header).save(path)
+    return path
+
+
 def write_splits(df: DataFrame, path: str, split: str = "split") -> str:
     """One folder of CSV files per split value."""
     df.write.mode("errorifexists").partitionBy(split).option("header", True).csv(path)
