@@ -209,25 +209,48 @@ def tree_learner(kind: str, seed: int = 42, trees: int = 300, rounds: int = 300,
     }[kind]()
 
 
+def validation_rows(columns: Sequence[str], share: int = 5, seed: int = 42) -> Column:
+    """True for about one row in ``share``, by a hash of the columns; equal rows are on one side."""
+    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(share)) == 0
+
+
+def stopping_early(learner: GBTClassifier, validation: str, tolerance: float = 1e-3) -> GBTClassifier:
+    """Boosting that ends at the first round that doesn't lower the loss on rows with ``validation`` by ``tolerance`` of it.
+
+    Trees are grown on the other rows only. The model keeps the rounds up to the best one; ``rounds_used`` tells how many.
+    """
+    return learner.setValidationIndicatorCol(validation)._set(validationTol=tolerance)
+
+
+def rounds_used(model) -> int:
+    """Trees of a fitted pipeline's last stage: the best round of boosting, the size of a forest, 1 for a tree."""
+    return int(getattr(model.stages[-1], "getNumTrees", 1))
+
+
 def ensemble_scores(
-    df: DataFrame, label: str, features: Sequence[str], fold: str, kinds: Sequence[str], seed: int = 42, class_weights: dict | None = None, **size
+    df: DataFrame, label: str, features: Sequence[str], fold: str, kinds: Sequence[str], seed: int = 42, class_weights: dict | None = None, tolerance: float = 1e-3, **size
 ) -> DataFrame:
-    """(learner, fold, accuracy) of tree ensembles trained on the other folds; ``size`` goes to ``tree_learner``.
+    """(learner, fold, accuracy, rounds) of tree ensembles trained on the other folds; ``size`` goes to ``tree_learner``.
 
+    Boosting holds a fifth of its training rows back and stops on them; ``rounds`` is its best round and the number of trees of the others.
     ``class_weights`` (label value to weight) weighs the training rows. The columns used are written once.
     """
     weight = F.lit(1.0)
     for value, w in (class_weights or {}).items():
         weight = F.when(F.col(label) == value, float(w)).otherwise(weight)
-    df = checkpointed(df.select(label, *features, fold, weight.alias("_weight")))
+    held_back = validation_rows([label, *features], seed=seed).alias("_validation")
+    df = checkpointed(df.select(label, *features, fold, weight.alias("_weight"), held_back))
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())
     judge = MulticlassClassificationEvaluator(labelCol="_label", metricName="accuracy")
     rows = []
     for kind in kinds:
         for k in folds:
-            model = _stages(df, label, features, tree_learner(kind, seed, **size).setWeightCol("_weight")).fit(df.filter(F.col(fold) != k))
-            rows.append((kind, int(k), float(judge.evaluate(model.transform(df.filter(F.col(fold) == k))))))
-    return df.sparkSession.createDataFrame(rows, "learner string, fold int, accuracy double")
+            learner = tree_learner(kind, seed, **size).setWeightCol("_weight")
+            if kind == "boosting":
+                learner = stopping_early(learner, "_validation", tolerance)
+            model = _stages(df, label, features, learner).fit(df.filter(F.col(fold) != k))
+            rows.append((kind, int(k), float(judge.evaluate(model.transform(df.filter(F.col(fold) == k)))), rounds_used(model)))
+    return df.sparkSession.createDataFrame(rows, "learner string, fold int, accuracy double, rounds int")
 
 
 def score_batches(df: DataFrame, model, ids: Sequence[str]) -> DataFrame:
@@ -237,8 +260,10 @@ def score_batches(df: DataFrame, model, ids: Sequence[str]) -> DataFrame:
     return scored.select(*ids, F.col("prediction").cast("int").alias("predicted"), F.array_max(p).alias("probability"))
 
 
-def fit_ensemble(df: DataFrame, label: str, features: Sequence[str], kind: str = "forest", seed: int = 42, **size):
-    return _stages(df, label, features, tree_learner(kind, seed, **size)).fit(df)
+def fit_ensemble(df: DataFrame, label: str, features: Sequence[str], kind: str = "forest", seed: int = 42, validation: str | None = None, tolerance: float = 1e-3, **size):
+    """A fitted pipeline; boosting with a ``validation`` column (true: held back) stops on those rows."""
+    learner = tree_learner(kind, seed, **size)
+    return _stages(df, label, features, learner if validation is None else stopping_early(learner, validation, tolerance)).fit(df)
 
 
 def eliminate_features(df: DataFrame, label: str, features: Sequence[str], keep: int, seed: int = 42) -> DataFrame:
