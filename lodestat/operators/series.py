@@ -7,7 +7,7 @@ over one series are therefore short. Many series run in parallel by their key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -265,6 +265,96 @@ def autoregression_forecast(
     return joined.mapInPandas(solve, f"{key} {kind}, h int, forecast double")
 
 
+def _fit_orders(gram: np.ndarray, rows: int, fixed: int, lags: int, m: int, order: int | None) -> tuple[int, np.ndarray] | None:
+    """(lags used, coefficients) of the order with the least BIC, or of the given one, from one matrix of cross products.
+
+    The matrix holds ``fixed`` regressors, then ``m`` columns per lag, then the ``m`` variables. Every order uses a leading part of it.
+    """
+    best = None
+    ys = slice(fixed + lags * m, fixed + lags * m + m)
+    for p in range(1, lags + 1) if order is None else [order]:
+        k = fixed + p * m
+        if rows <= k:
+            continue
+        scale = np.sqrt(np.diag(gram)[:k])
+        scale[scale == 0] = 1.0
+        beta = np.linalg.lstsq(gram[:k, :k] / np.outer(scale, scale), gram[:k, ys] / scale[:, None], rcond=1e-13)[0] / scale[:, None]
+        cross = gram[:k, ys]
+        noise = (gram[ys, ys] - cross.T @ beta - beta.T @ cross + beta.T @ gram[:k, :k] @ beta) / rows
+        sign, size = np.linalg.slogdet(noise)
+        score = (size if sign > 0 else -np.inf) + np.log(rows) / rows * k * m
+        if best is None or score < best[0]:
+            best = score, p, beta
+    return None if best is None else best[1:]
+
+
+def vector_autoregression(
+    series: DataFrame,
+    time: str,
+    values: Sequence[str],
+    lags: int,
+    horizon: int,
+    keys: Sequence[str] = (),
+    exogenous: dict[str, Callable[[Column], Column]] | None = None,
+    trend: str = "c",
+    order: int | None = None,
+    step: str = "1 day",
+) -> DataFrame:
+    """VAR per key with columns known from the time as exogenous variables: (keys, time, h, variable, forecast, lags).
+
+    Every variable is regressed on a constant ("c"), a line as well ("ct") or neither ("n"), the exogenous columns and the lags of all variables.
+    The number of lags up to ``lags`` is that with the least BIC, or ``order``; all are judged on the same rows, those with all
+    lags and values known, so one grouped aggregate of cross products serves every order. The recursion runs on one row per
+    key, all variables together. A key with too few rows, or with a null among its last values, has null forecasts.
+    """
+    keys, exogenous = list(keys), exogenous or {}
+    given = [f(F.col(time)).cast("double") for f in exogenous.values()]
+    o, m = ordered(time, keys), len(values)
+    t = with_index(series, time, keys)
+    past = {f"_l{k}_{i}": F.lag(v, k).over(o).cast("double") for k in range(1, lags + 1) for i, v in enumerate(values)}
+    rows = t.withColumns(past).dropna(subset=[*values, *past])
+    line = {"n": [], "c": [F.lit(1.0)], "ct": [F.lit(1.0), F.col("t").cast("double")]}[trend]
+    now = [F.col(v).cast("double") for v in values]
+    sums = least_squares_sums(rows, now[-1], [*line, *given, *map(F.col, past), *now[:-1]], keys)
+    counted = t.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))))
+    tail = F.array(*(F.max(F.when(F.col("t") == F.col("_n") - k, F.col(v).cast("double"))) for k in range(1, lags + 1) for v in values))
+    recent = counted.groupBy(*keys).agg(tail.alias("tail"), F.max("_n").alias("n"))
+    ahead = horizon_rows(series, time, horizon, step, keys).select(*keys, F.struct("h", F.col(time).alias("time"), F.array(*given).cast("array<double>").alias("x")).alias("a"))
+    ahead = ahead.groupBy(*keys).agg(F.sort_array(F.collect_list("a")).alias("ahead"))  # as many as the horizon
+    joined = recent
+    for other in (ahead, sums):
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+        joined = joined.alias("l").join(other.alias("r"), same, "left").select("l.*", *(f"r.{c}" for c in other.columns if c not in keys))
+    fixed, n_lags = len(line) + len(given), lags
+    names = list(values)
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                fitted = None
+                if row.gram is not None:
+                    size = int(round(len(row.gram) ** 0.5))
+                    fitted = _fit_orders(np.asarray(row.gram, float).reshape(size, size), int(row.rows), fixed, n_lags, m, order)
+                known = [float("nan") if v is None else v for v in row.tail]
+                for step_ahead in row.ahead:
+                    forecast = np.full(m, np.nan)
+                    if fitted:
+                        p, beta = fitted
+                        start = {"n": [], "c": [1.0], "ct": [1.0, float(row.n + step_ahead["h"] - 1)]}[trend]
+                        forecast = np.concatenate([start, step_ahead["x"], known[: p * m]]) @ beta
+                    known = [*forecast, *known][: n_lags * m]
+                    for name, v in zip(names, forecast):
+                        out.append((*(getattr(row, k) for k in keys), step_ahead["time"], step_ahead["h"], name, None if np.isnan(v) else float(v), fitted[0] if fitted else None))
+            yield pd.DataFrame(out, columns=[*keys, time, "h", "variable", "forecast", "lags"]).astype({"lags": "Int32", "h": "int32"})
+
+    kinds = dict(series.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*keys, time]) + ", h int, variable string, forecast double, lags int"
+    return joined.mapInPandas(solve, schema)
+
+
 def residual_band(errors: DataFrame, horizon: str, error: str, z: float = 1.959963984540054) -> DataFrame:
     """Half-width of a normal prediction band per horizon from past forecast errors."""
     return errors.groupBy(horizon).agg((z * F.stddev_samp(error)).alias("half_width"), F.count(F.lit(1)).alias("n"))

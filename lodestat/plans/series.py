@@ -193,6 +193,42 @@ def ar_ols_forecast(t):
     return Se.autoregression_forecast(user_daily(t, "event_type"), "day", "total", "event_type", lags=2, horizon=7)
 
 
+# a dummy for weekends is two means taken out, which leaves a two by two system
+VAR_SQL = TWO.replace("with d as", "with recursive d as") + """, l as (select *, lag(bus) over o as b1, lag(rail) over o as r1, dayofweek(day) in (0, 6) as g from d window o as (order by day)),
+    x as (select * from l where bus is not null and rail is not null and b1 is not null and r1 is not null),
+    m as (select g, avg(bus) as mb, avg(rail) as mr, avg(b1) as m1, avg(r1) as m2 from x group by 1),
+    c as (select bus - mb as yb, rail - mr as yr, b1 - m1 as x1, r1 - m2 as x2 from x join m using (g)),
+    s as (select sum(x1 * x1) as a, sum(x2 * x2) as b, sum(x1 * x2) as c, sum(x1 * yb) as p1, sum(x2 * yb) as p2, sum(x1 * yr) as q1, sum(x2 * yr) as q2 from c),
+    k as (select (p1 * b - p2 * c) / (a * b - c * c) as b1, (p2 * a - p1 * c) / (a * b - c * c) as b2, (q1 * b - q2 * c) / (a * b - c * c) as r1, (q2 * a - q1 * c) / (a * b - c * c) as r2 from s),
+    f as (select 0 as h, day, bus, rail from d where day = (select max(day) from d) union all
+        select h + 1, f.day + interval 1 day, mb + k.b1 * (bus - m1) + k.b2 * (rail - m2), mr + k.r1 * (bus - m1) + k.r2 * (rail - m2)
+        from f, k, m where m.g = (dayofweek(f.day + interval 1 day) in (0, 6)) and h < 7)"""
+
+
+def weekend(day):
+    return F.dayofweek(day).isin(1, 7)
+
+
+@plan("var_forecast", VAR_SQL + " select h, day, round(bus, 3) as bus, round(rail, 3) as rail from f where h > 0")
+def var_forecast(t):
+    made = Se.vector_autoregression(two_series(t), "day", ["bus", "rail"], 1, 7, exogenous={"weekend": weekend})
+    wide = made.groupBy("h", "day").pivot("variable", ["bus", "rail"]).agg(F.max("forecast"))
+    return wide.select("h", "day", r6("bus", 3).alias("bus"), r6("rail", 3).alias("rail"))
+
+
+@plan("var_order_forecast")
+def var_order_forecast(t):
+    """Views and other events of every user group, lags up to 5 by BIC, a line and day dummies."""
+    view = F.col("event_type") == "view"
+    group = (F.col("user_id") % 4).alias("user_group")
+    days = t.events.groupBy(group, F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(
+        F.coalesce(F.sum(F.when(view, F.col("value"))), F.lit(0.0)).alias("views"), F.coalesce(F.sum(F.when(~view, F.col("value"))), F.lit(0.0)).alias("others")
+    )
+    dummies = {f"day{i}": lambda day, i=i: F.dayofweek(day) == i for i in range(2, 8)}
+    made = Se.vector_autoregression(days, "day", ["views", "others"], 5, 7, ["user_group"], dummies, trend="ct")
+    return made.withColumn("forecast", r6("forecast", 4))
+
+
 @plan(
     "counterfactual_splice",
     DAILY + """, b as (select *, row_number() over (order by day) - 1 as t, count(*) over () as n from d where day < timestamp '2024-01-15'), p as (select t % 7 as phase, arg_max(total, t) as l, max(n) as n from b group by 1),
