@@ -228,7 +228,7 @@ def intersect_keys(t):
 
 @plan("except_keys", "select c_custkey as key from customer except select o_custkey from orders")
 def except_keys(t):
-    return t.customer.select(F.col("c_custkey").alias("key")).exceptAll(t.orders.select("o_custkey").distinct())
+    return t.customer.select(F.col("c_custkey").alias("key")).subtract(t.orders.select("o_custkey"))
 
 
 @plan(

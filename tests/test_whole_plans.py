@@ -1,5 +1,7 @@
 """Plans take the whole of what their operators offer."""
 
+import pytest
+
 from lodestat.operators import graph as G
 from lodestat.operators import learners as L
 from lodestat.plans import load
@@ -21,10 +23,26 @@ def test_ensembles_keep_the_operators_sizes(spark, monkeypatch):
     assert asked == [("tree", {}), ("forest", {})]
 
 
-def test_betweenness_starts_from_all_keys_divisible_by_50(spark, monkeypatch):
+@pytest.mark.parametrize(
+    "key, columns",
+    [
+        ("graph_betweenness", ["node", "betweenness_from_sources"]),
+        ("graph_shortest_paths", ["source", "node", "hops"]),
+        ("graph_mean_path_length", ["mean_hops_from_sources", "farthest_from_sources"]),
+        ("graph_closeness", ["node", "closeness"]),
+    ],
+)
+def test_paths_start_from_all_keys_divisible_by_50(spark, monkeypatch, key, columns):
     asked, search = [], G.hop_distances
     monkeypatch.setattr(G, "hop_distances", lambda e, start: asked.append((e, start)) or search(e, start))
-    got = PLANS["graph_betweenness"](Tables(spark, FOLDER))
+    got = PLANS[key](Tables(spark, FOLDER))
     edges, start = asked[0]
     nodes = {r.node for r in G.degrees(edges).collect()}
-    assert sorted(r.source for r in start.collect()) == sorted(n for n in nodes if n % 50 == 0) and got.columns == ["node", "betweenness_from_sources"]
+    assert sorted(r.source for r in start.collect()) == sorted(n for n in nodes if n % 50 == 0) and got.columns == columns
+
+
+def test_hops_have_no_limit(spark):
+    """A path of 40 nodes is walked to its end."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(39)], "src long, dst long")
+    reached = G.hop_distances(edges, spark.createDataFrame([(0,)], "source long")).collect()
+    assert sorted((r.node, r.hops) for r in reached) == [(i, i) for i in range(40)]
