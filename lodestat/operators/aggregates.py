@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from itertools import combinations, product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestat.operators.cleaning import unpivot_row
 from lodestat.operators.ordered import ntile_from_rank, running_totals
 from lodestat.operators.quantiles import attach, exact_quantiles, melt, quantile_values, value_ranks
+from lodestat.session import checkpointed
 
 SIMPLE = {
     "mean": F.avg,
@@ -233,7 +235,35 @@ def bootstrap_correlation(df: DataFrame, ids: str, x: str, y: str, replicates: i
     return ends.select(point.alias("r"), "low", "high")
 
 
-def histogram_rules(df: DataFrame, column: str) -> DataFrame:
+def stone_bins(df: DataFrame, column: str) -> int:
+    """The number of equal-width bins with the least leave-one-out estimate of the squared error (ties: the fewest).
+
+    All numbers up to max(100, root of n) are judged. Bins are [a, b), the last closed; the rows below an edge are a running count
+    over distinct values and edges in one order, so the values are sorted once for all numbers together. Edges grow as the rows do.
+    """
+    values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    values = checkpointed(values)
+    whole = values.agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    n, lo, hi = whole["n"] or 0, whole["lo"], whole["hi"]
+    if n < 2 or not lo < hi:
+        return 1
+    numbers = df.sparkSession.range(1, max(100, math.isqrt(n)) + 1).select(F.col("id").alias("k"))
+    places = numbers.where("k > 1").select("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k") - 1)).alias("i"))
+    # an edge comes before the values equal to it, which belong to the bin above
+    edges = places.select(F.struct((F.col("i") * (F.lit(hi - lo) / F.col("k")) + lo).alias("v"), F.lit(0).alias("kind")).alias("at"), F.lit(0).cast("long").alias("n"), "k", "i")
+    held = values.select(F.struct("v", F.lit(1).alias("kind")).alias("at"), "n", F.lit(None).cast("long").alias("k"), F.lit(None).cast("long").alias("i"))
+    below = running_totals(edges.unionByName(held), "at", ["n"]).where("k IS NOT NULL").select("k", "i", F.col("cum_n").alias("below"))
+    ends = numbers.select("k", F.col("k").alias("i"), F.lit(n).alias("below"))
+    before = F.lag("below", 1, 0).over(Window.partitionBy("k").orderBy("i"))
+    shares = below.unionByName(ends).select("k", ((F.col("below") - before) / F.lit(float(n))).alias("p"))
+    risk = (2 - (n + 1) * F.sum(F.col("p") * F.col("p"))) * F.col("k")
+    return shares.groupBy("k").agg(risk.alias("risk")).orderBy("risk", "k").first()["k"]
+
+
+RULES = ("sqrt", "sturges", "rice", "scott", "doane", "fd", "auto", "stone")
+
+
+def histogram_rules(df: DataFrame, column: str, rules: Sequence[str] = RULES) -> DataFrame:
     """Number of equal-width bins a numeric column gets under the usual rules, one row per rule.
 
     One bin for a constant column and for rules that are undefined on so few rows; no row for an empty column.
@@ -257,10 +287,13 @@ def histogram_rules(df: DataFrame, column: str) -> DataFrame:
         / (1 + F.log2(n) + F.log2(1 + F.coalesce(F.try_divide(F.abs("g1"), F.sqrt(6 * (n - 2) / ((n + 1) * (n + 3)))), F.lit(0.0)))),
         "fd": 2 * F.col("iqr") / F.pow(n, F.lit(1 / 3)),
     }
+    if "stone" in rules:
+        widths["stone"] = span / stone_bins(df, column)
     widths["auto"] = F.when(widths["fd"] > 0, F.least(widths["fd"], widths["sturges"])).otherwise(widths["sturges"])
     bins = lambda w: F.when((w > 0) & (span > 0), F.ceil(span / w)).otherwise(1).cast("long")
     cells = [
         F.struct(F.lit(name).alias("rule"), w.alias("width"), bins(w).alias("bins"), F.col("lo"), F.col("hi"))
         for name, w in widths.items()
+        if name in rules
     ]
     return row.select(F.inline(F.array(*cells)))

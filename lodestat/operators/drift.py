@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.functions.bins import cut_index
-from lodestat.operators.aggregates import histogram_rules
+from lodestat.operators.aggregates import RULES, histogram_rules
 from lodestat.operators.quantiles import exact_quantiles
 from lodestat.operators.ranking import somers_d
 from lodestat.session import checkpointed
@@ -47,9 +47,9 @@ def _edges(benchmark: DataFrame, column: str, bins: str | int | Sequence[float],
             raise ValueError("at least one bin is needed")
         number = bins
     else:
-        found = histogram_rules(inside, column).filter(F.col("rule") == bins).first()
-        if found is None:
+        if bins not in RULES:
             raise ValueError(f"unknown rule: {bins}")
+        found = histogram_rules(inside, column, [bins]).first()
         number = max(1, math.ceil((high - low) / found["width"])) if found["width"] else 1
     # a constant column gets one unit of width, as histograms have it
     return (low, high, number) if low < high else (low - 0.5, high + 0.5, number)

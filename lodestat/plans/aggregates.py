@@ -296,12 +296,18 @@ def agg_quantile_bins_exact(t):
     """with s as (select count(value)::double as n, min(value) as lo, max(value) as hi, stddev_pop(value) as sd,
       quantile_cont(value, 0.75) - quantile_cont(value, 0.25) as iqr, avg(value) as m from events),
     g as (select avg(pow((value - m) / sd, 3)) as g1 from events, s),
+    o as (select value, sum(count(*)) over (order by value) as upto from events where value is not null group by 1),
+    e as (select k, i, i * ((hi - lo) / k) + lo as edge from (select lo, hi, unnest(range(1, greatest(100, floor(sqrt(n))::bigint) + 1)) as k from s), range(1, 100000) r(i) where i < k),
+    b as (select k, i, coalesce(upto, 0) as below from e asof left join o on e.edge > o.value union all select k, k, n from s, (select unnest(range(1, greatest(100, floor(sqrt(n))::bigint) + 1)) as k from s)),
+    p as (select k, (below - lag(below, 1, 0) over (partition by k order by i)) / n as p, n from b, s),
+    j as (select k, (2 - (max(n) + 1) * sum(p * p)) * k as risk from p group by 1),
     w as (select lo, hi, unnest([struct_pack(rule := 'sqrt', width := (hi - lo) / sqrt(n)),
       struct_pack(rule := 'sturges', width := (hi - lo) / (log2(n) + 1)),
       struct_pack(rule := 'rice', width := (hi - lo) / (2 * pow(n, 1.0::double / 3))),
       struct_pack(rule := 'scott', width := pow(24 * sqrt(pi()) / n, 1.0::double / 3) * sd),
       struct_pack(rule := 'doane', width := (hi - lo) / (1 + log2(n) + log2(1 + abs(g1) / sqrt(6 * (n - 2) / ((n + 1) * (n + 3)))))),
       struct_pack(rule := 'fd', width := 2 * iqr / pow(n, 1.0::double / 3)),
+      struct_pack(rule := 'stone', width := (hi - lo) / (select arg_min(k, struct_pack(r := risk, k := k)) from j)),
       struct_pack(rule := 'auto', width := least(2 * iqr / pow(n, 1.0::double / 3), (hi - lo) / (log2(n) + 1)))]) as x from s, g)
     select x.rule as rule, round(x.width, 6) as width, ceil((hi - lo) / x.width)::bigint as bins, lo, hi from w""",
 )

@@ -9,7 +9,7 @@ from lodestat.operators import trees as Tr
 from lodestat.operators.density import dbscan as density_clusters
 from lodestat.operators.evaluation import knee
 from lodestat.operators.ordered import hash_key
-from lodestat.operators.resampling import edit_by_neighbours, smote
+from lodestat.operators.resampling import border_classes, borderline_smote, edit_by_neighbours, smote
 from lodestat.plans.registry import plan, r6
 
 LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -310,6 +310,26 @@ def smote_enn(t):
     return kept.select("row", "label")
 
 
+def rarest(t):
+    return t.embeddings.groupBy("label").count().orderBy("count", "label").first()["label"]
+
+
+@plan(
+    "borderline_danger",
+    """with r as (select label from embeddings group by 1 order by count(*), label limit 1), k as (select a.vec_id as query, b.label, row_number() over (partition by a.vec_id order by list_distance(a.embedding::double[], b.embedding::double[]), b.vec_id) as rank
+        from embeddings a join r using (label) join embeddings b on a.vec_id <> b.vec_id),
+    c as (select query, count(*) filter (label is distinct from (select label from r)) as others, count(*) as n from k where rank <= 10 group by 1)
+    select query, others, case when others = n then 'noise' when 2 * others >= n then 'danger' else 'safe' end as border from c""",
+)
+def borderline_danger(t):
+    return border_classes(t.embeddings, "vec_id", "embedding", "label", rarest(t))
+
+
+@plan("borderline_smote")
+def borderline_rows(t):
+    return borderline_smote(t.embeddings, "vec_id", "embedding", "label", rarest(t), per_row=2, kind=2)
+
+
 AXES = [f"x{i}" for i in range(64)]
 
 
