@@ -1,9 +1,11 @@
 """Projections, filters, missing values and encoders."""
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from lodestat.operators import cleaning as C
 from lodestat.operators import encoding as E
+from lodestat.operators import parts as P
 from lodestat.operators.ordered import carry_forward
 from lodestat.operators.quantiles import attach
 from lodestat.plans.registry import plan, r6
@@ -325,3 +327,29 @@ def longest_value(t):
     return C.longest_values(t.documents, ["text", "lang", "source"], "doc_id").select(
         "column", F.md5("value").alias("digest"), "bytes"
     )
+
+
+@plan(
+    "prepared_by_pipeline",
+    """with e as (select event_id, user_id, event_type, value, case when value <= 60 then value end as v, event_id % 3 <> 0 as train from events),
+    m as (select quantile_cont(v, 0.5) as fill, avg(value) as prior from e where train),
+    s as (select avg(coalesce(v, fill)) as centre, stddev_pop(coalesce(v, fill)) as spread from e, m where train),
+    o as (select event_type, row_number() over (order by event_type) - 1 as code, sum(value) as total, count(*) as n from e where train group by 1),
+    c as (select user_id, count(*) as seen from e where train group by 1)
+    select event_id, round((coalesce(v, fill) - centre) / spread, 6) as scaled, coalesce(code, -999)::integer as code, coalesce(seen, 0) as seen, round((coalesce(total, 0) + 5 * prior) / (coalesce(n, 0) + 5), 6) as mean_value
+    from e cross join m cross join s left join o using (event_type) left join c using (user_id) where not train""",
+)
+def prepared_by_pipeline(t):
+    """Parts fitted on two thirds of the events prepare the rest."""
+    events = t.events.withColumn("v", F.when(F.col("value") <= 60, F.col("value")))
+    train = F.col("event_id") % 3 != 0
+    steps = [
+        P.Fill(inputCols=["v"], strategy="median"),
+        P.Scale(inputCols=["v"], outputCols=["scaled"], kind="zscore"),
+        P.Ordinal(inputCols=["event_type"], outputCols=["code"]),
+        P.CountEncode(inputCols=["user_id"], outputCols=["seen"]),
+        P.TargetEncode(inputCols=["event_type"], outputCols=["mean_value"], target="value", weight=5.0),
+    ]
+    fitted = Pipeline(stages=steps).fit(events.where(train))
+    out = fitted.transform(events.where(~train))
+    return out.select("event_id", r6("scaled").alias("scaled"), "code", "seen", r6("mean_value").alias("mean_value"))
