@@ -6,10 +6,12 @@ from lodestat.operators import clustering as Cl
 from lodestat.operators import learners as L
 from lodestat.operators import scaling as Sc
 from lodestat.operators import trees as Tr
+from lodestat.operators import wide as Wd
 from lodestat.operators.density import dbscan as density_clusters
 from lodestat.operators.evaluation import knee
 from lodestat.operators.ordered import hash_key
 from lodestat.operators.resampling import border_classes, borderline_smote, edit_by_neighbours, smote
+from lodestat.operators.words import terms
 from lodestat.plans.registry import plan, r6
 
 LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -86,6 +88,14 @@ def famd(t):
     return Sc.components_table(rows, c)
 
 
+@plan("wide_svd")
+def wide_svd(t):
+    """The first components of the documents' word counts, a column per word of the whole texts."""
+    counts = terms(t.documents, "doc_id", "text").groupBy(F.col("doc_id").alias("row"), F.col("term").alias("column")).agg(F.count(F.lit(1)).alias("value"))
+    found = Wd.wide_components(counts, 5, centre=False, tolerance=1e-7)
+    return Wd.components_rows(found).withColumns({"value": r6("value", 3), "share": r6("share")})
+
+
 LIN = """with s as (select count(*)::double as n, avg(l_quantity) as m1, avg(l_discount) as m2, avg(l_extendedprice) as my, var_pop(l_quantity) as v1, var_pop(l_discount) as v2, covar_pop(l_quantity, l_discount) as v12,
     covar_pop(l_quantity, l_extendedprice) as c1, covar_pop(l_discount, l_extendedprice) as c2 from lineitem), b as (select (v2 * c1 - v12 * c2) / (v1 * v2 - v12 * v12) as b1, (v1 * c2 - v12 * c1) / (v1 * v2 - v12 * v12) as b2, m1, m2, my from s)"""
 
