@@ -1,6 +1,7 @@
 """Plans take the whole of what their operators offer."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from lodestat.operators import graph as G
 from lodestat.operators import learners as L
@@ -33,16 +34,27 @@ def test_ensembles_keep_the_operators_sizes(spark, monkeypatch):
     ],
 )
 def test_paths_start_from_all_keys_divisible_by_50(spark, monkeypatch, key, columns):
-    asked, search = [], G.hop_distances
-    monkeypatch.setattr(G, "hop_distances", lambda e, start: asked.append((e, start)) or search(e, start))
+    name = "hop_distances" if key == "graph_betweenness" else "hops_from"
+    asked, search = [], getattr(G, name)
+    monkeypatch.setattr(G, name, lambda e, start: asked.append((e, start)) or search(e, start))
     got = PLANS[key](Tables(spark, FOLDER))
     edges, start = asked[0]
     nodes = {r.node for r in G.degrees(edges).collect()}
     assert sorted(r.source for r in start.collect()) == sorted(n for n in nodes if n % 50 == 0) and got.columns == columns
 
 
-def test_hops_have_no_limit(spark):
+@pytest.mark.parametrize("search", [G.hop_distances, G.hops_from])
+def test_hops_have_no_limit(spark, search):
     """A path of 40 nodes is walked to its end."""
     edges = spark.createDataFrame([(i, i + 1) for i in range(39)], "src long, dst long")
-    reached = G.hop_distances(edges, spark.createDataFrame([(0,)], "source long")).collect()
+    reached = search(edges, spark.createDataFrame([(0,)], "source long")).collect()
     assert sorted((r.node, r.hops) for r in reached) == [(i, i) for i in range(40)]
+
+
+def test_packed_sources_give_the_same_hops(spark):
+    """150 sources, so three longs, one of them outside the graph; several components."""
+    edges = G.simple_edges(spark.range(400).selectExpr("id % 200 AS a", "pmod(xxhash64(id), 230) AS b", "1 AS c").where("a <> b"), "a", "b", ["c"], F.struct("c"))
+    start = spark.range(150).select((F.col("id") * 2).alias("source"))
+    key = lambda df: sorted((r.source, r.node, r.hops) for r in df.collect())
+    assert key(G.hops_from(edges, start)) == key(G.hop_distances(edges, start))
+    assert G.hops_from(edges, start.limit(0)).collect() == []
