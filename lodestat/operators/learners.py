@@ -72,8 +72,9 @@ def cost_and_gradient(
 def gradient_descent(
     df: DataFrame, target: Column, features: Sequence[str], step: float, iterations: int, logistic: bool, penalty: float = 0.0
 ) -> DataFrame:
-    """(iteration, cost, parameters): batch gradient descent, one aggregate per step."""
-    beta, path = [0.0] * (len(features) + 1), []
+    """(iteration, cost, parameters): batch gradient descent, one aggregate per step over the target and features, written once."""
+    df = checkpointed(df.select(target.alias("_target"), *features))
+    target, beta, path = F.col("_target"), [0.0] * (len(features) + 1), []
     names = ["d_intercept", *[f"d_{f}" for f in features]]
     for i in range(iterations):
         row = cost_and_gradient(df, target, features, beta, logistic, penalty).first()
