@@ -54,6 +54,18 @@ def stream_multi_swipe(t):
     return A.run_updates(A.multi_swipe(s, "ts", "user_id", "event_id", "event_type", "band", 4 * 3600), "swipes", ["event_id"])
 
 
+@plan(
+    "stream_multi_swipe_once",
+    """with e as (select *, floor(value / 20)::bigint as band from events), f as (select event_id, user_id, ts,
+    coalesce(event_type = lag(event_type) over w and band = lag(band) over w and ts - lag(ts) over w <= interval 4 hours, false)::integer as flag from e window w as (partition by user_id order by ts, event_id))
+    select event_id, user_id, flag from f where date_trunc('day', ts)::timestamp + interval 1 day < (select max(ts) from events) - interval 1 hour""",
+)
+def stream_multi_swipe_once(t):
+    """The flags of the days that the watermark, an hour behind the newest event, has passed."""
+    s = _events(t).withColumn("band", F.floor(F.col("value") / 20))
+    return A.run_stateful(A.multi_swipe_once(s, "ts", "user_id", "event_id", "event_type", "band", 4 * 3600), "swipes-once")
+
+
 @plan(
     "stream_posterior",
     "select event_type, count(*) filter (value > 50) + 1.0::double as a, count(*) filter (value <= 50) + 1.0::double as b from events group by 1",

@@ -57,3 +57,36 @@ def test_open_windows_and_sessions_come_out(stream):
     assert {(r["user_id"], r["start"].hour): (r["n"], r["total"]) for r in w.collect()} == {(1, 0): (7, 46.0), (2, 0): (4, 22.0), (2, 1): (2, 23.0)}
     s = A.run_complete(A.sessions(stream(), "ts", "user_id", late="3 hours"), "s")
     assert sorted((r["user_id"], r["n"]) for r in s.collect()) == [(1, 1), (1, 2), (1, 4), (2, 2), (2, 4)]
+
+
+def final(seconds, slice_minutes, late_minutes):
+    """The expected flags of the slices that end before the watermark after the last file."""
+    rows = {e[0]: e[2] for f in FILES for e in f}
+    mark = max(rows.values()) - datetime.timedelta(minutes=late_minutes)
+    end = lambda ts: START + datetime.timedelta(minutes=((ts - START).total_seconds() // 60 // slice_minutes + 1) * slice_minutes)
+    return {i: f for i, f in expected(seconds).items() if end(rows[i]) < mark}
+
+
+@pytest.mark.parametrize("minutes, slice_minutes, late", [(3, 5, 40), (10, 10, 40), (10, 30, 40), (30, 30, 60)])
+def test_flags_come_once_after_the_watermark(spark, stream, minutes, slice_minutes, late):
+    """Late files, slices about as short as the pause, and the events near a slice's end as context of the next."""
+    flags = A.multi_swipe_once(stream(), "ts", "user_id", "event_id", "kind", "band", minutes * 60, slice_minutes * 60, f"{late} minutes")
+    rows = A.run_stateful(flags, "once").collect()
+    want = final(minutes * 60, slice_minutes, late)
+    assert want and len(rows) == len({r.event_id for r in rows}) and {r.event_id: r.flag for r in rows} == want
+
+
+def test_one_hot_account_repeats_and_nulls(spark):
+    """20 000 events of one account in one micro-batch, each delivered twice, beside nulls in every column."""
+    folder = scratch_folder(spark, "hot-stream")
+    hot = spark.range(20_000).selectExpr("id AS event_id", "7L AS user_id", "timestamp_seconds(1704067200 + id * 37 % 200000) AS ts", "if(id % 5 = 0, null, 'buy') AS kind", "if(id % 7 = 0, null, id % 2) AS band", "1.0D AS value")
+    odd = [(None, 7, START, "buy", 1, 1.0), (90_001, None, START, "buy", 1, 1.0), (90_002, None, START, "buy", 1, 1.0), (90_003, 7, None, "buy", 1, 1.0), (90_004, 8, START + datetime.timedelta(days=9), None, None, None)]
+    hot.union(hot).union(spark.createDataFrame(odd, SCHEMA)).coalesce(2).write.mode("append").parquet(folder)
+    flags = A.multi_swipe_once(A.read_events(spark, folder, SCHEMA), "ts", "user_id", "event_id", "kind", "band", 60, 3600, "1 hour")
+    rows = A.run_stateful(flags, "hot").toPandas()
+    want = hot.toPandas().sort_values(["ts", "event_id"])
+    same = (want["kind"] == want["kind"].shift()) & (want["band"] == want["band"].shift()) & want["kind"].notna() & (want["ts"].diff().dt.total_seconds() <= 60)
+    got = rows[rows["user_id"] == 7].set_index("event_id")["flag"]
+    assert len(got) == 20_000 and got.to_dict() == dict(zip(want["event_id"], same.astype(int), strict=True)) and 0 < got.sum() < 20_000
+    assert rows[rows["user_id"].isna()].set_index("event_id")["flag"].to_dict() == {90_001: 0, 90_002: 1}
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
