@@ -10,6 +10,7 @@ from lodestat.operators import wide as Wd
 from lodestat.operators.density import dbscan as density_clusters
 from lodestat.operators.evaluation import knee
 from lodestat.operators.ordered import hash_key
+from lodestat.operators.prototypes import nearest_gower
 from lodestat.operators.resampling import border_classes, borderline_smote, edit_by_neighbours, smote
 from lodestat.operators.words import terms
 from lodestat.plans.registry import plan, r6
@@ -393,12 +394,8 @@ PART_RANGE = "select max(p_size) - min(p_size) as rs, max(p_retailprice) - min(p
 def gower_distance(t):
     numeric, categorical = ["p_size", "p_retailprice"], ["p_type", "p_brand"]
     first = t.part.groupBy("p_type").agg(F.min_by(F.struct("p_partkey", "p_size", "p_retailprice", "p_brand"), "p_partkey").alias("r"))
-    protos = sorted(({**r["r"].asDict(), "p_type": r["p_type"]} for r in first.collect()), key=lambda p: p["p_partkey"])
-    d = Cl.gower_to(t.part, numeric, categorical, Cl.column_ranges(t.part, numeric), protos)
-    rows = t.part.select("p_partkey", d.alias("exact"), F.transform(d, lambda x: F.round(x, 9)).alias("d"))
-    keys = F.array(*[F.lit(p["p_partkey"]) for p in protos])
-    at = F.array_position("d", F.array_min("d")).cast("int") - 1
-    return rows.select("p_partkey", F.get(keys, at).alias("nearest"), r6(F.array_min("exact")).alias("distance"))
+    found = nearest_gower(t.part, "p_partkey", first.select("p_type", "r.*"), "p_partkey", numeric, categorical, Cl.column_ranges(t.part, numeric))
+    return found.select("p_partkey", "nearest", r6("distance").alias("distance"))
 
 
 @plan("dbscan")
