@@ -15,12 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"\w+")
+# fixed values: scripts written without spaces (Thai, Lao, Burmese, Khmer, kana, Han); each of their letters is a token
+UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+TOKEN_OR_LETTER = re.compile(rf"[^\W{UNSPACED}]+|(?=[{UNSPACED}])\w")
 LEAKS = "array<struct<item_id: bigint, coverage: double, tiles: array<struct<doc_at: int, item_at: int, length: int>>>>"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens_of(text: str | None) -> list[str]:
-    return TOKEN.findall(text.lower()) if text else []
+    """Lower-case words without punctuation; in scripts without spaces, letters."""
+    if not text:
+        return []
+    return (TOKEN if text.isascii() else TOKEN_OR_LETTER).findall(text.lower())
 
 
 def window_hashes(ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,39 +83,47 @@ def tile(doc: list[str], item: list[str], starts: list[tuple[int, int]], least:
 
 
 class Items:
-    """A block of benchmark items: token ids (words that no item has are 0), and sorted fingerprints of all windows."""
+    """A block of benchmark items: token ids (words that no item has are 0), and sorted fingerprints of all windows.
+
+    An item shorter than a window has one window, itself; windows are kept by their length.
+    """
 
     def __init__(self, rows: list[tuple[int, str]], least: int):
-        self.least, self.ids = least, [item for item, _ in rows]
+        self.ids = [item for item, _ in rows]
         self.tokens = [tokens_of(text) for _, text in rows]
         self.words: dict[str, int] = {}
         for tokens in self.tokens:
             for token in tokens:
                 self.words.setdefault(token, len(self.words) + 1)
-        found = [window_hashes(self.numbered(t), least) for t in self.tokens]
-        flat = np.concatenate([*(h for _, h in found), np.zeros(0, dtype=np.uint64)])
-        order = np.argsort(flat, kind="stable")
-        self.hashes = flat[order]
-        self.owner = np.repeat(np.arange(len(rows)), [len(h) for _, h in found])[order]
-        self.place = np.concatenate([*(at for at, _ in found), np.zeros(0, dtype=np.int64)])[order]
+        self.least = [min(least, len(tokens)) for tokens in self.tokens]
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for length in sorted({n for n in self.least if n}):
+            owners = [i for i, n in enumerate(self.least) if n == length]
+            found = [window_hashes(self.numbered(self.tokens[i]), length) for i in owners]
+            flat = np.concatenate([h for _, h in found])
+            order = np.argsort(flat, kind="stable")
+            owner = np.repeat(owners, [len(h) for _, h in found])[order]
+            self.windows[length] = flat[order], owner, np.concatenate([at for at, _ in found])[order]
 
     def numbered(self, tokens: list[str]) -> np.ndarray:
         return np.fromiter(map(self.words.get, tokens, repeat(0)), dtype=np.uint64, count=len(tokens))
 
     def judge(self, text: str | None, least_coverage: float) -> list[dict]:
         doc = tokens_of(text)
-        at, own = window_hashes(self.numbered(doc), self.least)
-        low, high = np.searchsorted(self.hashes, own, "left"), np.searchsorted(self.hashes, own, "right")
+        numbers = self.numbered(doc)
         starts = defaultdict(list)
-        for w in np.flatnonzero(high > low):
-            for k in range(low[w], high[w]):
-                starts[int(self.owner[k])].append((int(at[w]), int(self.place[k])))
+        for length, (hashes, owner, place) in self.windows.items():
+            at, own = window_hashes(numbers, length)
+            low, high = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
+            for w in np.flatnonzero(high > low):
+                for k in range(low[w], high[w]):
+                    starts[int(owner[k])].append((int(at[w]), int(place[k])))
         found = []
         for item, places in starts.items():
-            tokens = self.tokens[item]
-            if len({j + k for _, j in places for k in range(self.least)}) < least_coverage * len(tokens):
+            tokens, least = self.tokens[item], self.least[item]
+            if len({j + k for _, j in places for k in range(least)}) < least_coverage * len(tokens):
                 continue  # what no seed touches can't be covered
-            tiles = tile(doc, tokens, places, self.least)
+            tiles = tile(doc, tokens, places, least)
             coverage = sum(n for *_, n in tiles) / len(tokens)
             if coverage >= least_coverage:
                 found.append({"item_id": self.ids[item], "coverage": coverage, "tiles": [dict(zip(("doc_at", "item_at", "length"), t, strict=True)) for t in tiles]})
@@ -136,8 +150,11 @@ def find_leaks(
     item with the longest matches, in any order, and the item counts as leaked if its tiles hold ``least_coverage`` of its
     tokens. A passage that many documents share costs each of them the same.
 
-    A null or empty text leaks nothing; an item of fewer tokens than a window has no seed and is never found; repeated
-    items each show up; an empty benchmark or table leaks nothing. Other columns pass by.
+    A script without spaces is cut into letters. An item of fewer tokens than a window is its own window, so it is found where it
+    stands whole; with an item of one word that is every text with this word.
+
+    A null or empty text leaks nothing; an item without a token is never found; repeated items each show up; an empty
+    benchmark or table leaks nothing. Other columns pass by.
     """
     spark = docs.sparkSession
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", F.col("text").alias("item_text"))

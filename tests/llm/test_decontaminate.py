@@ -53,6 +53,28 @@ def test_reordered_passages_are_caught_and_mentions_are_not():
     assert items.judge(" ".join(reversed(words)), 0.5) == []
 
 
+def test_items_of_any_length_are_found_where_they_stand_whole():
+    items = Items([(n, " ".join(ITEM.split()[:n])) for n in range(1, 8)] + [(20, ""), (21, "?!"), (22, "nu xi omicron")], 5)
+    words = ITEM.split()
+    for n in range(1, 8):
+        text = "before " + " ".join(words[:n]) + " after"
+        hits = {h["item_id"]: h["coverage"] for h in items.judge(text, 0.5)}
+        assert {i for i, c in hits.items() if c == 1} == set(range(1, n + 1))
+        assert all(i <= n or (n >= 5 and c >= 0.5) for i, c in hits.items())
+    assert [h["item_id"] for h in items.judge("pi nu XI, omicron", 0.5)] == [22] and items.judge("xi nu omicron", 0.5) == []
+
+
+def test_scripts_without_spaces():
+    sentence = "今天天气很好我们去公园散步吧"
+    items = Items([(1, sentence), (2, "สวัสดีครับ"), (3, "ひらがな")], 5)
+    assert tokens_of("Ab今天 c_1é天x") == ["ab", "今", "天", "c_1é", "天", "x"] and tokens_of("don't stop") == ["don", "t", "stop"]
+    assert [(h["item_id"], h["coverage"]) for h in items.judge(sentence, 0.5)] == [(1, 1.0)]
+    assert [h["item_id"] for h in items.judge("他说" + sentence + "然后走了", 0.5)] == [1]
+    turned = items.judge(sentence[7:] + "。" + sentence[:7], 0.5)
+    assert [(h["item_id"], len(h["tiles"])) for h in turned] == [(1, 2)]
+    assert items.judge("今天很好", 0.5) == [] and [h["item_id"] for h in items.judge("abcひらがなdef", 0.5)] == [3]
+
+
 def test_agrees_with_containment_on_the_tables(spark, small_docs):
     """The planted passages are whole items: a document leaks an item if its tokens hold the item's."""
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
