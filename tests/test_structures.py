@@ -171,3 +171,32 @@ def test_tree_counts_every_class(spark):
     assert best["threshold"] == 599.5 and best["gain"] == pytest.approx(1.0)
     gini = Tr.best_splits(rows.withColumn("node", F.lit(0)), ["x"], "y").first()
     assert gini["gain"] == pytest.approx(1 / 1200)
+
+
+def test_knn_meets_a_vector_once_a_group(spark):
+    """1 500 vectors in dozens of cells, far from the origin, with copies: exact, and no join of exploded blocks is left to a broadcast of them."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(size=(1400, 6)) + 1e6, np.repeat(rng.normal(size=(1, 6)), 100, axis=0)])
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id long, v array<double>")
+    found = N.knn_join(df.where("id % 3 = 0"), df, "id", "v", 4)
+    got = {q: p.sort_values("rank") for q, p in found.toPandas().groupby("query")}
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    assert sorted(got) == list(range(0, 1500, 3))
+    for q, part in got.items():
+        assert part["neighbour"].tolist() == np.lexsort((np.arange(len(x)), d[q]))[:4].tolist()
+        assert np.allclose(part["distance"], np.sort(d[q])[:4], rtol=1e-12)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and plan.count("Join") == 1 and "rightHint=(strategy=broadcast)" in plan
+
+
+def test_nearest_rows_measures_few_pairs(monkeypatch):
+    rng = np.random.default_rng(4)
+    x, asked, measure = rng.normal(size=(4000, 16)), [], N._distances
+    monkeypatch.setattr(N, "_distances", lambda a, i, b, j: asked.append(len(i)) or measure(a, i, b, j))
+    blocks = [(np.arange(i, i + 500), np.arange(i, i + 500), x[i : i + 500]) for i in range(0, 4000, 500)]
+    row, found, far = N.nearest_rows(x[:200], np.arange(200), np.full(200, np.inf), blocks, 3)
+    d = N.pair_distances(x[:200], x)
+    d[np.arange(200), np.arange(200)] = np.inf
+    assert found.reshape(200, 3).tolist() == np.argsort(d, axis=1, kind="stable")[:, :3].tolist()
+    assert (far == np.take_along_axis(d, found.reshape(200, 3), 1).ravel()).all() and sum(asked) < d.size / 50
