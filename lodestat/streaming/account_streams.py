@@ -74,33 +74,34 @@ def multi_swipe(stream: DataFrame, ts: str, account: str, event: str, kind: str,
 
 
 class _SwipeSlice(StatefulProcessor):
-    """Holds the events of one account and time slice until the watermark has passed the slice's end, then flags them and forgets them."""
+    """Holds the events of a bucket of accounts and a time slice until the watermark has passed the slice's end, then flags them and forgets them."""
 
     def __init__(self, names: tuple[str, str], seconds: float):
         self.names, self.seconds = names, seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getListState("events", "number long, at long, kind string, band long, own boolean")
+        self.events = handle.getListState("events", "account long, none boolean, number long, at long, kind string, band long, own boolean")
 
     def handleInputRows(self, key, rows, timerValues):
         for part in rows:
             # (names may not start with an underscore here)
-            cells = part[["swipe_number", "swipe_at", "swipe_kind", "swipe_band", "swipe_own"]].astype(object)
+            cells = part[["swipe_account", "swipe_none", "swipe_number", "swipe_at", "swipe_kind", "swipe_band", "swipe_own"]].astype(object)
             cells = cells.where(cells.notna(), None)
-            self.events.appendList([(int(n), int(at), k, None if b is None else int(b), bool(own)) for n, at, k, b, own in cells.itertuples(index=False, name=None)])
+            self.events.appendList([(int(a), bool(none), int(n), int(at), k, None if b is None else int(b), bool(own)) for a, none, n, at, k, b, own in cells.itertuples(index=False, name=None)])
             self.handle.registerTimer(int(part["swipe_end"].iloc[0]))  # the same in every row; set again without effect
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        columns = ["number", "at", "kind", "band", "own"]
+        columns = ["account", "none", "number", "at", "kind", "band", "own"]
         held = pd.DataFrame(list(self.events.get()), columns=columns).astype({"band": "Int64"}).drop_duplicates()
         self.events.clear()
-        held = held.sort_values(["at", "number"], ignore_index=True)
-        same = (held["kind"] == held["kind"].shift()) & (held["band"] == held["band"].shift()).fillna(False).astype(bool)
+        held = held.sort_values(["none", "account", "at", "number"], ignore_index=True)
+        same = (held["account"] == held["account"].shift()) & (held["none"] == held["none"].shift())
+        same &= (held["kind"] == held["kind"].shift()) & (held["band"] == held["band"].shift()).fillna(False).astype(bool)
         flag = same & held["kind"].notna() & (held["at"] - held["at"].shift() <= self.seconds * 1e6)
         event, account = self.names
-        out = pd.DataFrame({event: held["number"].astype("int64"), account: pd.array([None if key[1] else key[0]] * len(held), dtype="Int64"), "flag": flag.astype("int32")})[held["own"].astype(bool)]
+        out = pd.DataFrame({event: held["number"].astype("int64"), account: held["account"].astype("Int64").mask(held["none"].astype(bool)), "flag": flag.astype("int32")})[held["own"].astype(bool)]
         if len(out):
             yield out
 
@@ -108,12 +109,13 @@ class _SwipeSlice(StatefulProcessor):
         pass
 
 
-def multi_swipe_once(stream: DataFrame, ts: str, account: str, event: str, kind: str, band: str, seconds: float, slice_seconds: int = 86_400, late: str = "1 hour") -> DataFrame:
+def multi_swipe_once(stream: DataFrame, ts: str, account: str, event: str, kind: str, band: str, seconds: float, slice_seconds: int = 86_400, late: str = "1 hour", buckets: int = 64) -> DataFrame:
     """The flags of ``multi_swipe``, each given out once and for good; for append mode and a RocksDB state store (``run_stateful``).
 
     Time is cut into slices of ``slice_seconds`` (at least ``seconds``). An event goes to its slice and, if it stands within ``seconds`` of
-    the end, to the next one as context: no flag looks further back. State is a list of events for an account and slice, to which a
-    micro-batch only appends; a timer at the slice's end sorts the list once, gives its flags and clears it. So an account with a
+    the end, to the next one as context: no flag looks further back. State is a list of events for a slice and one of ``buckets`` parts of the accounts, by a hash, to which a
+    micro-batch only appends; a timer at the slice's end sorts the list once, gives its flags and clears it. So a call of Python serves
+    many accounts, a key more makes no list more (``buckets`` may not change between runs on one state), and an account with a
     third of all events is spread over its slices, state lives for a slice and the delay ``late``, and events may
     come in any order within that delay. Repeats of an event count once; equal times go by event id; a null account is an account;
     events without id or time are left out, and a null kind or band equals nothing. Events of slices that the watermark hasn't passed stay in the state for the next run.
@@ -128,11 +130,12 @@ def multi_swipe_once(stream: DataFrame, ts: str, account: str, event: str, kind:
         # keys without nulls: a null in the key of a timer would end the reading of expired timers
         F.coalesce(F.col(account).cast("long"), F.lit(0)).alias("swipe_account"), F.col(account).isNull().alias("swipe_none"), ts, F.col(event).cast("long").alias("swipe_number"), at.alias("swipe_at"), F.col(kind).alias("swipe_kind"), F.col(band).cast("long").alias("swipe_band")
     )
+    prepared = prepared.withColumn("swipe_bucket", F.pmod(F.xxhash64("swipe_account", "swipe_none"), F.lit(buckets)))
     into_next = F.col("swipe_at") + reach >= (here + 1) * length
     prepared = prepared.withColumn("swipe_places", F.when(into_next, F.array(here, here + 1)).otherwise(F.array(here)))
     prepared = prepared.select("*", F.posexplode("swipe_places").alias("swipe_copy", "swipe_slice")).drop("swipe_places")
     prepared = prepared.select("*", (F.col("swipe_copy") == 0).alias("swipe_own"), F.floor((F.col("swipe_slice") + 1) * length / 1000).alias("swipe_end")).drop("swipe_copy")
-    return prepared.groupBy("swipe_account", "swipe_none", "swipe_slice").transformWithStateInPandas(
+    return prepared.groupBy("swipe_bucket", "swipe_slice").transformWithStateInPandas(
         _SwipeSlice((event, account), seconds), f"{event} long, {account} long, flag int", "append", "EventTime"
     )
 

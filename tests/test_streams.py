@@ -90,3 +90,19 @@ def test_one_hot_account_repeats_and_nulls(spark):
     assert len(got) == 20_000 and got.to_dict() == dict(zip(want["event_id"], same.astype(int), strict=True)) and 0 < got.sum() < 20_000
     assert rows[rows["user_id"].isna()].set_index("event_id")["flag"].to_dict() == {90_001: 0, 90_002: 1}
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_a_bucket_serves_many_accounts(spark, monkeypatch, buckets):
+    """500 accounts, one of them null and one 0, are flagged each by itself from a few lists of state."""
+    rows = spark.range(6000).selectExpr("id AS event_id", "if(id % 500 = 499, null, id % 500) AS user_id", "timestamp_seconds(1704067200 + id * 7919 % 9000) AS ts", "if(id % 3 = 0, 'buy', 'view') AS kind", "id % 2 AS band", "1.0D AS value")
+    folder = scratch_folder(spark, "bucket-stream")
+    rows.write.mode("append").parquet(folder)
+    flags = A.multi_swipe_once(A.read_events(spark, folder, SCHEMA), "ts", "user_id", "event_id", "kind", "band", 900, 3600, "0 hours", buckets)
+    got = A.run_stateful(flags, "buckets").toPandas().set_index("event_id")
+    want = rows.toPandas().sort_values(["user_id", "ts", "event_id"])
+    before = want.groupby("user_id", dropna=False)[["ts", "kind", "band"]].shift()
+    want["flag"] = ((want["kind"] == before["kind"]) & (want["band"] == before["band"]) & ((want["ts"] - before["ts"]).dt.total_seconds() <= 900)).astype(int)
+    want = want[want["ts"] < want["ts"].min().floor("h") + datetime.timedelta(hours=2)].set_index("event_id")
+    assert got["flag"].to_dict() == want["flag"].to_dict() and 0 < got["flag"].sum() < len(got)
+    assert (got["user_id"].sort_index().astype("Int64").isna() == want["user_id"].sort_index().isna()).all()
