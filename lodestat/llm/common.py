@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import string
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,3 +50,15 @@ def written(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = (), co
 def parts_for(spark: SparkSession, total_bytes: float, part_bytes: int) -> int:
     """Parts of about ``part_bytes``, and no fewer than the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total_bytes / part_bytes))
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of every query that is run inside go when it ends; for steps that are written and read back, whose shuffles nobody reads again."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)

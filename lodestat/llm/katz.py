@@ -14,20 +14,25 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm.common import id_remainder, new_path, parts_for, text_or_empty, written
+from lodestat.llm.common import id_remainder, new_path, parts_for, shuffles_dropped, text_or_empty, written
 
 K = 5  # counts up to K are discounted
 ORDER = 3  # of the registered query
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))  # no word holds a blank
 UNKNOWN_ID, START_ID = np.uint64(0), np.uint64(1)
+PACKER, UNPACKER = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+LAST = np.array([-1])  # the end of a text, before it has a number
 
 CHUNKS = "chunk long, ids array<string>, held array<boolean>, lengths binary, types binary, counts binary, tokens binary"
-ASKS = "bucket int, chunk long, a binary, b binary, c binary, d binary, e binary, f binary"
-TELLS = "kind string, bucket int, chunk long, a binary, b binary, c binary, d binary"
+ASKS = "bucket int, chunk long, a binary, b binary, c binary, d binary, e binary"
+TELLS = "kind string, bucket int, chunk long, a binary, b binary, c binary, d binary, e binary"
+ANSWERS = ["bucket", "chunk", "a", "b", "c", "d", "e"]
 SCORES = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -108,10 +113,18 @@ def discounted(counts: np.ndarray, factor: np.ndarray) -> np.ndarray:
     return counts * np.concatenate([[1.0], factor, [1.0]])[np.minimum(counts, K + 1)]
 
 
+class Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def cut_chunks(chunk_tokens: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first, n_chunks = TaskContext.get().partitionId() << 32, 0
-        types: dict[bytes, int] = {}
+        types = Numbers()
         ids, held, lengths, tokens = [], [], [], []
         n = 0
 
@@ -121,26 +134,25 @@ def cut_chunks(chunk_tokens: int):
             hashes = np.append(hashes, END)
             local = np.concatenate(tokens)
             local[local < 0] = len(types)
-            order = np.argsort(-np.bincount(local), kind="stable")  # frequent words get small numbers
+            order = np.lexsort((hashes, -np.bincount(local)))  # frequent words get small numbers, the many equally rare ones rise with their hashes
             place = np.empty(len(order), dtype=np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
             local = place[local]
             trains = np.repeat(~np.array(held), lengths)
             counts = np.bincount(local[trains], minlength=len(order)).astype(np.uint32)
-            row = (first + n_chunks, ids, held, np.array(lengths, np.uint32).tobytes(), hashes[order].tobytes(), counts.tobytes(), planes(local))
-            n, n_chunks, types, ids, held, lengths, tokens = 0, n_chunks + 1, {}, [], [], [], []
+            row = (first + n_chunks, ids, held, np.array(lengths, np.uint32).tobytes(), rising(hashes[order]), counts.tobytes(), planes(local))
+            n, n_chunks, types, ids, held, lengths, tokens = 0, n_chunks + 1, Numbers(), [], [], [], []
             return pd.DataFrame([row], columns=names(CHUNKS))
 
         for batch in batches:
             for doc, text, out in zip(batch["id"], batch["text"], batch["held"], strict=True):
                 words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII blanks only
-                local = [types.setdefault(w, len(types)) for w in words]
-                local.append(-1)
+                local = np.fromiter(map(types.__getitem__, words), dtype=np.int64, count=len(words))
                 ids.append(doc)
                 held.append(bool(out))
-                lengths.append(len(local))
-                tokens.append(np.array(local, dtype=np.int64))
-                n += len(local)
+                lengths.append(len(words) + 1)
+                tokens += [local, LAST]
+                n += len(words) + 1
                 if n >= chunk_tokens:
                     yield flush()
         if ids:
@@ -153,10 +165,11 @@ def ask_words(buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for chunk, types, counts in zip(batch["chunk"], batch["types"], batch["counts"], strict=True):
-                order = np.argsort(u64(types))
-                types, counts = u64(types)[order], u32(counts)[order]
+                hashes = np.cumsum(wide(types))
+                order = np.argsort(hashes)
+                types, counts = hashes[order], u32(counts)[order]
                 edges = np.searchsorted(bucket_of(types, buckets), np.arange(buckets + 1, dtype=np.uint64))
-                rows = [(b, chunk, types[i:j].tobytes(), narrow(counts[i:j]), None, None, None, None) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if j > i]
+                rows = [(b, chunk, types[i:j].tobytes(), narrow(counts[i:j]), None, None, None) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if j > i]
                 yield pd.DataFrame(rows, columns=names(ASKS))
 
     return run
@@ -171,23 +184,27 @@ def tell_words(buckets: int):
         types, at = np.unique(np.concatenate(asked), return_inverse=True)
         counts = np.bincount(at, weights=np.concatenate([wide(b) for b in group["b"]])).astype(np.uint64)
         order = np.argsort(-counts.astype(np.int64), kind="stable")
-        ids = np.empty(len(types), dtype=np.uint64)
-        ids[order] = np.arange(len(types), dtype=np.uint64) * np.uint64(buckets) + np.uint64(bucket + 2)
-        ids[counts == 0] = UNKNOWN_ID
-        known = counts > 0
+        places = np.empty(len(types), dtype=np.uint64)
+        places[order] = np.arange(len(types), dtype=np.uint64)
+        ids, known = places * np.uint64(buckets) + np.uint64(bucket + 2), counts > 0
         n = np.bincount(counts[counts <= K + 1].astype(np.int64), minlength=K + 2)
         stats = np.array([counts.sum(), known.sum(), *n], dtype=np.int64)
-        rows = [("model", bucket, None, types[known].tobytes(), narrow(ids[known]), narrow(counts[known]), stats.tobytes())]
+        rows = [("model", bucket, None, types[known].tobytes(), narrow(ids[known]), narrow(counts[known]), stats.tobytes(), None)]
         for chunk, part in zip(group["chunk"], np.split(at, np.cumsum([len(a) for a in asked])[:-1]), strict=True):
-            rows.append(("answer", bucket, chunk, narrow(ids[part]), narrow(counts[part]), None, None))
+            by_count = part[np.argsort(-counts[part].astype(np.int64), kind="stable")]  # as the ids, so these rise
+            rows.append(("answer", bucket, chunk, rising(places[by_count[counts[by_count] > 0]]), narrow(counts[part]), None, None, None))
         return pd.DataFrame(rows, columns=names(TELLS))
 
     return run
 
 
-def joined_ids(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """64-bit ids of contexts one word longer."""
-    return mixed(mixed(context ^ mixed(word + np.uint64(3))) + np.uint64(11))
+def told_words(places: bytes, counts: bytes, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and counts of the words that a chunk asked of a bucket."""
+    counts = wide(counts).astype(np.int64)
+    by_count = np.argsort(-counts, kind="stable")
+    ids = np.full(len(counts), UNKNOWN_ID)
+    ids[by_count[counts[by_count] > 0]] = np.cumsum(wide(places)) * np.uint64(buckets) + np.uint64(bucket + 2)
+    return ids, counts
 
 
 class Chunk:
@@ -200,50 +217,59 @@ class Chunk:
     def __init__(self, row: pd.Series, answers: pd.DataFrame, low: Unigrams, buckets: int, hot: int):
         self.ids, self.held, self.lengths = row["ids"], np.array(row["held"], dtype=bool), u32(row["lengths"]).astype(np.int64)
         self.buckets, self.most = buckets, hot
-        answers, order = answers.sort_values("bucket"), np.argsort(u64(row["types"]))
+        answers, order = answers.sort_values("bucket"), np.argsort(np.cumsum(wide(row["types"])))
         word_ids, word_counts = np.empty(len(order), dtype=np.uint64), np.empty(len(order), dtype=np.int64)
-        word_ids[order] = np.concatenate([wide(a) for a in answers["a"]])
-        word_counts[order] = np.concatenate([wide(b) for b in answers["b"]])
+        told = [told_words(a, b, bucket, buckets) for a, b, bucket in zip(answers["a"], answers["b"], answers["bucket"], strict=True)]
+        word_ids[order], word_counts[order] = (np.concatenate(x) for x in zip(*told, strict=True))
         tokens = from_planes(row["tokens"]).astype(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.trains = ~np.repeat(self.held, self.lengths)
-        # contexts and words by local numbers; the start of a text is one more context, all unknown words are one word
-        self.start = len(word_ids)
-        self.word = np.where(word_counts > 0, np.arange(self.start), self.start)[tokens].astype(np.int64)
-        self.word_id = np.append(word_ids, UNKNOWN_ID)[self.word]
+        # contexts and words by local numbers that rise with the ids; the start of a text is one more context, all unknown words are one word
+        self.start, by_id = len(word_ids), np.argsort(word_ids, kind="stable")
+        rank = np.empty(self.start, dtype=np.int64)
+        rank[by_id] = np.arange(self.start)
+        self.word = np.where(word_counts > 0, rank, self.start)[tokens]
+        self.word_id = np.append(word_ids[by_id], UNKNOWN_ID)[self.word]
         self.word_count = self.count = word_counts[tokens]
-        self.bottom = None
+        self.bottom = np.full(len(tokens), low.bottom)  # what the counts of the order reached are divided by
         self.logs = np.log10(low.probability(word_counts))[tokens]
-        self.context = np.concatenate([[self.start], tokens[:-1]])
-        self.context[self.starts] = self.start
-        self.context_id, self.context_count = np.append(word_ids, START_ID)[self.context], np.append(word_counts, low.texts)[self.context]
-        self.find_grams()
+        self.context, self.contexts = np.concatenate([[0], rank[tokens[:-1]] + 1]), self.start + 1
+        self.context[self.starts] = 0
+        self.context_id, self.context_count = np.append(START_ID, word_ids[by_id])[self.context], np.append(low.texts, word_counts[by_id])[self.context]
 
     def find_grams(self) -> None:
         """The distinct n-grams of the next order, and the order in which they are asked."""
         self.known = np.flatnonzero(self.context_count > 0)
         grams = self.context[self.known] * (self.start + 1) + self.word[self.known]
-        grams, first, self.gram_at = np.unique(grams, return_index=True, return_inverse=True)
-        first = self.known[first]
-        self.v_id, self.v_count, self.w_id, self.low_count, self.low_log = (x[first] for x in (self.context_id, self.context_count, self.word_id, self.count, self.logs))
-        self.low_bottom = None if self.bottom is None else self.bottom[first]
+        order = np.argsort(grams)
+        new = np.zeros(len(grams), dtype=bool)
+        new[first_of_runs(grams[order])] = True
+        self.gram_at = np.empty(len(grams), dtype=np.int64)
+        self.gram_at[order] = np.cumsum(new) - 1
+        first = self.known[order[new]]
+        self.v_at, self.v_id, self.v_count, self.w_id = (x[first] for x in (self.context, self.context_id, self.context_count, self.word_id))
+        self.low_count, self.low_log, self.low_bottom = (x[first] for x in (self.count, self.logs, self.bottom))
         self.hot = self.v_count > self.most  # the n-grams of such a context are spread over all buckets
-        self.bucket = bucket_of(mixed(self.v_id + np.where(self.hot, mixed(self.w_id + np.uint64(7)), np.uint64(0))), self.buckets).astype(np.int64)
-        self.order = np.lexsort((self.w_id, self.v_id, self.bucket))
-        self.trained = np.bincount(self.gram_at[self.trains[self.known]], minlength=len(grams))
+        self.bucket = (self.v_id % np.uint64(self.buckets)).astype(np.min_scalar_type(self.buckets))
+        self.bucket[self.hot] = bucket_of(mixed(self.v_id[self.hot] + mixed(self.w_id[self.hot] + np.uint64(7))), self.buckets)
+        self.order = np.argsort(self.bucket, kind="stable")
+        self.trained = np.bincount(self.gram_at[self.trains[self.known]], minlength=len(first))
 
-    def rise(self, counts: np.ndarray, bottoms: np.ndarray, logs: np.ndarray) -> None:
+    def rise(self, counts: np.ndarray, bottoms: np.ndarray, logs: np.ndarray, ids: np.ndarray | None) -> None:
         """Take what was told of the n-grams; each trained n-gram is the context of the position after it, except over a text's start."""
         gram, count, bottom = (np.zeros(len(self.logs), dtype=np.int64) for _ in range(3))
         gram[self.known], count[self.known], bottom[self.known] = self.gram_at, counts[self.gram_at], bottoms[self.gram_at]
         self.logs = self.logs.copy()
         self.logs[self.known] = logs[self.gram_at]
         self.count, self.bottom = count, bottom
-        self.context = np.concatenate([[0], gram[:-1]])
-        self.context_id = joined_ids(np.concatenate([self.context_id[:1], self.context_id[:-1]]), np.concatenate([self.word_id[:1], self.word_id[:-1]]))
+        if ids is None:  # the highest order is no context
+            return
+        gram_id = np.zeros(len(self.logs), dtype=np.uint64)
+        gram_id[self.known] = ids[self.gram_at]
+        self.context, self.contexts = np.concatenate([[0], gram[:-1]]), len(counts)
+        self.context_id = np.concatenate([gram_id[:1], gram_id[:-1]])
         self.context_count = np.concatenate([[0], count[:-1]])
         self.context_count[self.starts] = 0
-        self.find_grams()
 
 
 def first_of_runs(*keys: np.ndarray) -> np.ndarray:
@@ -261,90 +287,106 @@ def ask_grams(low: Unigrams, told: list["Told"], buckets: int, hot: int):
         rows = []
         for _, row in chunks.iterrows():
             c = risen(row, answers, low, told, buckets, hot)
+            c.find_grams()
             o = c.order
-            bucket, v, w, low_count, trained, is_hot = c.bucket[o], c.v_id[o], c.w_id[o], c.low_count[o], c.trained[o], c.hot[o]
-            low_bottom = None if c.low_bottom is None else c.low_bottom[o]
+            bucket, v, w, low_count, trained, is_hot = c.bucket[o], c.v_id[o], c.w_id[o], np.where(c.trained > 0, c.low_count, 0)[o], c.trained[o], c.hot[o]
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
             for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                 if j > i:
                     runs = first_of_runs(v[i:j])
                     times = 2 * np.diff(np.append(runs, j - i)) + is_hot[i:j][runs]  # the last bit says hot
-                    bottoms = None if low_bottom is None else narrow(low_bottom[i:j][runs])
-                    rows.append((b, row["chunk"], narrow(v[i:j][runs]), narrow(times), narrow(w[i:j]), narrow(low_count[i:j]), narrow(trained[i:j]), bottoms))
+                    rows.append((b, row["chunk"], pack_ids(v[i:j][runs], buckets), narrow(times), narrow(w[i:j]), narrow(low_count[i:j]), narrow(trained[i:j])))
         return pd.DataFrame(rows, columns=names(ASKS))
 
     return run
 
 
 def narrow(x: np.ndarray) -> bytes:
-    """Numbers in the fewest of 1, 2, 4 or 8 bytes each in which all fit; the first byte says how many."""
-    kind = np.min_scalar_type(int(x.max()) if len(x) else 0)
-    return bytes([kind.itemsize]) + x.astype(kind).tobytes()
+    """Whole numbers in the fewest bytes each in which all fit (the first byte says how many), equal bytes beside each other and packed."""
+    size = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return bytes([size]) + PACKER.compress(x.astype("<u8").view(np.uint8).reshape(-1, 8).T[:size].tobytes())
 
 
 def wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype=f"u{data[0]}", offset=1).astype(np.uint64)
+    rows = np.frombuffer(UNPACKER.decompress(data[1:]), dtype=np.uint8).reshape(data[0], -1)
+    out = np.zeros((rows.shape[1], 8), dtype=np.uint8)
+    out[:, : data[0]] = rows.T
+    return out.view("<u8").ravel()
+
+
+def rising(x: np.ndarray) -> bytes:
+    """Rising whole numbers by their steps; where they fall, a step takes eight bytes and wraps."""
+    return narrow(np.diff(x.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def pack_ids(ids: np.ndarray, buckets: int) -> bytes:
+    """Rising ids, most of them of one bucket: the places in the buckets by their steps, then the buckets."""
+    places = rising(ids // np.uint64(buckets))
+    return len(places).to_bytes(4, "little") + places + narrow(ids % np.uint64(buckets))
+
+
+def unpack_ids(data: bytes, buckets: int) -> np.ndarray:
+    cut = 4 + int.from_bytes(data[:4], "little")
+    return np.cumsum(wide(data[4:cut])) * np.uint64(buckets) + wide(data[cut:])
 
 
 def pack(made: np.ndarray) -> bytes:
-    """What contexts' weights are made of: the whole numbers narrow, the probabilities as they are."""
-    whole = narrow(made[:, : K + 1].astype(np.uint64).ravel(order="F"))
-    return whole + made[:, K + 1].tobytes()
+    """What contexts' weights are made of: the probabilities as they are, then the whole numbers narrow."""
+    return len(made).to_bytes(4, "little") + made[:, K + 1].tobytes() + narrow(made[:, : K + 1].astype(np.uint64).ravel(order="F"))
 
 
 def unpack(data: bytes) -> np.ndarray:
-    n = (len(data) - 1) // (data[0] * (K + 1) + 8)
-    cut = 1 + n * data[0] * (K + 1)
-    return np.column_stack([wide(data[:cut]).reshape(K + 1, n).T.astype(np.float64), np.frombuffer(data[cut:], dtype=np.float64)])
+    n = int.from_bytes(data[:4], "little")
+    return np.column_stack([wide(data[4 + 8 * n :]).reshape(K + 1, n).T.astype(np.float64), np.frombuffer(data, dtype=np.float64, count=n, offset=4)])
 
 
-def tell_grams(low: Unigrams, low_factor: np.ndarray):
+def tell_grams(low_factor: np.ndarray, buckets: int, last: bool):
     """N-gram counts of a bucket, each chunk's answers, and for contexts what their backoff weight is made of.
 
-    Per context: the number of its followers seen 1..K times, the sum of larger counts, and the lower-order
-    probability of all followers. They go to the chunks that meet an unseen follower of it; for a hot context, whose
+    Trained n-grams are numbered, as contexts of the next order, by bucket and place in it, unless this order is the last.
+
+    Per context: the number of its followers seen 1..K times, the sum of larger counts, and the discounted lower-order
+    counts of all followers; what the lower order divides them by is known to the chunks. They go to the chunks that meet an unseen follower of it; for a hot context, whose
     followers lie in all buckets, every bucket tells its part once.
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        contexts, lengths = [wide(a) for a in group["a"]], [wide(b).astype(np.int64) for b in group["b"]]
+        bucket = int(group["bucket"].iloc[0])
+        contexts, lengths = [unpack_ids(a, buckets) for a in group["a"]], [wide(b).astype(np.int64) for b in group["b"]]
         times = [x >> 1 for x in lengths]
         vs, v_at = np.unique(np.concatenate(contexts), return_inverse=True)
         asked = np.repeat(v_at, np.concatenate(times))
-        ws, w_at = np.unique(np.concatenate([wide(c) for c in group["c"]]), return_inverse=True)
-        pairs, at = np.unique(asked.astype(np.uint64) * np.uint64(len(ws)) + w_at.astype(np.uint64), return_inverse=True)
-        bottoms = low.bottom
-        if group["f"].iloc[0] is not None:  # what the lower order divides by, the same for all followers of a context
-            bottoms = np.ones(len(vs))
-            bottoms[v_at] = np.concatenate([wide(f) for f in group["f"]])
-        counts = np.bincount(at, weights=np.concatenate([wide(e) for e in group["e"]])).astype(np.int64)
+        words = np.concatenate([wide(c) for c in group["c"]])
+        n_words = words.max() + np.uint64(1)
+        pairs, at = np.unique(asked.astype(np.uint64) * n_words + words, return_inverse=True)
+        trained = np.concatenate([wide(e) for e in group["e"]])
+        counts = np.bincount(at, weights=trained).astype(np.int64)
         low_counts = np.zeros(len(pairs), dtype=np.int64)
-        low_counts[at] = np.concatenate([wide(d) for d in group["d"]]).astype(np.int64)
-        v_of, seen = (pairs // np.uint64(len(ws))).astype(np.int64), counts > 0
+        low_counts[at[trained > 0]] = np.concatenate([wide(d) for d in group["d"]])[trained > 0]  # told with trained n-grams only
+        v_of, seen = (pairs // n_words).astype(np.int64), counts > 0
         made = np.zeros((len(vs), K + 2))
         for r in range(1, K + 1):
             made[:, r - 1] = np.bincount(v_of[counts == r], minlength=len(vs))
         made[:, K] = np.bincount(v_of[counts > K], weights=counts[counts > K], minlength=len(vs))
         # a trained n-gram's lower n-gram is trained too
-        low_probability = discounted(low_counts[seen], low_factor) / (bottoms[v_of[seen]] if np.ndim(bottoms) else bottoms)
-        made[:, K + 1] = np.bincount(v_of[seen], weights=low_probability, minlength=len(vs))
+        made[:, K + 1] = np.bincount(v_of[seen], weights=discounted(low_counts[seen], low_factor), minlength=len(vs))
         few = ((made[:, :K] > 0) << np.arange(K)).sum(axis=1).astype(np.uint8)  # which small counts a context has
         stats = np.bincount(counts[(counts > 0) & (counts <= K + 1)], minlength=K + 2)
         # per context its id and number of followers, then the followers' ids and counts
         kept, followers = np.unique(v_of[seen], return_counts=True)
-        listed = np.concatenate([vs[kept], followers.astype(np.uint64)])
-        model = (listed, ws[(pairs[seen] % np.uint64(len(ws))).astype(np.int64)], counts[seen])
-        rows = [("model", int(group["bucket"].iloc[0]), None, *(narrow(x) for x in model), stats.tobytes())]
-        answers = np.split(counts[at], np.cumsum([t.sum() for t in times])[:-1])
+        model = (pairs[seen] % n_words, counts[seen])
+        rows = [("model", bucket, None, pack_ids(vs[kept], buckets), *(narrow(x) for x in model), stats.tobytes(), narrow(followers))]
+        ends = np.cumsum([t.sum() for t in times])[:-1]
+        answers, places = np.split(counts[at], ends), np.split((np.cumsum(seen) - 1)[at], ends)
         own_contexts = np.split(v_at, np.cumsum([len(c) for c in contexts])[:-1])
         hot = np.zeros(len(vs), dtype=bool)
-        for chunk, own, runs, length, answer in zip(group["chunk"], own_contexts, times, lengths, answers, strict=True):
+        for chunk, own, runs, length, answer, place in zip(group["chunk"], own_contexts, times, lengths, answers, places, strict=True):
             unseen = np.add.reduceat(answer == 0, np.concatenate([[0], np.cumsum(runs)[:-1]])) > 0
             is_hot = length & 1 == 1
             hot[own[is_hot]] = True
             needed = np.flatnonzero(unseen & ~is_hot).astype(np.uint32)
-            rows.append(("answer", int(group["bucket"].iloc[0]), chunk, narrow(answer), few[own].tobytes(), narrow(needed), pack(made[own[needed]])))
-        rows.append(("hot", int(group["bucket"].iloc[0]), None, vs[hot].tobytes(), made[hot].tobytes(), None, None))
+            rows.append(("answer", bucket, chunk, narrow(answer), narrow(few[own]), rising(needed), pack(made[own[needed]]), None if last else rising(place[answer > 0])))
+        rows.append(("hot", bucket, None, vs[hot].tobytes(), made[hot].tobytes(), None, None, None))
         return pd.DataFrame(rows, columns=names(TELLS))
 
     return run
@@ -372,6 +414,7 @@ class Told:
     order: int
     factor: np.ndarray
     hot_made: dict[int, np.ndarray]
+    last: bool
 
 
 def score_chunk(low: Unigrams, told: list[Told], buckets: int, hot: int):
@@ -385,41 +428,46 @@ def risen(row: pd.Series, answers: pd.DataFrame, low: Unigrams, told: list[Told]
     """A chunk taken through all orders told."""
     c = Chunk(row, answers[answers["kind"] == "1"], low, buckets, hot)
     for order in told:
-        take_answers(c, answers[answers["kind"] == str(order.order)].sort_values("bucket"), order.factor, order.hot_made)
+        c.find_grams()
+        take_answers(c, answers[answers["kind"] == str(order.order)].sort_values("bucket"), order)
     return c
 
 
-def take_answers(c: Chunk, answers: pd.DataFrame, factor: np.ndarray, hot_made: dict[int, np.ndarray]) -> None:
-    o = c.order
+def take_answers(c: Chunk, answers: pd.DataFrame, told: Told) -> None:
+    o, factor = c.order, told.factor
     in_place, gram_counts, gram_bottoms = np.empty(len(o)), np.zeros(len(o), dtype=np.int64), np.zeros(len(o), dtype=np.int64)
+    gram_ids = None if told.last else np.zeros(len(o), dtype=np.uint64)
     if len(o):
         bucket, v = c.bucket[o], c.v_id[o]
         runs = first_of_runs(bucket, v)  # the contexts in the order asked
         run_of = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(o))))
         counts = np.concatenate([wide(a) for a in answers["a"]]).astype(np.int64)
-        few = np.concatenate([np.frombuffer(b, dtype=np.uint8) for b in answers["b"]])
+        few = np.concatenate([wide(b) for b in answers["b"]]).astype(np.uint8)
         first_run = np.searchsorted(bucket[runs], answers["bucket"].to_numpy())
-        needed = np.concatenate([wide(x).astype(np.int64) + first for x, first in zip(answers["c"], first_run, strict=True)])
+        needed = np.concatenate([np.cumsum(wide(x)).astype(np.int64) + first for x, first in zip(answers["c"], first_run, strict=True)])
         made = np.concatenate([unpack(x) for x in answers["d"]])
         # a hot context has a run in many buckets
-        contexts, context_of_run = np.unique(v[runs], return_inverse=True)
-        total, small = np.zeros((len(contexts), K + 2)), np.zeros(len(contexts), dtype=np.uint8)
+        context_of_run = c.v_at[o][runs]
+        total, small = np.zeros((c.contexts, K + 2)), np.zeros(c.contexts, dtype=np.uint8)
         total[context_of_run[needed]] = made
         small[context_of_run] = few
-        for at in np.unique(context_of_run[c.hot[o][runs]]):
-            total[at] = hot_made[contexts[at]]
+        hot = runs[c.hot[o][runs]]
+        for at, of in dict(zip(c.v_at[o][hot].tolist(), v[hot], strict=True)).items():
+            total[at] = told.hot_made[of]
             small[at] = ((total[at, :K] > 0) << np.arange(K)).sum()
         cuts = ((factor < 1) << np.arange(K)).sum().astype(np.uint8)
-        context_counts = np.zeros(len(contexts), dtype=np.int64)
-        context_counts[context_of_run] = c.v_count[o][runs]
+        context_counts, low_bottoms = np.zeros(c.contexts, dtype=np.int64), np.ones(c.contexts)
+        context_counts[context_of_run], low_bottoms[context_of_run] = c.v_count[o][runs], c.low_bottom[o][runs]
         bottom = context_counts + ((small & cuts) == 0)  # nothing is discounted: one more count for the unseen
         mass = (total[:, :K] @ (factor * np.arange(1, K + 1)) + total[:, K]) / bottom
-        weight = (1 - mass) / (1 - total[:, K + 1])
+        weight = (1 - mass) / (1 - total[:, K + 1] / low_bottoms)
         context = context_of_run[run_of]
         with np.errstate(divide="ignore"):
             in_place[o] = np.where(counts > 0, np.log10(discounted(counts, factor) / bottom[context]), np.log10(weight[context]) + c.low_log[o])
         gram_counts[o], gram_bottoms[o] = counts, bottom[context]
-    c.rise(gram_counts, gram_bottoms, in_place)
+        if gram_ids is not None:
+            gram_ids[o[counts > 0]] = np.concatenate([np.cumsum(wide(x)) * np.uint64(c.buckets) + np.uint64(b) for x, b in zip(answers["e"], answers["bucket"], strict=True)])
+    c.rise(gram_counts, gram_bottoms, in_place, gram_ids)
 
 
 def scored(c: Chunk, low: Unigrams) -> pd.DataFrame:
@@ -443,7 +491,7 @@ def score_documents(
     """Score every whole text under a Katz model of n-grams up to ``order`` learned from the rows that ``held_out`` doesn't mark.
 
     Tokens are words (A-Z lowered) and one end per text; a text's first context is its start, and no context goes beyond it. Every
-    order is a round of asking and telling, in which contexts are 64-bit hashes from two words on. Counts up to 5 get
+    order is a round of asking and telling; trained n-grams are numbered by bucket, so that a context of any length is one small number. Counts up to 5 get
     Good-Turing discounts (``discounts``). What they free in a context goes to its unseen followers in proportion to
     the lower order, exactly: weight = (1 - discounted mass) / (1 - lower-order mass of the seen followers), both summed over all
     followers. A context without a discounted follower gets one more count for the unseen; an unseen context takes the
@@ -463,20 +511,21 @@ def score_documents(
     buckets = parts_for(spark, total[0], bucket_bytes)
     chunks = _bucketed(rows.mapInPandas(cut_chunks(chunk_tokens), CHUNKS), buckets)
 
-    asked = chunks.select("chunk", "types", "counts").mapInPandas(ask_words(buckets), ASKS)
-    words = written(asked.groupBy("bucket").applyInPandas(tell_words(buckets), TELLS), "words", partition_by=("kind",))
-    stats = _sums(words, K + 4)
-    low = Unigrams.from_counts(int(stats[0]), int(stats[1]), total[1], stats[2:])
-    hot = max(1, low.tokens // buckets)
-
-    answers = words.where("kind = 'answer'").select(F.lit("1").alias("kind"), "bucket", "chunk", "a", "b", "c", "d")
-    told, factor = [], low.factor
-    for n in range(2, order + 1):
-        asked = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(ask_grams(low, told, buckets, hot), ASKS)
-        grams = written(asked.groupBy("bucket").applyInPandas(tell_grams(low, factor), TELLS), f"grams-{n}", partition_by=("kind",))
-        factor = discounts(_sums(grams, K + 2))
-        told = [*told, Told(n, factor, hot_contexts(grams))]
-        answers = answers.unionByName(grams.where("kind = 'answer'").select(F.lit(str(n)).alias("kind"), "bucket", "chunk", "a", "b", "c", "d"))
+    with shuffles_dropped(spark):
+        asked = chunks.select("chunk", "types", "counts").mapInPandas(ask_words(buckets), ASKS)
+        words = written(asked.groupBy("bucket").applyInPandas(tell_words(buckets), TELLS), "words", partition_by=("kind",))
+        stats = _sums(words, K + 4)
+        low = Unigrams.from_counts(int(stats[0]), int(stats[1]), total[1], stats[2:])
+        hot = max(1, low.tokens // buckets)
+
+        answers = words.where("kind = 'answer'").select(F.lit("1").alias("kind"), *ANSWERS)
+        told, factor = [], low.factor
+        for n in range(2, order + 1):
+            asked = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(ask_grams(low, told, buckets, hot), ASKS)
+            grams = written(asked.groupBy("bucket").applyInPandas(tell_grams(factor, buckets, n == order), TELLS), f"grams-{n}", partition_by=("kind",))
+            factor = discounts(_sums(grams, K + 2))
+            told = [*told, Told(n, factor, hot_contexts(grams), n == order)]
+            answers = answers.unionByName(grams.where("kind = 'answer'").select(F.lit(str(n)).alias("kind"), *ANSWERS))
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(score_chunk(low, told, buckets, hot), SCORES)
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import id_remainder
-from lodestat.llm.katz import K, discounts, score_documents
+from lodestat.llm.katz import K, discounts, narrow, pack_ids, score_documents, unpack_ids, wide
 
 START, END, UNKNOWN = "<s>", "</s>", "<unk>"
 
@@ -162,3 +162,28 @@ def test_the_query_takes_longer_contexts_than_one_word():
     from lodestat.llm.katz import ORDER
 
     assert ORDER >= 3
+
+
+def test_messages_take_few_bytes():
+    """Numbers go in the fewest bytes, and the contexts of a bucket by the steps between their places."""
+    draw = np.random.default_rng(5)
+    for x in (np.array([], np.uint64), np.array([0]), np.array([255, 256, 3]), draw.integers(0, 1 << 63, 50), np.array([2**64 - 1], np.uint64)):
+        assert (wide(narrow(x)) == x.astype(np.uint64)).all()
+    assert len(narrow(draw.integers(0, 6, 3000) ** 8)) < 3 * 3000
+    buckets = 275
+    ids = np.cumsum(draw.integers(1, 160, 3000)).astype(np.uint64) * np.uint64(buckets) + np.uint64(7)
+    assert (unpack_ids(pack_ids(ids, buckets), buckets) == ids).all() and len(pack_ids(ids, buckets)) < 1.2 * len(ids)
+    mixed = draw.integers(0, 1 << 40, 100).astype(np.uint64)  # of many buckets, and not in order
+    assert (unpack_ids(pack_ids(mixed, buckets), buckets) == mixed).all()
+
+
+def test_rounds_leave_no_shuffle_files(spark, tiny):
+    from pathlib import Path
+
+    folders = [Path(str(x)) for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    shuffles = lambda: {p.name for f in folders for p in f.rglob("shuffle_*.data")}
+    before = shuffles()
+    scores = score_documents(tiny, id_remainder("doc_id", 7) == 2, order=3)
+    assert shuffles() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert scores.count() == tiny.count()
