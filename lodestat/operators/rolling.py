@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = 1 << 16
+PIECE = 1 << 12  # rows of a batch that goes out
 NO_TIME = np.iinfo(np.int64).min // 4
 
 
@@ -107,28 +108,35 @@ def rolling_statistics(df: DataFrame, keys: Sequence[str], amount: str, reaches:
     schema = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in kept), *made])
     columns = [f.name for f in kept]
 
-    def worked(table: pa.Table, times: np.ndarray, group: np.ndarray, fresh: int) -> pa.RecordBatch | None:
-        """Results for the rows from ``fresh`` on."""
+    def worked(table: pa.Table, times: np.ndarray, group: np.ndarray, fresh: int) -> Iterator[pa.RecordBatch]:
+        """Results for the rows from ``fresh`` on, in pieces: what is only carried along is never held a second time."""
         mine = table.column(own).to_numpy(zero_copy_only=False).astype(bool)
         mine[:fresh] = False
         if not mine.any():
-            return None
+            return
         column = table.column(amount).combine_chunks()
         known = np.asarray(column.is_valid())
         values = column.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False)
-        out = table.select(columns).filter(pa.array(mine)).combine_chunks()
-        for (total, median, count), name in zip(frame_statistics(times, group, values, known, [reaches[x] for x in names], mine), names, strict=True):
-            for kind, array in (("sum", pa.array(total, mask=count == 0)), ("median", pa.array(median, mask=count == 0)), ("count", pa.array(count.astype(np.int64)))):
-                out = out.append_column(f"{prefix}{kind}_{name}", array)
-        return out.to_batches()[0]
+        found = frame_statistics(times, group, values, known, [reaches[x] for x in names], mine)
+        row, done = 0, 0
+        for piece in table.select(columns).to_batches(max_chunksize=PIECE):
+            wanted = mine[row : row + piece.num_rows]
+            row, n = row + piece.num_rows, int(wanted.sum())
+            if n:
+                out = piece.filter(pa.array(wanted)).columns
+                for total, median, count in found:
+                    total, median, count = (x[done : done + n] for x in (total, median, count))
+                    out += [pa.array(total, mask=count == 0), pa.array(median, mask=count == 0), pa.array(count.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(out, names=[*columns, *(f.name for f in made)])
+                done += n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, context = [], 0  # rows in hand; how many of them were worked off and are context only
 
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal waiting, context
-            table = pa.Table.from_batches(waiting).combine_chunks()
-            times = table.column(time).cast(pa.int64()).fill_null(NO_TIME).to_numpy()
+            table = pa.Table.from_batches(waiting)
+            times = table.column(time).combine_chunks().cast(pa.int64()).fill_null(NO_TIME).to_numpy(zero_copy_only=False)
             group = np.cumsum(table.column("_first").to_numpy(zero_copy_only=False).astype(np.int64))
             cut = len(times)
             if not last:  # the rows at the last time may have peers still to come
@@ -136,9 +144,7 @@ def rolling_statistics(df: DataFrame, keys: Sequence[str], amount: str, reaches:
                 if cut <= context:
                     waiting = table.to_batches()
                     return
-            done = worked(table.slice(0, cut), times[:cut], group[:cut], context)
-            if done is not None:
-                yield done
+            yield from worked(table.slice(0, cut), times[:cut], group[:cut], context)
             if not last:
                 seen = int(np.searchsorted(times[group == group[-1]], times[-1] - longest, "right")) + int((group < group[-1]).sum())
                 seen = min(seen, cut)

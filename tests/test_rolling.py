@@ -104,3 +104,20 @@ def test_cost_does_not_follow_the_frame():
         rolling.frame_statistics(us, group, values, np.ones(n, bool), [reach] * 5, np.ones(n, bool))
         took.append(time.perf_counter() - start)
     assert took[1] < 5 * took[0]
+
+
+def test_what_is_carried_along_goes_out_in_pieces(spark, monkeypatch):
+    """A chunk's rows leave the task in small batches, with no second copy of their columns."""
+    import pyarrow as pa
+
+    caught = []
+    table = spark.createDataFrame([], "event_id int, user int, ts timestamp_ntz, value double")
+    monkeypatch.setattr(type(table), "mapInArrow", lambda self, run, schema: caught.append(run) or self)
+    rolling.rolling_statistics(table.withColumn("_us", F.lit(1)).withColumn("_own", F.lit(True)), ["user"], "value", {"1h": 1})
+    n = 20_000
+    rows = pa.RecordBatch.from_pydict({
+        "event_id": np.arange(n), "user": np.ones(n, np.int32), "ts": np.arange(n), "value": np.ones(n), "_us": np.arange(n), "_own": np.arange(n) % 3 > 0, "_first": np.arange(n) == 0,
+    })
+    out = list(caught[0](iter([rows])))
+    assert max(b.num_rows for b in out) <= 1 << 12
+    assert np.concatenate([b.column("event_id") for b in out]).tolist() == [i for i in range(n) if i % 3]
