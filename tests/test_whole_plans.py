@@ -28,8 +28,6 @@ def test_ensembles_keep_the_operators_sizes(spark, monkeypatch):
     "key, columns",
     [
         ("graph_betweenness", ["node", "betweenness_from_sources"]),
-        ("graph_shortest_paths", ["source", "node", "hops"]),
-        ("graph_mean_path_length", ["mean_hops_from_sources", "farthest_from_sources"]),
         ("graph_closeness", ["node", "closeness"]),
     ],
 )
@@ -43,6 +41,21 @@ def test_paths_start_from_all_keys_divisible_by_50(spark, monkeypatch, key, colu
     assert sorted(r.source for r in start.collect()) == sorted(n for n in nodes if n % 50 == 0) and got.columns == columns
 
 
+@pytest.mark.parametrize(
+    "key, columns",
+    [
+        ("graph_shortest_paths", ["source", "node", "hops"]),
+        ("graph_mean_path_length", ["mean_hops_from_sources", "farthest_from_sources"]),
+    ],
+)
+def test_paths_and_their_mean_start_from_every_node(spark, monkeypatch, key, columns):
+    asked, search = [], G.hops_from
+    monkeypatch.setattr(G, "hops_from", lambda e, start: asked.append((e, start)) or search(e, start))
+    got = PLANS[key](Tables(spark, FOLDER))
+    edges, start = asked[0]
+    assert sorted(r.source for r in start.collect()) == sorted(r.node for r in G.degrees(edges).collect()) and got.columns == columns
+
+
 @pytest.mark.parametrize("search", [G.hop_distances, G.hops_from])
 def test_hops_have_no_limit(spark, search):
     """A path of 40 nodes is walked to its end."""
